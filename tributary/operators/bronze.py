@@ -40,11 +40,16 @@ def parse_payload(df: DataFrame, schema: StructType = CLICKSTREAM_STRUCT) -> Dat
 def flatten_with_lineage(df: DataFrame, now: Column | None = None) -> DataFrame:
     """``parsed.*`` plus Kafka coordinates and the ingestion time.
 
+    The struct is unpacked with ``inline(array(parsed))``, a generator: later
+    filters on the parsed fields (silver's required-field check) cannot be
+    pushed beneath it, so the optimizer does not copy ``from_json`` into each
+    predicate and the JSON is parsed once per record.
+
     ``current_timestamp()`` is one value per query (per micro-batch on a
     stream); pass ``now`` to pin it.
     """
     return df.select(
-        F.col("parsed.*"),
+        F.inline(F.array("parsed")),
         F.col("kafka_timestamp"),
         F.col("partition").alias("kafka_partition"),
         F.col("offset").alias("kafka_offset"),
