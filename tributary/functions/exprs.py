@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -27,3 +27,14 @@ def to_ntz(col: Column) -> Column:
 def as_timestamp(col: Column) -> Column:
     """Event-time columns are TIMESTAMP; input tables carry TIMESTAMP_NTZ."""
     return col.cast("timestamp")
+
+
+def fence(df: DataFrame) -> DataFrame:
+    """Pass every row through a one-element generator.
+
+    Later filters on these columns stay above the generator instead of being
+    pushed beneath it (where the optimizer would substitute, and re-evaluate,
+    the expressions that defined them).  Used after costly per-record
+    expressions (JSON parsing, rule checks) that downstream code filters on.
+    """
+    return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))

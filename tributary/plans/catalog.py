@@ -248,3 +248,126 @@ def q_active_users_hourly(spark, sf_dir):
 @register("active_users_hourly_approx")
 def q_active_users_hourly_approx(spark, sf_dir):
     return comparable(G.active_users_hourly(silver(spark, sf_dir)), {"avg_cart_value": 6})
+
+
+# ---------------------------------------------------------------------------
+# validation and routing
+# ---------------------------------------------------------------------------
+
+from tributary.fixed import (  # noqa: E402
+    CDC_SCHEMA,
+    CLICKSTREAM_SCHEMA,
+    TOPIC_CDC,
+    TOPIC_CLICKSTREAM,
+    USER_PROFILE_SCHEMA,
+)
+from tributary.operators import routing as R  # noqa: E402
+
+
+def _sql_str(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+MSG_NO_USER = _sql_str("'user_id' is a required property")
+MSG_BAD_TYPE = _sql_str("'event_type' is not one of "
+                        + repr(CLICKSTREAM_SCHEMA["properties"]["event_type"]["enum"]))
+MSG_TEXT_CART = _sql_str("'metadata.cart_value' is not of type 'number'")
+MSG_BAD_OP = _sql_str("'op' is not one of " + repr(CDC_SCHEMA["properties"]["op"]["enum"]))
+
+CLICK_ERRORS = O.BRONZE + f""",
+checked AS (
+  SELECT *, CASE WHEN malformed THEN ['malformed'] ELSE list_filter([
+      CASE WHEN event_num % {O.D['missing_user']} = 0 THEN {MSG_NO_USER} END,
+      CASE WHEN event_num % {O.D['bad_type']} = 0 THEN {MSG_BAD_TYPE} END,
+      CASE WHEN event_num % {O.D['text_cart']} = 0 AND cart_value IS NOT NULL
+           THEN {MSG_TEXT_CART} END], lambda x: x IS NOT NULL) END AS errs
+  FROM copies
+)"""
+
+
+def validated_clicks(spark, sf_dir):
+    return R.validate(click_messages(spark, sf_dir), CLICKSTREAM_SCHEMA)
+
+
+@register("validate_routes", O.with_(CLICK_ERRORS, """
+SELECT CAST(event_num % 3 AS INTEGER) AS partition, event_num * 2 + copy AS offset,
+       CASE WHEN len(errs) = 0 THEN 'sent' ELSE 'dlq' END AS route,
+       errs[1] AS error, CAST(len(errs) AS INTEGER) AS error_count
+FROM checked"""))
+def q_validate_routes(spark, sf_dir):
+    return validated_clicks(spark, sf_dir).select(
+        "partition", "offset", "route", "error", F.size("errors").alias("error_count"))
+
+
+@register("dlq_envelope", O.with_(CLICK_ERRORS, f"""
+SELECT CASE WHEN malformed THEN NULL ELSE event_id END AS original_event_id,
+       errs[1] AS error, CAST(len(errs) AS INTEGER) AS error_count,
+       '{TOPIC_CLICKSTREAM}' AS original_topic, TIMESTAMP '{PINNED_NOW}' AS "timestamp",
+       CAST(event_num % 3 AS INTEGER) AS partition, event_num * 2 + copy AS offset
+FROM checked WHERE len(errs) > 0"""))
+def q_dlq_envelope(spark, sf_dir):
+    dlq = R.dlq_envelope(R.rejected(validated_clicks(spark, sf_dir)), TOPIC_CLICKSTREAM,
+                         now=PINNED_NOW)
+    return comparable(dlq.select(
+        F.get_json_object("original_event", "$.event_id").alias("original_event_id"),
+        "error", F.size("errors").alias("error_count"), "original_topic", "timestamp",
+        "partition", "offset"))
+
+
+@register("clickstream_route_keys", O.with_(CLICK_ERRORS, f"""
+SELECT CAST(event_num % 3 AS INTEGER) AS partition, event_num * 2 + copy AS offset,
+       CASE WHEN event_num % {O.D['padded_user']} = 0 THEN user_key || ' ' ELSE user_key END
+         AS key,
+       '{TOPIC_CLICKSTREAM}' AS topic
+FROM checked WHERE len(errs) = 0"""))
+def q_clickstream_route_keys(spark, sf_dir):
+    ok = R.accepted(validated_clicks(spark, sf_dir))
+    return ok.select("partition", "offset",
+                     R.clickstream_key(F.col("value").cast("string")).alias("key"),
+                     F.lit(TOPIC_CLICKSTREAM).alias("topic"))
+
+
+def validated_cdc(spark, sf_dir):
+    return R.validate(feeds.cdc_messages(events(spark, sf_dir)), CDC_SCHEMA)
+
+
+@register("cdc_validate", O.with_(O.CDC, f"""
+SELECT change_num AS offset,
+       CASE WHEN op = 'x' THEN 'dlq' ELSE 'sent' END AS route,
+       CASE WHEN op = 'x' THEN {MSG_BAD_OP} END AS error
+FROM cdc"""))
+def q_cdc_validate(spark, sf_dir):
+    return validated_cdc(spark, sf_dir).select("offset", "route", "error")
+
+
+@register("cdc_route_keys", O.with_(O.CDC, f"""
+SELECT change_num AS offset, user_id AS key, '{TOPIC_CDC}' AS topic
+FROM cdc WHERE op <> 'x'"""))
+def q_cdc_route_keys(spark, sf_dir):
+    ok = R.accepted(validated_cdc(spark, sf_dir))
+    return ok.select("offset", R.cdc_key(F.col("value").cast("string")).alias("key"),
+                     F.lit(TOPIC_CDC).alias("topic"))
+
+
+@register("profile_validate", O.with_(O.PROFILES.replace(
+    "c_acctbal\n", "c_acctbal, c_custkey\n"), f"""
+SELECT c_custkey AS profile_num,
+       CASE WHEN c_acctbal < 0 THEN 'dlq' ELSE 'sent' END AS route,
+       CASE WHEN c_acctbal < 0 THEN {MSG_NO_USER} END AS error
+FROM profiles"""))
+def q_profile_validate(spark, sf_dir):
+    prof = feeds.profile_messages(feeds.read_table(spark, sf_dir, "customer"))
+    return R.validate(prof, USER_PROFILE_SCHEMA).select("profile_num", "route", "error")
+
+
+@register("routing_metrics", O.with_(CLICK_ERRORS + "," + O.CDC, f"""
+SELECT '{TOPIC_CLICKSTREAM}' AS topic,
+       count(*) FILTER (WHERE len(errs) = 0) AS sent,
+       count(*) FILTER (WHERE len(errs) > 0) AS dlq FROM checked
+UNION ALL
+SELECT '{TOPIC_CDC}', count(*) FILTER (WHERE op <> 'x'), count(*) FILTER (WHERE op = 'x')
+FROM cdc"""))
+def q_routing_metrics(spark, sf_dir):
+    both = validated_clicks(spark, sf_dir).select("topic", "route").unionByName(
+        validated_cdc(spark, sf_dir).select("topic", "route"))
+    return R.routing_metrics(both, "topic")
