@@ -371,3 +371,112 @@ def q_routing_metrics(spark, sf_dir):
     both = validated_clicks(spark, sf_dir).select("topic", "route").unionByName(
         validated_cdc(spark, sf_dir).select("topic", "route"))
     return R.routing_metrics(both, "topic")
+
+
+# ---------------------------------------------------------------------------
+# CDC and SCD type 2
+# ---------------------------------------------------------------------------
+
+from tributary.operators import scd2 as C  # noqa: E402
+
+# Load time of the initial dimension in registered queries.
+DIM_LOADED = _dt.datetime(2024, 1, 1, 0, 0, 0)
+
+
+def initial_dim(spark, sf_dir):
+    users = feeds.user_profiles(feeds.read_table(spark, sf_dir, "customer"))
+    return C.initialize_dimension(users, now=DIM_LOADED)
+
+
+def changes(spark, sf_dir):
+    return C.parse_changes(feeds.cdc_messages(events(spark, sf_dir)))
+
+
+def dim_history(spark, sf_dir):
+    return C.scd2_apply(initial_dim(spark, sf_dir), changes(spark, sf_dir))
+
+
+SCD_INIT_SQL = O.with_(O.PROFILES, f"""
+SELECT user_id, name, email, TIMESTAMP '{DIM_LOADED}' AS effective_from,
+       CAST(NULL AS TIMESTAMP) AS effective_to, true AS is_current, 1 AS version
+FROM profiles""")
+
+
+@register("scd2_init", SCD_INIT_SQL)
+def q_scd2_init(spark, sf_dir):
+    return comparable(initial_dim(spark, sf_dir))
+
+
+# Ordered application of the whole change feed to the initial dimension.
+SCD_HISTORY = O.CDC + "," + O.PROFILES + f""",
+ev AS (
+  SELECT user_id, CASE WHEN op = 'd' THEN NULL ELSE name END AS name,
+         CASE WHEN op = 'd' THEN NULL ELSE email END AS email,
+         op <> 'd' AS opens, epoch_ms(ts_ms) AS t, change_num AS seq, 1 AS grp
+  FROM cdc WHERE op IN ('c', 'u', 'd')
+),
+touched AS (SELECT DISTINCT user_id FROM ev),
+seq_rows AS (
+  SELECT user_id, name, email, true AS opens, TIMESTAMP '{DIM_LOADED}' AS t,
+         CAST(-1 AS BIGINT) AS seq, 0 AS grp
+  FROM profiles WHERE user_id IN (SELECT user_id FROM touched)
+  UNION ALL SELECT * FROM ev
+),
+scan AS (
+  SELECT *, lead(t) OVER w AS next_t,
+         sum(CASE WHEN opens THEN 1 ELSE 0 END) OVER (w ROWS UNBOUNDED PRECEDING) AS rc
+  FROM seq_rows WINDOW w AS (PARTITION BY user_id ORDER BY grp, t, seq)
+),
+dim AS (
+  SELECT user_id, name, email, t AS effective_from, next_t AS effective_to,
+         next_t IS NULL AS is_current, CAST(rc AS INTEGER) AS version
+  FROM scan WHERE opens
+  UNION ALL
+  SELECT user_id, name, email, TIMESTAMP '{DIM_LOADED}', CAST(NULL AS TIMESTAMP), true, 1
+  FROM profiles WHERE user_id NOT IN (SELECT user_id FROM touched)
+)"""
+
+
+@register("scd2_history", O.with_(SCD_HISTORY, "SELECT * FROM dim"))
+def q_scd2_history(spark, sf_dir):
+    return comparable(dim_history(spark, sf_dir))
+
+
+@register("max_versions", O.with_(SCD_HISTORY, """
+SELECT user_id, max(version) AS max_version FROM dim GROUP BY user_id"""))
+def q_max_versions(spark, sf_dir):
+    return C.max_versions(dim_history(spark, sf_dir))
+
+
+@register("scd2_current", O.with_(SCD_HISTORY, """
+SELECT user_id, name, email, version FROM dim WHERE is_current"""))
+def q_scd2_current(spark, sf_dir):
+    return (dim_history(spark, sf_dir).filter("is_current")
+            .select("user_id", "name", "email", "version"))
+
+
+# Reference parity: one change per user in the batch (each user's last change
+# of the feed), all stamped with the batch time, as a MERGE would do.
+@register("scd2_single_op", O.with_(O.CDC + "," + O.PROFILES + f""",
+last AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id
+                        ORDER BY ts_ms DESC, change_num DESC) AS rn
+                 FROM cdc WHERE op IN ('c', 'u', 'd')) WHERE rn = 1
+)""", f"""
+SELECT p.user_id, p.name, p.email, TIMESTAMP '{DIM_LOADED}' AS effective_from,
+       CASE WHEN l.user_id IS NULL THEN NULL ELSE TIMESTAMP '{PINNED_NOW}' END AS effective_to,
+       l.user_id IS NULL AS is_current, 1 AS version
+FROM profiles p LEFT JOIN last l USING (user_id)
+UNION ALL
+SELECT user_id, name, email, TIMESTAMP '{PINNED_NOW}', CAST(NULL AS TIMESTAMP), true,
+       CASE WHEN user_id IN (SELECT user_id FROM profiles) THEN 2 ELSE 1 END
+FROM last WHERE op <> 'd'"""))
+def q_scd2_single_op(spark, sf_dir):
+    ch = changes(spark, sf_dir).filter(F.col("op").isin("c", "u", "d"))
+    key = F.when(F.col("op") == "d", F.col("before.user_id")).otherwise(F.col("after.user_id"))
+    last = (ch.withColumn("k", key).groupBy("k")
+            .agg(F.max_by(F.struct("op", "ts_ms", "before", "after", "seq"),
+                          F.struct("ts_ms", "seq")).alias("c"))
+            .select("c.*"))
+    out = C.scd2_apply(initial_dim(spark, sf_dir), last, now=PINNED_NOW, time_source="batch")
+    return comparable(out)

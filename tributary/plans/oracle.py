@@ -101,7 +101,7 @@ cdc AS (
          CASE WHEN event_id % {CDC_DEFECTS['bad_op']} = 0 THEN 'x'
               WHEN event_type = 'signup' THEN 'c'
               WHEN event_type = 'error' THEN 'd' ELSE 'u' END AS op,
-         epoch_ms(ts) AS ts_ms, ts,
+         epoch_us(ts) // 1000 AS ts_ms, ts,
          'USER-' || lpad(CAST(user_id AS VARCHAR), 6, '0') AS user_id,
          'user ' || CAST(user_id AS VARCHAR) || ' v' || CAST(event_id AS VARCHAR) AS name,
          'u' || CAST(event_id AS VARCHAR) || '@example.com' AS email

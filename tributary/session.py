@@ -79,3 +79,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def materialize(df):
+    """Write ``df`` once to the shared checkpoint folder and read it back.
+
+    Used where two branches of a plan must see exactly the same rows with the
+    same computed columns (for example a range id assigned after a range
+    shuffle); a reliable checkpoint also survives the loss of executors.
+    """
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
