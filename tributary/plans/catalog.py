@@ -480,3 +480,212 @@ def q_scd2_single_op(spark, sf_dir):
             .select("c.*"))
     out = C.scd2_apply(initial_dim(spark, sf_dir), last, now=PINNED_NOW, time_source="batch")
     return comparable(out)
+
+
+# ---------------------------------------------------------------------------
+# data quality (Q1-Q8, S15, S16) — one run per day of data, stamped at the
+# end of that day
+# ---------------------------------------------------------------------------
+
+from tributary.operators import metrics as M  # noqa: E402
+from tributary.operators import quality as Q  # noqa: E402
+
+
+def _daily(col: str):
+    return {"day": F.to_date(F.col(col))}, F.date_add(F.col("day"), 1).cast("timestamp")
+
+
+def gold_epm(spark, sf_dir):
+    return G.events_per_minute(silver(spark, sf_dir), distinct="exact")
+
+
+def quality_runs(spark, sf_dir, layer: str) -> DataFrame:
+    checker = Q.DataQualityChecker()
+    if layer == "bronze":
+        df, col = bronze(spark, sf_dir), "kafka_timestamp"
+    elif layer == "silver":
+        df, col = silver(spark, sf_dir), "event_timestamp"
+    else:
+        df, col = gold_epm(spark, sf_dir), "window_start"
+    by, run = _daily(col)
+    return checker.run_checks(df, layer, by=by, run_time=run).drop("day")
+
+
+def quality_metrics(spark, sf_dir) -> DataFrame:
+    return (quality_runs(spark, sf_dir, "bronze")
+            .unionByName(quality_runs(spark, sf_dir, "silver"))
+            .unionByName(quality_runs(spark, sf_dir, "gold")))
+
+
+QSCORE = {"score": 6}
+
+QUALITY_SQL = O.SILVER + """,
+epm AS (
+  SELECT time_bucket(INTERVAL '1 minute', event_timestamp) AS window_start, event_type,
+         count(*) AS event_count, count(DISTINCT user_id) AS unique_users
+  FROM silver WHERE event_timestamp IS NOT NULL GROUP BY ALL
+),
+qb AS (
+  SELECT CAST(kafka_timestamp AS DATE) AS day, count(*) AS n,
+         count(*) FILTER (WHERE event_id IS NOT NULL AND user_id IS NOT NULL
+           AND "timestamp" IS NOT NULL AND event_type IS NOT NULL
+           AND session_id IS NOT NULL) AS ok,
+         count(*) FILTER (WHERE event_id IS NULL) + count(*) FILTER (WHERE user_id IS NULL) AS nulls
+  FROM bronze GROUP BY 1
+),
+qs AS (
+  SELECT CAST(event_timestamp AS DATE) AS day, count(*) AS n,
+         count(DISTINCT event_id)
+           + CASE WHEN count(*) FILTER (WHERE event_id IS NULL) > 0 THEN 1 ELSE 0 END AS d,
+         count(*) FILTER (WHERE event_timestamp IS NOT NULL
+           AND event_timestamp <= CAST(CAST(event_timestamp AS DATE) + 1 AS TIMESTAMP)) AS v
+  FROM silver GROUP BY 1
+),
+qg AS (
+  SELECT CAST(window_start AS DATE) AS day, count(*) AS n,
+         count(*) FILTER (WHERE event_count IS NOT NULL AND unique_users IS NOT NULL) AS ok
+  FROM epm GROUP BY 1
+),
+results AS (
+  SELECT 'bronze_schema_validation' AS check_name, 'bronze' AS layer,
+         CAST(ok AS DOUBLE) / n AS s, 0.99 AS th, n, day FROM qb
+  UNION ALL SELECT 'bronze_null_check', 'bronze', 1 - CAST(nulls AS DOUBLE) / (n * 2), 0.99, n, day
+  FROM qb
+  UNION ALL SELECT 'silver_dedup_check', 'silver', CAST(d AS DOUBLE) / n, 1.0, n, day FROM qs
+  UNION ALL SELECT 'silver_timestamp_validity', 'silver', CAST(v AS DOUBLE) / n, 0.99, n, day
+  FROM qs
+  UNION ALL SELECT 'gold_aggregation_completeness', 'gold', CAST(ok AS DOUBLE) / n, 1.0, n, day
+  FROM qg
+),
+quality AS (
+  SELECT check_name, layer, s AS score, s >= th AS passed, n AS record_count,
+         'Threshold: ' || CASE WHEN th = 1.0 THEN '1.0' ELSE CAST(th AS VARCHAR) END AS details,
+         CAST(day + 1 AS TIMESTAMP) AS "timestamp"
+  FROM results
+)"""
+
+QCOLS = "check_name, layer, round(score, 6) AS score, passed, record_count, details, \"timestamp\""
+
+
+def _qsql(where: str) -> str:
+    return O.with_(QUALITY_SQL, f"SELECT {QCOLS} FROM quality WHERE {where}")
+
+
+@register("quality_bronze", _qsql("layer = 'bronze'"))
+def q_quality_bronze(spark, sf_dir):
+    return comparable(quality_runs(spark, sf_dir, "bronze"), QSCORE)
+
+
+@register("quality_silver", _qsql("layer = 'silver'"))
+def q_quality_silver(spark, sf_dir):
+    return comparable(quality_runs(spark, sf_dir, "silver"), QSCORE)
+
+
+@register("quality_gold", _qsql("layer = 'gold'"))
+def q_quality_gold(spark, sf_dir):
+    return comparable(quality_runs(spark, sf_dir, "gold"), QSCORE)
+
+
+@register("quality_history", O.with_(QUALITY_SQL, f"""
+SELECT {QCOLS} FROM quality ORDER BY "timestamp" DESC, check_name LIMIT 100"""))
+def q_quality_history(spark, sf_dir):
+    return comparable(Q.quality_history(quality_metrics(spark, sf_dir)), QSCORE)
+
+
+@register("quality_history_check", O.with_(QUALITY_SQL, f"""
+SELECT {QCOLS} FROM quality WHERE check_name = 'silver_dedup_check'
+ORDER BY "timestamp" DESC LIMIT 100"""))
+def q_quality_history_check(spark, sf_dir):
+    return comparable(Q.quality_history(quality_metrics(spark, sf_dir), "silver_dedup_check"),
+                      QSCORE)
+
+
+# ---------------------------------------------------------------------------
+# dashboard metrics
+# ---------------------------------------------------------------------------
+
+
+@register("quality_by_layer", O.with_(QUALITY_SQL, """
+SELECT layer, round(avg(score), 6) AS score FROM quality GROUP BY layer"""))
+def q_quality_by_layer(spark, sf_dir):
+    return comparable(M.quality_by_layer(M.latest_quality(quality_metrics(spark, sf_dir))),
+                      QSCORE)
+
+
+@register("failed_checks", O.with_(QUALITY_SQL, """
+SELECT check_name, layer, round(score, 6) AS score, "timestamp" FROM quality WHERE NOT passed"""))
+def q_failed_checks(spark, sf_dir):
+    return comparable(M.failed_checks(M.latest_quality(quality_metrics(spark, sf_dir))), QSCORE)
+
+
+@register("score_trend", O.with_(QUALITY_SQL, """
+SELECT "timestamp", round(score, 6) AS score, check_name FROM quality"""))
+def q_score_trend(spark, sf_dir):
+    return comparable(M.score_trend(M.latest_quality(quality_metrics(spark, sf_dir))), QSCORE)
+
+
+CONV_EXACT = CONV_SQL.split("\nSELECT w AS window_start")[0]
+
+
+@register("overview", O.with_(QUALITY_SQL + """,
+conv AS (
+  SELECT w AS window_start, CAST(count(*) FILTER (WHERE event_type = 'purchase') AS DOUBLE)
+           / nullif(count(DISTINCT session_id), 0) AS conversion_rate
+  FROM (SELECT *, time_bucket(INTERVAL '5 minutes', event_timestamp) AS w FROM silver
+        WHERE event_timestamp IS NOT NULL) GROUP BY w
+)""", """
+SELECT (SELECT CAST(coalesce(sum(event_count), 0) AS BIGINT) FROM epm) AS total_events,
+       round((SELECT coalesce(arg_max(coalesce(conversion_rate, 0), window_start) * 100, 0.0)
+              FROM conv), 6) AS conversion_rate,
+       round((SELECT coalesce(avg(score) * 100, 0.0) FROM quality), 6) AS avg_quality,
+       (SELECT count(*) FILTER (WHERE NOT passed) FROM quality) AS failed_checks"""))
+def q_overview(spark, sf_dir):
+    s = silver(spark, sf_dir)
+    out = M.overview(G.events_per_minute(s, distinct="exact"),
+                     G.conversion_rate(s, distinct="exact"),
+                     M.latest_quality(quality_metrics(spark, sf_dir)))
+    return comparable(out, {"conversion_rate": 6, "avg_quality": 6})
+
+
+@register("throughput_series", O.with_(QUALITY_SQL, """
+SELECT window_start, event_count, event_type FROM (
+  SELECT time_bucket(INTERVAL '1 minute', event_timestamp) AS window_start, event_type,
+         count(*) AS event_count
+  FROM silver WHERE event_timestamp IS NOT NULL GROUP BY ALL)"""))
+def q_throughput_series(spark, sf_dir):
+    return comparable(M.throughput_series(gold_epm(spark, sf_dir)))
+
+
+@register("conversion_series", O.with_(O.SILVER, """
+SELECT w AS window_start,
+       round(coalesce(CAST(count(*) FILTER (WHERE event_type = 'purchase') AS DOUBLE)
+             / nullif(count(DISTINCT session_id), 0), 0), 6) AS conversion_rate
+FROM (SELECT *, time_bucket(INTERVAL '5 minutes', event_timestamp) AS w FROM silver
+      WHERE event_timestamp IS NOT NULL) GROUP BY w"""))
+def q_conversion_series(spark, sf_dir):
+    conv = G.conversion_rate(silver(spark, sf_dir), distinct="exact")
+    return comparable(M.conversion_series(conv), {"conversion_rate": 6})
+
+
+@register("top_products", O.with_(O.SILVER + """,
+pop AS (
+  SELECT w, product_id, sum(cart_value) AS total_revenue
+  FROM (SELECT *, unnest(generate_series(
+            time_bucket(INTERVAL '5 minutes', event_timestamp) - INTERVAL '55 minutes',
+            time_bucket(INTERVAL '5 minutes', event_timestamp), INTERVAL '5 minutes')) AS w
+        FROM silver WHERE product_id IS NOT NULL AND event_timestamp IS NOT NULL)
+  GROUP BY w, product_id
+)""", """
+SELECT product_id, round(coalesce(sum(total_revenue), 0), 2) AS total_revenue
+FROM pop GROUP BY product_id ORDER BY sum(total_revenue) DESC, product_id LIMIT 10"""))
+def q_top_products(spark, sf_dir):
+    return comparable(M.top_products(G.popular_products(silver(spark, sf_dir))),
+                      {"total_revenue": 2})
+
+
+@register("top_products_from_silver", O.with_(O.SILVER, """
+SELECT product_id, round(coalesce(sum(cart_value), 0), 2) AS total_revenue
+FROM silver WHERE product_id IS NOT NULL
+GROUP BY product_id ORDER BY coalesce(sum(cart_value), 0) DESC, product_id LIMIT 10"""))
+def q_top_products_from_silver(spark, sf_dir):
+    return comparable(M.top_products_from_silver(silver(spark, sf_dir)), {"total_revenue": 2})
