@@ -689,3 +689,60 @@ FROM silver WHERE product_id IS NOT NULL
 GROUP BY product_id ORDER BY coalesce(sum(cart_value), 0) DESC, product_id LIMIT 10"""))
 def q_top_products_from_silver(spark, sf_dir):
     return comparable(M.top_products_from_silver(silver(spark, sf_dir)), {"total_revenue": 2})
+
+
+# ---------------------------------------------------------------------------
+# replay and backfill
+# ---------------------------------------------------------------------------
+
+from tributary.plans import backfill as BF  # noqa: E402
+from tributary.session import scratch_path  # noqa: E402
+from tributary.sources import kafka as K  # noqa: E402
+from tributary.sources.tables import read_table  # noqa: E402
+
+REPLAY_FROM = _dt.datetime(2024, 1, 15, 0, 0, 0)
+REPLAY_OFFSET = 5000
+
+
+@register("replay_timestamp", O.with_(O.BRONZE + f""",
+starts AS (SELECT kafka_partition, min(kafka_offset) AS s FROM bronze
+           WHERE kafka_timestamp >= TIMESTAMP '{REPLAY_FROM}' GROUP BY 1)""", f"""
+SELECT {O.BRONZE_OUT} FROM bronze JOIN starts USING (kafka_partition)
+WHERE kafka_offset >= s"""))
+def q_replay_timestamp(spark, sf_dir):
+    raw = K.replay_range(click_messages(spark, sf_dir), start_timestamp=REPLAY_FROM)
+    return comparable(B.process_bronze(raw, F.lit(PINNED_NOW).cast("timestamp"))
+                      .select(*BRONZE_COLS))
+
+
+@register("replay_offsets", O.with_(O.BRONZE, f"""
+SELECT {O.BRONZE_OUT} FROM bronze WHERE kafka_offset >= {REPLAY_OFFSET}"""))
+def q_replay_offsets(spark, sf_dir):
+    raw = K.replay_range(click_messages(spark, sf_dir), start_offset=REPLAY_OFFSET)
+    return comparable(B.process_bronze(raw, F.lit(PINNED_NOW).cast("timestamp"))
+                      .select(*BRONZE_COLS))
+
+
+def _full_backfill(spark, sf_dir) -> dict[str, str]:
+    base = scratch_path(spark, "backfill")
+    return BF.full_backfill(spark, click_messages(spark, sf_dir), base, distinct="exact",
+                            now=F.lit(PINNED_NOW).cast("timestamp"))
+
+
+@register("backfill_silver", ORACLE["silver_full"])
+def q_backfill_silver(spark, sf_dir):
+    paths = _full_backfill(spark, sf_dir)
+    return comparable(read_table(spark, paths["silver"]).select(*SILVER_COLS), {"cart_value": 2})
+
+
+@register("backfill_gold", CONV_SQL)
+def q_backfill_gold(spark, sf_dir):
+    paths = _full_backfill(spark, sf_dir)
+    return comparable(read_table(spark, f"{paths['gold']}/conversion_rate"), RATE_DIGITS)
+
+
+@register("backfill_active_users", AUH_SQL)
+def q_backfill_active_users(spark, sf_dir):
+    paths = _full_backfill(spark, sf_dir)
+    return comparable(read_table(spark, f"{paths['gold']}/active_users_hourly"),
+                      {"avg_cart_value": 6})
