@@ -746,3 +746,59 @@ def q_backfill_active_users(spark, sf_dir):
     paths = _full_backfill(spark, sf_dir)
     return comparable(read_table(spark, f"{paths['gold']}/active_users_hourly"),
                       {"avg_cart_value": 6})
+
+
+# ---------------------------------------------------------------------------
+# streaming (S1, S5, S6, T1-T7): the derived topic is landed as files, the
+# layers run as availableNow streams, the sinks are read back
+# ---------------------------------------------------------------------------
+
+from tributary.streaming import jobs as J  # noqa: E402
+
+AVAILABLE_NOW = {"availableNow": True}
+
+
+def _land_topic(spark, sf_dir, root: str) -> str:
+    landed = f"{root}/landed"
+    click_messages(spark, sf_dir).repartition(3, "partition").write.parquet(landed)
+    return landed
+
+
+def _stream_layers(spark, sf_dir, gold_table: str | None = None) -> dict[str, str]:
+    root = scratch_path(spark, "stream")
+    landed = _land_topic(spark, sf_dir, root)
+    paths = {"bronze": f"{root}/bronze", "silver": f"{root}/silver", "gold": f"{root}/gold"}
+    q = J.start_bronze(J.landed_stream(spark, landed, max_files_per_trigger=1), paths["bronze"],
+                       f"{root}/_chk/bronze", trigger=AVAILABLE_NOW)
+    q.awaitTermination()
+    bronze_like = spark.read.parquet(paths["bronze"])
+    q = J.start_silver(J.table_stream(spark, paths["bronze"], bronze_like, max_files_per_trigger=1),
+                       paths["silver"], f"{root}/_chk/silver", trigger=AVAILABLE_NOW)
+    q.awaitTermination()
+    if gold_table:
+        silver_like = spark.read.parquet(paths["silver"])
+        q = J.start_gold(J.table_stream(spark, paths["silver"], silver_like), gold_table,
+                         f"{paths['gold']}/{gold_table}", f"{root}/_chk/{gold_table}",
+                         trigger=AVAILABLE_NOW)
+        q.awaitTermination()
+    return paths
+
+
+@register("stream_bronze", ORACLE["bronze_parse"])
+def q_stream_bronze(spark, sf_dir):
+    paths = _stream_layers(spark, sf_dir)
+    return comparable(spark.read.parquet(paths["bronze"]).select(*BRONZE_COLS))
+
+
+@register("stream_silver", ORACLE["silver_full"])
+def q_stream_silver(spark, sf_dir):
+    paths = _stream_layers(spark, sf_dir)
+    return comparable(spark.read.parquet(paths["silver"]).select(*SILVER_COLS), {"cart_value": 2})
+
+
+@register("stream_gold")
+def q_stream_gold(spark, sf_dir):
+    """Append-mode gold: windows are emitted once the watermark passes them,
+    so the newest windows stay in state (rows-only check)."""
+    paths = _stream_layers(spark, sf_dir, "events_per_minute")
+    return comparable(spark.read.parquet(f"{paths['gold']}/events_per_minute"))
