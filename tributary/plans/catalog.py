@@ -802,3 +802,86 @@ def q_stream_gold(spark, sf_dir):
     so the newest windows stay in state (rows-only check)."""
     paths = _stream_layers(spark, sf_dir, "events_per_minute")
     return comparable(spark.read.parquet(f"{paths['gold']}/events_per_minute"))
+
+
+# ---------------------------------------------------------------------------
+# behaviour queries
+# ---------------------------------------------------------------------------
+
+from tributary.operators import behaviour as BH  # noqa: E402
+
+
+@register("event_transitions", O.with_(O.SILVER + """,
+s AS (
+  SELECT session_id, event_type, row_number() OVER w AS pos, lead(event_type) OVER w AS next_type
+  FROM silver WHERE event_timestamp IS NOT NULL
+  WINDOW w AS (PARTITION BY session_id ORDER BY event_timestamp, event_id)
+),
+pairs AS (
+  SELECT 'session_start' AS from_type, event_type AS to_type FROM s WHERE pos = 1
+  UNION ALL SELECT event_type, next_type FROM s WHERE next_type IS NOT NULL
+),
+c AS (SELECT from_type, to_type, count(*) AS transitions FROM pairs GROUP BY ALL)""", """
+SELECT from_type, to_type, transitions,
+       round(CAST(transitions AS DOUBLE) / sum(transitions) OVER (PARTITION BY from_type), 6)
+         AS probability
+FROM c"""))
+def q_event_transitions(spark, sf_dir):
+    return comparable(BH.event_transitions(silver(spark, sf_dir)), {"probability": 6})
+
+
+@register("session_summary", O.with_(O.SILVER, """
+SELECT session_id, min(user_id) AS user_id, min(event_timestamp) AS session_start,
+       max(event_timestamp) AS session_end, count(*) AS events,
+       count(DISTINCT CASE WHEN event_type = 'add_to_cart' THEN product_id END) AS carted_products
+FROM silver GROUP BY session_id"""))
+def q_session_summary(spark, sf_dir):
+    return comparable(BH.session_summary(silver(spark, sf_dir)))
+
+
+@register("cart_abandonment", O.with_(O.SILVER + """,
+ps AS (
+  SELECT session_id,
+         max(CASE WHEN event_type = 'add_to_cart' THEN event_timestamp END) AS last_cart,
+         max(CASE WHEN event_type = 'purchase' THEN event_timestamp END) AS last_purchase
+  FROM silver GROUP BY session_id
+)""", """
+SELECT count(*) FILTER (WHERE last_cart IS NOT NULL) AS sessions_with_cart,
+       count(*) FILTER (WHERE last_cart IS NOT NULL
+                        AND (last_purchase IS NULL OR last_purchase < last_cart))
+         AS abandoned_sessions,
+       round(coalesce(CAST(abandoned_sessions AS DOUBLE) / nullif(sessions_with_cart, 0), 0), 6)
+         AS abandonment_rate
+FROM ps"""))
+def q_cart_abandonment(spark, sf_dir):
+    return comparable(BH.cart_abandonment(silver(spark, sf_dir)), {"abandonment_rate": 6})
+
+
+CURRENT_STATE = O.CDC + """,
+cur AS (
+  SELECT user_id, name, email FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts_ms DESC, change_num DESC) AS rn
+    FROM cdc WHERE op IN ('c', 'u', 'd', 'r')) WHERE rn = 1 AND op <> 'd'
+)"""
+
+
+@register("current_state", O.with_(CURRENT_STATE, "SELECT * FROM cur"))
+def q_current_state(spark, sf_dir):
+    return BH.current_state(changes(spark, sf_dir))
+
+
+@register("snapshot_diff", O.with_(CURRENT_STATE + "," + O.PROFILES, """
+SELECT coalesce(p.user_id, c.user_id) AS user_id,
+       CASE WHEN p.user_id IS NULL THEN 'c' WHEN c.user_id IS NULL THEN 'd' ELSE 'u' END AS op,
+       p.name AS before_name, p.email AS before_email, c.name AS after_name, c.email AS after_email
+FROM profiles p FULL OUTER JOIN cur c USING (user_id)
+WHERE p.user_id IS NULL OR c.user_id IS NULL
+   OR p.name IS DISTINCT FROM c.name OR p.email IS DISTINCT FROM c.email"""))
+def q_snapshot_diff(spark, sf_dir):
+    before = feeds.user_profiles(feeds.read_table(spark, sf_dir, "customer"))
+    diff = BH.snapshot_diff(before, BH.current_state(changes(spark, sf_dir)))
+    return diff.select("user_id", "op",
+                       F.col("before.name").alias("before_name"),
+                       F.col("before.email").alias("before_email"),
+                       F.col("after.name").alias("after_name"),
+                       F.col("after.email").alias("after_email"))
