@@ -86,6 +86,16 @@ def _type_text(t: str | list[str]) -> str:
     return ", ".join(f"'{x}'" for x in ([t] if isinstance(t, str) else t))
 
 
+def _root_kind(text: Column, doc: Column) -> Column:
+    """Kind of the whole document without building its full schema string:
+    once the text parsed, a leading ``{`` / ``[`` means object / array."""
+    first = F.left(F.btrim(text, F.lit(" \t\n\r")), F.lit(1))
+    return (F.when(doc.isNull(), F.lit(None))
+            .when(first == "{", F.lit("OBJECT"))
+            .when(first == "[", F.lit("ARRAY"))
+            .otherwise(F.schema_of_variant(doc)))
+
+
 def _collect_paths(path: str, rule: dict, out: list[str]) -> None:
     if path not in out:
         out.append(path)
@@ -139,7 +149,9 @@ def with_violations(df: DataFrame, text: Column | str, schema: dict,
                 .withColumns({names[p]: (F.col("__doc") if p == "$" else
                                          F.try_variant_get(F.col("__doc"), p, "variant"))
                               for p in paths})
-                .withColumns({kinds[p]: F.schema_of_variant(F.col(names[p])) for p in paths}))
+                .withColumns({kinds[p]: (_root_kind(text, F.col(names[p])) if p == "$" else
+                                         F.schema_of_variant(F.col(names[p])))
+                              for p in paths}))
     checks = _node_checks({p: F.col(n) for p, n in names.items()},
                           {p: F.col(n) for p, n in kinds.items()}, "$", [], schema)
     found = F.filter(F.array(*checks), lambda x: x.isNotNull())

@@ -18,11 +18,11 @@ With one change per key per batch this equals a MERGE that closes the current
 row and appends the new one.  ``time_source="batch"`` stamps every change with
 ``now`` (the batch time) instead of its own time.
 
-Scale: the touched keys split the dimension by semi/anti join (AQE picks
-broadcast or sort-merge at run time from measured sizes, and splits skewed
-partitions); the per-key ordering runs through ``ordered_scan``, so a key with
-a huge share of the changes is spread over several tasks; the highest version
-per key is a partial aggregate.
+Scale: the dimension is joined once with the distinct touched keys (AQE picks
+broadcast or sort-merge at run time from measured sizes and splits skewed
+partitions) and split by filters; the per-key ordering runs through
+``ordered_scan``, so a key with a huge share of the changes is spread over
+several tasks; the per-key version base is a partial aggregate.
 """
 
 from __future__ import annotations
@@ -109,25 +109,24 @@ def scd2_apply(dim: DataFrame, changes: DataFrame, now: Column | _dt.datetime |
                time_source: str = "event", snapshot_reads: str = "ignore") -> DataFrame:
     """Next snapshot of ``dim`` after ``changes`` (see module docstring)."""
     ev = change_events(changes, now, time_source, snapshot_reads)
-    touched = ev.select("user_id").distinct()
-    dim_touched = dim.join(touched, "user_id", "left_semi")
-    untouched = dim.join(touched, "user_id", "left_anti")
-    history = dim_touched.filter(~F.col("is_current"))
-
-    anchors = dim_touched.filter(F.col("is_current")).select(
+    touched = ev.select("user_id").distinct().withColumn("__touched", F.lit(True))
+    # one join of the dimension with the touched keys, split by filters: the
+    # current rows of touched keys are re-opened, everything else passes
+    marked = dim.join(touched, "user_id", "left")
+    reopened = F.coalesce(F.col("__touched"), F.lit(False)) & F.col("is_current")
+    passthrough = marked.filter(~reopened).select(*DIM_COLUMNS)
+    anchors = marked.filter(reopened).select(
         "user_id", "name", "email", F.lit(True).alias("opens"),
         F.col("effective_from").alias("t"), F.lit(-1).cast("bigint").alias("seq"),
         F.lit(0).alias("grp"), F.col("version").alias("kept_version"))
     rows = anchors.unionByName(
         ev.withColumns({"grp": F.lit(1), "kept_version": F.lit(None).cast("int")}))
 
-    # per-key start of the version count: highest existing version, minus the
-    # anchor row that the running count includes (per-key rows on both sides)
-    base = (max_versions(dim_touched)
-            .join(anchors.groupBy("user_id").agg(F.count(F.lit(1)).alias("has_anchor")),
-                  "user_id", "left")
-            .select("user_id", (F.col("max_version")
-                                - F.coalesce(F.col("has_anchor"), F.lit(0))).alias("offset")))
+    # per-key start of the version count: highest existing version minus the
+    # re-opened current rows, which the running count already includes
+    base = (marked.filter(F.col("__touched"))
+            .groupBy("user_id")
+            .agg((F.max("version") - F.count_if(F.col("is_current"))).alias("offset")))
     scanned = ordered_scan(rows, "user_id", ["grp", "t", "seq"], F.col("opens"),
                            lead_of="t", count_out="rc", lead_out="next_t", key_offsets=base)
     opened = (scanned.filter(F.col("opens"))
@@ -136,9 +135,7 @@ def scd2_apply(dim: DataFrame, changes: DataFrame, now: Column | _dt.datetime |
                       F.col("next_t").alias("effective_to"),
                       F.col("next_t").isNull().alias("is_current"),
                       F.coalesce(F.col("kept_version"), F.col("rc").cast("int")).alias("version")))
-    return (untouched.select(*DIM_COLUMNS)
-            .unionByName(history.select(*DIM_COLUMNS))
-            .unionByName(opened))
+    return passthrough.unionByName(opened)
 
 
 def apply_changes_to_table(spark, dim_path: str, changes: DataFrame, out_path: str,
