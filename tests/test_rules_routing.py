@@ -97,4 +97,4 @@ def test_routing_and_keys(spark):
 ])
 def test_cdc_key(spark, doc, key):
     df = spark.createDataFrame([(json.dumps(doc),)], "value string")
-    assert df.select(R.cdc_key(F.col("value")).alias("k")).first().k == key
+    assert R.with_cdc_key(df).first().key == key

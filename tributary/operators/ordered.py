@@ -25,6 +25,7 @@ read that copy, so they agree on every id, also after an executor loss.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,9 +54,12 @@ def ordered_scan(df: DataFrame, key: str, order: list[str], flag: Column | str,
     # The range id is computed once and materialised: a range partitioner
     # samples its input, so two evaluations of the same exchange could draw
     # different boundaries; both branches below must see the same ids.
-    staged = materialize(df.withColumn("__flag", flag_col.cast("int"))
-                         .repartitionByRange(n, key, *order)
+    # The input is kept (memory, spilling to disk) while the range partitioner
+    # samples it and the shuffle reads it, so the upstream plan runs once.
+    src = df.withColumn("__flag", flag_col.cast("int")).persist(StorageLevel.MEMORY_AND_DISK)
+    staged = materialize(src.repartitionByRange(n, key, *order)
                          .withColumn(PID, F.spark_partition_id()))
+    src.unpersist()
 
     local = Window.partitionBy(PID, key).orderBy(*order)
     scanned = staged.withColumns({

@@ -45,24 +45,29 @@ def clickstream_key(text: Column) -> Column:
     return F.coalesce(F.get_json_object(text, "$.user_id"), F.lit(UNKNOWN_KEY))
 
 
-def cdc_key(text: Column) -> Column:
-    """Partition key of a change record.
+def with_cdc_key(df: DataFrame, value_col: str = "value", out: str = "key") -> DataFrame:
+    """Adds the partition key of a change record.
 
     The state image is ``after`` when it is a non-empty object, else
     ``before`` when that is a non-empty object; the key is that image's
-    user_id, "unknown" when there is no image or it has no user_id.
+    user_id, "unknown" when there is no image or it has no user_id.  The
+    document is parsed once (staged projections).
     """
-    doc = F.try_parse_json(text)
-
-    def non_empty_object(path: str) -> Column:
-        kind = F.schema_of_variant(F.try_variant_get(doc, path, "variant"))
-        return F.coalesce(kind.startswith("OBJECT<") & (kind != "OBJECT<>"), F.lit(False))
-
-    image = F.when(non_empty_object("$.after"), F.lit("$.after.user_id")) \
-        .when(non_empty_object("$.before"), F.lit("$.before.user_id"))
-    uid = F.when(image == "$.after.user_id", F.try_variant_get(doc, "$.after.user_id", "string")) \
-        .when(image == "$.before.user_id", F.try_variant_get(doc, "$.before.user_id", "string"))
-    return F.coalesce(uid, F.lit(UNKNOWN_KEY))
+    staged = df.withColumn("__doc", F.try_parse_json(F.col(value_col).cast("string")))
+    staged = staged.withColumns({
+        "__after": F.try_variant_get("__doc", "$.after", "variant"),
+        "__before": F.try_variant_get("__doc", "$.before", "variant")})
+    staged = staged.withColumns({
+        "__ka": F.schema_of_variant("__after"), "__kb": F.schema_of_variant("__before")})
+
+    def non_empty_object(kind: str) -> Column:
+        return F.coalesce(F.col(kind).startswith("OBJECT<") & (F.col(kind) != "OBJECT<>"),
+                          F.lit(False))
+
+    uid = (F.when(non_empty_object("__ka"), F.try_variant_get("__after", "$.user_id", "string"))
+           .when(non_empty_object("__kb"), F.try_variant_get("__before", "$.user_id", "string")))
+    return (staged.withColumn(out, F.coalesce(uid, F.lit(UNKNOWN_KEY)))
+            .drop("__doc", "__after", "__before", "__ka", "__kb"))
 
 
 def keyed_for_topic(accepted_df: DataFrame, topic: str, key: Column,

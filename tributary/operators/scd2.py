@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from tributary.functions.exprs import fence
 from tributary.operators.ordered import ordered_scan
 
 DIM_COLUMNS = ["user_id", "name", "email", "effective_from", "effective_to",
@@ -64,7 +65,9 @@ def parse_changes(messages: DataFrame, value_col: str = "value",
     parsed = messages.select(
         F.from_json(F.col(value_col).cast("string"), CHANGE_STRUCT).alias("c"),
         (F.col(seq_col) if seq_col else F.monotonically_increasing_id()).alias("seq"))
-    return parsed.select("c.op", "c.ts_ms", "c.before", "c.after", "seq")
+    # fenced, so filters on the op are not pushed beneath the parse (which
+    # would copy from_json into every predicate)
+    return fence(parsed).select("c.op", "c.ts_ms", "c.before", "c.after", "seq")
 
 
 def initialize_dimension(users: DataFrame, now: Column | _dt.datetime | None = None) -> DataFrame:

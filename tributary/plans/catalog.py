@@ -344,9 +344,8 @@ def q_cdc_validate(spark, sf_dir):
 SELECT change_num AS offset, user_id AS key, '{TOPIC_CDC}' AS topic
 FROM cdc WHERE op <> 'x'"""))
 def q_cdc_route_keys(spark, sf_dir):
-    ok = R.accepted(validated_cdc(spark, sf_dir))
-    return ok.select("offset", R.cdc_key(F.col("value").cast("string")).alias("key"),
-                     F.lit(TOPIC_CDC).alias("topic"))
+    ok = R.with_cdc_key(R.accepted(validated_cdc(spark, sf_dir)))
+    return ok.select("offset", "key", F.lit(TOPIC_CDC).alias("topic"))
 
 
 @register("profile_validate", O.with_(O.PROFILES.replace(
