@@ -69,26 +69,37 @@ def start_bronze(source: DataFrame, out_path: str, checkpoint: str, fmt: str = "
 
 # --- silver ------------------------------------------------------------------
 
-def silver_batch_writer(spark: SparkSession, silver_path: str,
-                        fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
+def silver_batch_writer(spark: SparkSession, silver_path: str, fmt: str = "parquet",
+                        lookback: str | None = "1 day") -> Callable[[DataFrame, int], None]:
     """foreachBatch body: earliest copy within the batch, minus event_ids
     already stored by earlier batches, cleaned, written to its own batch
-    directory (overwrite = idempotent replay of the same batch id)."""
+    directory (overwrite = idempotent replay of the same batch id).
+
+    Copies are re-sends, close in Kafka time, so stored ids are looked up only
+    among rows whose ``kafka_timestamp`` is at most ``lookback`` before the
+    batch's earliest record (a filter pushed into the Parquet scan, which skips
+    older files by their statistics); ``lookback=None`` checks every stored id.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
         fresh = S.deduplicate_events(S.validate_required_fields(batch))
         if table_exists(spark, silver_path, fmt):
             seen = (spark.read.format(fmt).load(silver_path)
-                    .filter(F.col(BATCH_COL) < batch_id).select("event_id"))
-            fresh = fresh.join(seen, "event_id", "left_anti")
+                    .filter(F.col(BATCH_COL) < batch_id))
+            if lookback:
+                start = batch.agg(F.min("kafka_timestamp")).first()[0]
+                if start is not None:
+                    seen = seen.filter(F.col("kafka_timestamp")
+                                       >= F.lit(start) - F.expr(f"INTERVAL {lookback}"))
+            fresh = fresh.join(seen.select("event_id"), "event_id", "left_anti")
         out = S.process_silver(fresh, dedup=False)
         out.write.format(fmt).mode("overwrite").save(f"{silver_path}/{BATCH_COL}={batch_id}")
     return write
 
 
 def start_silver(bronze: DataFrame, silver_path: str, checkpoint: str, fmt: str = "parquet",
-                 trigger: dict | None = None) -> StreamingQuery:
-    w = (bronze.writeStream.foreachBatch(silver_batch_writer(bronze.sparkSession, silver_path, fmt))
-         .option("checkpointLocation", checkpoint))
+                 trigger: dict | None = None, lookback: str | None = "1 day") -> StreamingQuery:
+    writer = silver_batch_writer(bronze.sparkSession, silver_path, fmt, lookback)
+    w = bronze.writeStream.foreachBatch(writer).option("checkpointLocation", checkpoint)
     return _start(w, trigger)
 
 
