@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from tributary.fixed import CDC_SCHEMA, CLICKSTREAM_SCHEMA, USER_PROFILE_SCHEMA
 
 MALFORMED = "malformed"
+_SEP = "\u001f"  # unit separator: never part of a message
 _INTEGRAL = r"^(BIGINT|INT|SMALLINT|TINYINT|DECIMAL\(\d+,0\))$"
 _NUMERIC = r"^(BIGINT|INT|SMALLINT|TINYINT|DOUBLE|FLOAT|DECIMAL\(\d+,\d+\))$"
 
@@ -154,7 +155,10 @@ def with_violations(df: DataFrame, text: Column | str, schema: dict,
                               for p in paths}))
     checks = _node_checks({p: F.col(n) for p, n in names.items()},
                           {p: F.col(n) for p, n in kinds.items()}, "$", [], schema)
-    found = F.filter(F.array(*checks), lambda x: x.isNotNull())
+    # concat_ws skips NULLs; unlike filter(array, lambda) it keeps the
+    # projection inside whole-stage code generation
+    joined = F.concat_ws(_SEP, *checks)
+    found = F.when(joined == "", F.array().cast("array<string>")).otherwise(F.split(joined, _SEP))
     result = F.when(F.col("__doc").isNull(), F.array(F.lit(MALFORMED))).otherwise(found)
     return staged.withColumn(out, result).drop("__doc", *names.values(), *kinds.values())
 

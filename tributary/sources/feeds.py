@@ -50,7 +50,20 @@ REFERRERS = ["google", "direct", "facebook", "email"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    return ensure_parallelism(spark.read.parquet(table_path(sf_dir, name)))
+
+
+def ensure_parallelism(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer input partitions than the cluster has
+    task slots (a small file with one row group is read by one task).
+
+    At scale a scan has far more splits than slots and this is a no-op; the
+    partition count comes from planning the scan, no job runs.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
 
 
 def _has(col_name: str, residue: int) -> Column:
