@@ -95,3 +95,18 @@ def test_top_products_ties(spark):
 def test_read_or_empty(spark, tmp_path):
     df = M.load_or_empty(spark, str(tmp_path / "missing"), Q.RESULT_SCHEMA)
     assert df.count() == 0 and df.schema == Q.RESULT_SCHEMA
+
+
+def test_missing_fail_option(spark):
+    chk = Q.DataQualityChecker(missing="fail")
+    r = chk.run_checks(spark.createDataFrame([(1,)], "other int"), "gold", now=NOW).first()
+    assert r.score == 0.0 and not r.passed
+
+
+def test_overview_since(spark):
+    epm = spark.createDataFrame([(dt.datetime(2024, 1, 1, h), 10) for h in range(3)],
+                                "window_start timestamp, event_count long")
+    empty_conv = spark.createDataFrame([], "window_start timestamp, conversion_rate double")
+    empty_q = spark.createDataFrame([], "score double, passed boolean")
+    r = M.overview(epm, empty_conv, empty_q, since=F.lit(dt.datetime(2024, 1, 1, 1))).first()
+    assert r.total_events == 20

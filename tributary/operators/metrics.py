@@ -7,7 +7,7 @@ empty frame of the declared schema when a table does not exist yet.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -42,12 +42,18 @@ def products_by_revenue(pop: DataFrame) -> DataFrame:
 
 # --- overview (A8, L4) -----------------------------------------------------
 
-def overview(epm: DataFrame, conv: DataFrame, quality: DataFrame) -> DataFrame:
+def overview(epm: DataFrame, conv: DataFrame, quality: DataFrame,
+             since: Column | None = None) -> DataFrame:
     """One row: total_events, conversion_rate (latest window, %), avg_quality
     (%), failed_checks; zeros when a source is empty.
 
-    The three sources are tagged and unioned, then reduced by one aggregate.
+    ``total_events`` sums every window unless ``since`` (a timestamp
+    expression) bounds it, e.g. ``current_timestamp() - INTERVAL 1 HOUR`` for
+    an "events in the last hour" figure.  The three sources are tagged and
+    unioned, then reduced by one aggregate.
     """
+    if since is not None:
+        epm = epm.filter(F.col("window_start") >= since)
     null_t = F.lit(None).cast("timestamp")
     parts = [
         epm.select(F.lit("e").alias("src"), F.col("event_count").cast("double").alias("x"),

@@ -68,10 +68,17 @@ def _ratio(num: Column, total: Column) -> Column:
     return F.when(total == 0, F.lit(1.0)).otherwise(num.cast("double") / total.cast("double"))
 
 
-def score_expr(check: QualityCheck, df: DataFrame, now: Column) -> Column:
-    """The check's score as one aggregate expression over ``df``."""
+def score_expr(check: QualityCheck, df: DataFrame, now: Column,
+               missing: str = "skip") -> Column:
+    """The check's score as one aggregate expression over ``df``.
+
+    ``missing="skip"`` ignores listed columns the frame lacks (a check with
+    none left scores 1.0); ``missing="fail"`` scores such a check 0.0.
+    """
     total = F.count(F.lit(1))
     present = [f for f in check.fields if f in df.columns]
+    if missing == "fail" and len(present) < len(check.fields):
+        return F.lit(0.0)
     if check.kind == "required_fields":
         cond = F.lit(True)
         for f in present:
@@ -99,7 +106,10 @@ class DataQualityChecker:
     """Registry of checks with the default suite pre-registered."""
 
     def __init__(self, defaults: bool = True,
-                 thresholds: dict[str, float] | None = None) -> None:
+                 thresholds: dict[str, float] | None = None, missing: str = "skip") -> None:
+        if missing not in ("skip", "fail"):
+            raise ValueError("missing must be 'skip' or 'fail'")
+        self.missing = missing
         self.checks: list[QualityCheck] = []
         if defaults:
             for name, layer, kind, fields, threshold, desc in DEFAULT_CHECKS:
@@ -141,7 +151,8 @@ class DataQualityChecker:
         keys = list(by) + (["__run"] if by and run_time is not None else [])
 
         aggs = [F.count(F.lit(1)).alias("__total")]
-        aggs += [score_expr(c, stamped, bound).alias(f"__s{i}") for i, c in enumerate(fused)]
+        aggs += [score_expr(c, stamped, bound, self.missing).alias(f"__s{i}")
+                 for i, c in enumerate(fused)]
         grouped = stamped.groupBy(*keys).agg(*aggs) if keys else stamped.agg(*aggs)
 
         if fused:

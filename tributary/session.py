@@ -61,14 +61,17 @@ def shared_dir(spark: SparkSession) -> str:
     folder created and registered as the checkpoint directory.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 — Spark Connect: the server owns the context
+        sc = None
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="tributary-")
         spark.conf.set("spark.checkpoint.dir", root)
-    sc_dir = spark.sparkContext.getCheckpointDir()
-    if not sc_dir:
-        spark.sparkContext.setCheckpointDir(root)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 

@@ -60,10 +60,12 @@ def ensure_parallelism(df: DataFrame) -> DataFrame:
     At scale a scan has far more splits than slots and this is a no-op; the
     partition count comes from planning the scan, no job runs.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 — sessions without an RDD API (Spark Connect)
+        return df
+    return df.repartition(slots) if parts < slots else df
 
 
 def _has(col_name: str, residue: int) -> Column:
