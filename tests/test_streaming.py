@@ -72,3 +72,50 @@ def test_gold_late_rows_dropped(spark, tmp_path):
     out = spark.read.parquet(f"{root}/gold") if os.path.exists(f"{root}/gold") else None
     if out is not None:
         assert out.filter(F.col("window_start") == T0).count() == 0
+
+
+def test_router_stream_and_observed_metrics(spark, tmp_path):
+    from tributary.fixed import CLICKSTREAM_SCHEMA
+    from tributary.operators import routing as R
+
+    landed = str(tmp_path / "raw")
+    good, bad = event("e1", 0), json.dumps({"event_id": "e2"})
+    land(spark, landed, [(good, 0), (bad, 1), ("{oops", 2)])
+    raw = J.landed_stream(spark, landed)
+    q = J.start_router(R.observed_routes(R.validate(raw, CLICKSTREAM_SCHEMA)).drop(
+                           "errors", "error", "route"),
+                       CLICKSTREAM_SCHEMA, "clickstream-events", str(tmp_path / "ok"),
+                       str(tmp_path / "dlq"), str(tmp_path / "chk"),
+                       trigger={"availableNow": True})
+    q.awaitTermination()
+    ok = spark.read.parquet(str(tmp_path / "ok")).collect()
+    dlq = spark.read.parquet(str(tmp_path / "dlq")).collect()
+    assert [r.key for r in ok] == ["U1"] and len(dlq) == 2
+    assert sorted(r.error for r in dlq) == ["'user_id' is a required property", "malformed"]
+    progress = [json.loads(p.json) for p in q.recentProgress]
+    seen = [p["observedMetrics"]["routes"] for p in progress if p.get("observedMetrics")]
+    assert seen and seen[0]["sent"] == 1 and seen[0]["dlq"] == 2
+
+
+def test_scd2_stream_snapshots(spark, tmp_path):
+    from tributary.operators import scd2 as C
+
+    root = str(tmp_path / "dim")
+    users = spark.createDataFrame([("u1", "A", "a@x")], "user_id string, name string, email string")
+    C.initialize_dimension(users, now=T0).write.parquet(f"{root}/snapshot=0")
+    schema = ("op string, ts_ms bigint, seq bigint, before struct<user_id:string,name:string,"
+              "email:string>, after struct<user_id:string,name:string,email:string>")
+    feed = str(tmp_path / "cdc")
+    ms = int(T0.replace(tzinfo=dt.timezone.utc).timestamp() * 1000)
+    spark.createDataFrame([("u", ms + 1000, 1, ("u1", None, None), ("u1", "B", "b@x"))],
+                          schema).coalesce(1).write.parquet(feed)
+    spark.createDataFrame([("c", ms + 2000, 2, None, ("u2", "C", "c@x"))],
+                          schema).coalesce(1).write.mode("append").parquet(feed)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(feed)
+    J.start_scd2(stream, root, str(tmp_path / "chk"), trigger={"availableNow": True}) \
+        .awaitTermination()
+    latest = J.latest_snapshot(spark, root)
+    assert latest is not None and not latest.endswith("snapshot=0")
+    rows = sorted((r.user_id, r.version, r.is_current)
+                  for r in spark.read.parquet(latest).collect())
+    assert rows == [("u1", 1, False), ("u1", 2, True), ("u2", 1, True)]

@@ -93,6 +93,14 @@ def dlq_envelope(rejected_df: DataFrame, original_topic: str | Column,
         "error", "errors", topic.alias("original_topic"), now_col.alias("timestamp"), *keep)
 
 
+def observed_routes(validated: DataFrame, name: str = "routes") -> DataFrame:
+    """Attach sent / dlq counters to a (streaming) frame: the values appear in
+    each micro-batch's query progress under ``observedMetrics[name]``."""
+    return validated.observe(name,
+                             F.count_if(F.col("route") == ROUTE_SENT).alias("sent"),
+                             F.count_if(F.col("route") == ROUTE_DLQ).alias("dlq"))
+
+
 def routing_metrics(validated: DataFrame, group: str | None = "topic") -> DataFrame:
     """Records sent and dead-lettered (per ``group`` when given).
 

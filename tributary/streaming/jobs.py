@@ -21,9 +21,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tributary.operators import gold as G
+from tributary.operators import routing as R
+from tributary.operators import scd2 as C
 from tributary.operators import silver as S
 from tributary.operators.bronze import process_bronze
-from tributary.sources.kafka import KAFKA_SCHEMA
+from tributary.sources.kafka import KAFKA_SCHEMA, read_kafka_stream
 from tributary.sources.tables import table_exists
 
 BATCH_COL = "batch_id"
@@ -67,6 +69,98 @@ def start_bronze(source: DataFrame, out_path: str, checkpoint: str, fmt: str = "
     return _start(w, trigger, out_path)
 
 
+def run_bronze_from_kafka(spark: SparkSession, bootstrap: str, topic: str, bronze_path: str,
+                          checkpoint_root: str, fmt: str = "parquet",
+                          trigger: dict | None = None) -> StreamingQuery:
+    """Kafka topic → bronze table, checkpointed under ``<root>/bronze``
+    (latest offsets on first start, tolerant of expired offsets)."""
+    source = read_kafka_stream(spark, bootstrap, topic, starting="latest",
+                               fail_on_data_loss=False)
+    return start_bronze(source, bronze_path, f"{checkpoint_root}/bronze", fmt, trigger)
+
+
+# --- routing -----------------------------------------------------------------
+
+def router_batch_writer(schema: dict, topic: str, accepted_path: str, dlq_path: str,
+                        key: Callable[[DataFrame], DataFrame] | None = None,
+                        fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
+    """foreachBatch body: validate once, write accepted (keyed) and dead
+    letters from the same persisted batch, each into its own batch directory
+    (overwrite, so a replayed batch id replaces its output)."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        checked = R.validate(batch, schema).persist()
+        try:
+            ok = R.accepted(checked)
+            ok = key(ok) if key else ok.withColumn(
+                "key", R.clickstream_key(F.col("value").cast("string")))
+            (ok.select("key", F.col("value").cast("string").alias("value"),
+                       F.lit(topic).alias("topic"))
+             .write.format(fmt).mode("overwrite").save(f"{accepted_path}/{BATCH_COL}={batch_id}"))
+            (R.dlq_envelope(R.rejected(checked), topic)
+             .write.format(fmt).mode("overwrite").save(f"{dlq_path}/{BATCH_COL}={batch_id}"))
+        finally:
+            checked.unpersist()
+    return write
+
+
+def start_router(raw: DataFrame, schema: dict, topic: str, accepted_path: str, dlq_path: str,
+                 checkpoint: str, fmt: str = "parquet", trigger: dict | None = None,
+                 key: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
+    w = (raw.writeStream
+         .foreachBatch(router_batch_writer(schema, topic, accepted_path, dlq_path, key, fmt))
+         .option("checkpointLocation", checkpoint))
+    return _start(w, trigger)
+
+
+# --- SCD type 2 ----------------------------------------------------------------
+
+SNAPSHOT = "snapshot"
+
+
+def latest_snapshot(spark: SparkSession, dim_root: str) -> str | None:
+    """Newest complete snapshot directory under ``dim_root`` (has _SUCCESS)."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(dim_root)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return None
+    best = None
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(f"{SNAPSHOT}="):
+            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                n = int(name.split("=", 1)[1])
+                best = n if best is None or n > best else best
+    return None if best is None else f"{dim_root}/{SNAPSHOT}={best}"
+
+
+def scd2_batch_writer(spark: SparkSession, dim_root: str, fmt: str = "parquet",
+                      **kw) -> Callable[[DataFrame, int], None]:
+    """foreachBatch body: read the newest complete snapshot, apply the batch,
+    write ``snapshot=<batch_id + 1>``.  Re-running a batch id rewrites its own
+    snapshot from the previous one, so replays are idempotent."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        prev = f"{dim_root}/{SNAPSHOT}={batch_id}"
+        if not table_exists(spark, prev, fmt):
+            prev = latest_snapshot(spark, dim_root)
+        if prev is None:
+            raise ValueError(f"Dimension table not found at {dim_root}")
+        dim = spark.read.format(fmt).load(prev)
+        out = C.scd2_apply(dim, batch, **kw)
+        out.write.format(fmt).mode("overwrite").save(f"{dim_root}/{SNAPSHOT}={batch_id + 1}")
+    return write
+
+
+def start_scd2(changes: DataFrame, dim_root: str, checkpoint: str, fmt: str = "parquet",
+               trigger: dict | None = None, **kw) -> StreamingQuery:
+    """Apply a change stream (op, ts_ms, before, after, seq) to the dimension
+    whose first snapshot is ``<dim_root>/snapshot=0``."""
+    w = (changes.writeStream.foreachBatch(scd2_batch_writer(changes.sparkSession, dim_root,
+                                                            fmt, **kw))
+         .option("checkpointLocation", checkpoint))
+    return _start(w, trigger)
+
+
 # --- silver ------------------------------------------------------------------
 
 def silver_batch_writer(spark: SparkSession, silver_path: str, fmt: str = "parquet",
