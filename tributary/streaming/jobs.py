@@ -175,18 +175,22 @@ def silver_batch_writer(spark: SparkSession, silver_path: str, fmt: str = "parqu
     older files by their statistics); ``lookback=None`` checks every stored id.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        fresh = S.deduplicate_events(S.validate_required_fields(batch))
-        if table_exists(spark, silver_path, fmt):
-            seen = (spark.read.format(fmt).load(silver_path)
-                    .filter(F.col(BATCH_COL) < batch_id))
-            if lookback:
-                start = batch.agg(F.min("kafka_timestamp")).first()[0]
-                if start is not None:
-                    seen = seen.filter(F.col("kafka_timestamp")
-                                       >= F.lit(start) - F.expr(f"INTERVAL {lookback}"))
-            fresh = fresh.join(seen.select("event_id"), "event_id", "left_anti")
-        out = S.process_silver(fresh, dedup=False)
-        out.write.format(fmt).mode("overwrite").save(f"{silver_path}/{BATCH_COL}={batch_id}")
+        batch = batch.persist()  # read twice: lookback bound and the write
+        try:
+            fresh = S.deduplicate_events(S.validate_required_fields(batch))
+            if table_exists(spark, silver_path, fmt):
+                seen = (spark.read.format(fmt).load(silver_path)
+                        .filter(F.col(BATCH_COL) < batch_id))
+                if lookback:
+                    start = batch.agg(F.min("kafka_timestamp")).first()[0]
+                    if start is not None:
+                        seen = seen.filter(F.col("kafka_timestamp")
+                                           >= F.lit(start) - F.expr(f"INTERVAL {lookback}"))
+                fresh = fresh.join(seen.select("event_id"), "event_id", "left_anti")
+            out = S.process_silver(fresh, dedup=False)
+            out.write.format(fmt).mode("overwrite").save(f"{silver_path}/{BATCH_COL}={batch_id}")
+        finally:
+            batch.unpersist()
     return write
 
 
