@@ -90,7 +90,8 @@ def test_missing_table(spark, tmp_path):
                                  str(tmp_path / "out"))
 
 
-def test_ordered_scan_matches_window_with_hot_key(spark):
+@pytest.mark.parametrize("parts", [16, None])
+def test_ordered_scan_matches_window_with_hot_key(spark, parts):
     """One key holds most rows; the range scan must equal a plain window."""
     from pyspark.sql import Window
     from pyspark.sql import functions as F
@@ -101,7 +102,7 @@ def test_ordered_scan_matches_window_with_hot_key(spark):
         ((F.col("id") * 7919) % 5000).alias("t"),
         (F.col("id") % 3 == 0).alias("flag"))
     got = ordered_scan(df, "k", ["t"], F.col("flag"), lead_of="t", count_out="rc",
-                       lead_out="nxt", partitions=16)
+                       lead_out="nxt", partitions=parts)
     w = Window.partitionBy("k").orderBy("t")
     want = df.select("k", "t",
                      F.sum(F.col("flag").cast("int")).over(

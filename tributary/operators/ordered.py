@@ -48,8 +48,6 @@ def ordered_scan(df: DataFrame, key: str, order: list[str], flag: Column | str,
     starting value to the count; it is joined to the per-range summary, never
     to the rows themselves, so a hot key does not skew that join either.
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     flag_col = F.col(flag) if isinstance(flag, str) else flag
     # The range id is computed once and materialised: a range partitioner
     # samples its input, so two evaluations of the same exchange could draw
@@ -57,8 +55,12 @@ def ordered_scan(df: DataFrame, key: str, order: list[str], flag: Column | str,
     # The input is kept (memory, spilling to disk) while the range partitioner
     # samples it and the shuffle reads it, so the upstream plan runs once.
     src = df.withColumn("__flag", flag_col.cast("int")).persist(StorageLevel.MEMORY_AND_DISK)
-    staged = materialize(src.repartitionByRange(n, key, *order)
-                         .withColumn(PID, F.spark_partition_id()))
+    # Without an explicit count AQE may coalesce neighbouring ranges (small
+    # inputs); a coalesced read keeps the ranges contiguous and in order, so
+    # the ids stay monotone in the sort order.
+    ranged = (src.repartitionByRange(partitions, key, *order) if partitions
+              else src.repartitionByRange(key, *order))
+    staged = materialize(ranged.withColumn(PID, F.spark_partition_id()))
     src.unpersist()
 
     local = Window.partitionBy(PID, key).orderBy(*order)
