@@ -28,6 +28,8 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.driver.memory": "16g",
     "spark.ui.showConsoleProgress": "false",
+    # remove checkpoint files once the data that references them is collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -60,6 +62,7 @@ def cluster_conf(total_cores: int, input_split_mb: int = 256) -> dict[str, str]:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.files.maxPartitionBytes": str(input_split_mb * 1024 * 1024),
         "spark.sql.session.timeZone": "UTC",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
 
 
