@@ -91,3 +91,25 @@ def test_popular_products_methods_agree(spark, method):
     a = sorted(tuple(r) for r in G.popular_products(silver, method=method).select(*cols).collect())
     b = sorted(tuple(r) for r in G.popular_products(silver).select(*cols).collect())
     assert a == b
+
+
+def test_panes_on_a_stream_equal_batch(spark, tmp_path):
+    """Two chained window aggregations in append mode: pane rows, then slides."""
+    silver = CAT.silver(spark, "/root/testdata/sf0.001").select(
+        "event_id", "user_id", "event_timestamp", "event_type", "product_id", "session_id",
+        "cart_value")
+    src = str(tmp_path / "silver")
+    silver.repartition(2).write.parquet(src)
+    spark.createDataFrame([("zz", "u", dt.datetime(2030, 1, 1), "page_view", "p", "s", None)],
+                          silver.schema).write.mode("append").parquet(src)
+    stream = J.table_stream(spark, src, silver)
+    out, chk = str(tmp_path / "pop"), str(tmp_path / "chk")
+    for _ in range(2):
+        q = (G.popular_products(stream, method="panes").writeStream.format("parquet")
+             .outputMode("append").option("checkpointLocation", chk)
+             .trigger(availableNow=True).start(out))
+        q.awaitTermination()
+    cols = ["window_start", "product_id", "total_interactions", "views", "cart_adds", "purchases"]
+    got = sorted(tuple(r) for r in spark.read.parquet(out).select(*cols).collect())
+    want = sorted(tuple(r) for r in G.popular_products(silver).select(*cols).collect())
+    assert got == want
