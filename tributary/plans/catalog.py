@@ -892,3 +892,31 @@ def q_snapshot_diff(spark, sf_dir):
                        F.col("before.email").alias("before_email"),
                        F.col("after.name").alias("after_name"),
                        F.col("after.email").alias("after_email"))
+
+
+# The same change feed applied in four uneven batches (cut at fixed instants
+# of event time), snapshot after snapshot through the table-backed handler;
+# ordered application must give the one-batch history.
+BATCH_CUTS = [_dt.datetime(2024, 1, 3), _dt.datetime(2024, 1, 11), _dt.datetime(2024, 1, 26)]
+
+
+@register("scd2_batched", O.with_(SCD_HISTORY, "SELECT * FROM dim"))
+def q_scd2_batched(spark, sf_dir):
+    from tributary.api import CDCHandler
+
+    handler = CDCHandler(spark, scratch_path(spark, "user_dim"))
+    users = feeds.user_profiles(feeds.read_table(spark, sf_dir, "customer"))
+    handler.initialize_dimension_table(users, now=DIM_LOADED)
+    ch = changes(spark, sf_dir)
+    t = F.timestamp_millis("ts_ms")
+    bounds = [None, *BATCH_CUTS, None]
+    for lo, hi in zip(bounds[:-1], bounds[1:]):
+        part = ch
+        if lo is not None:
+            part = part.filter(t >= F.lit(lo))
+        if hi is not None:
+            # changes without a time go with the first batch (none is lost)
+            keep = (t < F.lit(hi)) | t.isNull() if lo is None else t < F.lit(hi)
+            part = part.filter(keep)
+        handler.apply_cdc_batch(part)
+    return comparable(handler.read())
