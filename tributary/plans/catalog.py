@@ -920,3 +920,24 @@ def q_scd2_batched(spark, sf_dir):
             part = part.filter(keep)
         handler.apply_cdc_batch(part)
     return comparable(handler.read())
+
+
+@register("stream_dead_letters", O.with_(CLICK_ERRORS, f"""
+SELECT CASE WHEN malformed THEN NULL ELSE event_id END AS original_event_id,
+       errs[1] AS error, CAST(len(errs) AS INTEGER) AS error_count,
+       '{TOPIC_CLICKSTREAM}' AS original_topic,
+       CAST(event_num % 3 AS INTEGER) AS partition, event_num * 2 + copy AS offset
+FROM checked WHERE len(errs) > 0"""))
+def q_stream_dead_letters(spark, sf_dir):
+    """Raw records routed by a foreachBatch stream (accepted and dead letters
+    written from the same persisted micro-batch); the dead letters read back."""
+    root = scratch_path(spark, "router")
+    landed = _land_topic(spark, sf_dir, root)
+    q = J.start_router(J.landed_stream(spark, landed, max_files_per_trigger=1),
+                       CLICKSTREAM_SCHEMA, TOPIC_CLICKSTREAM, f"{root}/accepted", f"{root}/dlq",
+                       f"{root}/_chk", trigger=AVAILABLE_NOW)
+    q.awaitTermination()
+    dlq = spark.read.parquet(f"{root}/dlq")
+    return dlq.select(
+        F.get_json_object("original_event", "$.event_id").alias("original_event_id"),
+        "error", F.size("errors").alias("error_count"), "original_topic", "partition", "offset")
