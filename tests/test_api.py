@@ -60,3 +60,20 @@ def test_backfill_manager(spark, tmp_path):
     paths = bf.full_backfill(CAT.click_messages(spark, "/root/testdata/sf0.001"))
     assert paths["gold"].endswith("/backfill/gold")
     assert spark.read.parquet(paths["silver"]).count() > 0
+
+
+def test_backfill_silver_partitioned_by_date(spark, tmp_path):
+    from tributary.plans import backfill as BF
+    from tributary.sources.tables import write_overwrite
+
+    bronze = CAT.bronze(spark, "/root/testdata/sf0.001")
+    write_overwrite(bronze, str(tmp_path / "bronze"))
+    BF.backfill_silver(spark, str(tmp_path / "bronze"), str(tmp_path / "silver"),
+                       partition_by_date=True)
+    out = spark.read.parquet(str(tmp_path / "silver"))
+    assert "event_date" in out.columns
+    assert out.count() == api.process_silver(bronze).count()
+    day = out.select("event_date").first()[0]
+    pruned = out.filter(out.event_date == day)
+    assert "PartitionFilters: [isnotnull(event_date" in pruned._jdf.queryExecution() \
+        .executedPlan().toString()

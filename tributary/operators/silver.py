@@ -10,6 +10,13 @@ from tributary.fixed import CLEANED_COLUMNS, METADATA_STRING_KEYS, SILVER_REQUIR
 from tributary.functions.timeparse import parse_event_time
 
 DEDUP_ORDER = ["kafka_timestamp", "kafka_partition", "kafka_offset"]
+EVENT_DATE = "event_date"
+
+
+def with_event_date(df: DataFrame) -> DataFrame:
+    """Adds ``event_date`` (UTC date of event_timestamp), the partition column
+    of stored silver tables."""
+    return df.withColumn(EVENT_DATE, F.to_date("event_timestamp"))
 
 
 def clean_strings(df: DataFrame, columns: list[str]) -> DataFrame:

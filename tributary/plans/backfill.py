@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from tributary.operators.bronze import process_bronze
 from tributary.operators.gold import GOLD_TABLES
-from tributary.operators.silver import process_silver
+from tributary.operators.silver import EVENT_DATE, process_silver, with_event_date
 from tributary.sources.kafka import replay_range
 from tributary.sources.tables import read_table, write_overwrite
 
@@ -31,8 +31,15 @@ def backfill_bronze(source: DataFrame, output_path: str, start_offset=None,
 
 
 def backfill_silver(spark: SparkSession, bronze_path: str, output_path: str,
-                    fmt: str = "parquet") -> int:
-    return write_overwrite(process_silver(read_table(spark, bronze_path, fmt)), output_path, fmt)
+                    fmt: str = "parquet", partition_by_date: bool = False) -> int:
+    """Silver from the stored bronze.  ``partition_by_date`` writes it
+    partitioned by ``event_date`` for time-bounded readers (they then prune
+    whole directories); the full-table gold backfill gains nothing from it."""
+    silver = process_silver(read_table(spark, bronze_path, fmt))
+    if partition_by_date:
+        return write_overwrite(with_event_date(silver), output_path, fmt,
+                               partition_by=[EVENT_DATE])
+    return write_overwrite(silver, output_path, fmt)
 
 
 def backfill_gold(spark: SparkSession, silver_path: str, output_base: str,

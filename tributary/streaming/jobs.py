@@ -182,13 +182,24 @@ def silver_batch_writer(spark: SparkSession, silver_path: str, fmt: str = "parqu
                 seen = (spark.read.format(fmt).load(silver_path)
                         .filter(F.col(BATCH_COL) < batch_id))
                 if lookback:
-                    start = batch.agg(F.min("kafka_timestamp")).first()[0]
+                    row = batch.agg(F.min("kafka_timestamp"),
+                                    F.min(S.parse_event_time(F.col("timestamp")))).first()
+                    start, first = row[0], row[1]
                     if start is not None:
-                        seen = seen.filter(F.col("kafka_timestamp")
-                                           >= F.lit(start) - F.expr(f"INTERVAL {lookback}"))
+                        bound = F.lit(start) - F.expr(f"INTERVAL {lookback}")
+                        seen = seen.filter(F.col("kafka_timestamp") >= bound)
+                    # copies carry the same event time, so stored ids dated
+                    # before the batch's earliest event (minus the lookback)
+                    # are skipped by directory
+                    if first is not None:
+                        seen = seen.filter(
+                            F.col(S.EVENT_DATE).isNull()
+                            | (F.col(S.EVENT_DATE)
+                               >= F.to_date(F.lit(first) - F.expr(f"INTERVAL {lookback}"))))
                 fresh = fresh.join(seen.select("event_id"), "event_id", "left_anti")
-            out = S.process_silver(fresh, dedup=False)
-            out.write.format(fmt).mode("overwrite").save(f"{silver_path}/{BATCH_COL}={batch_id}")
+            out = S.with_event_date(S.process_silver(fresh, dedup=False))
+            (out.write.format(fmt).mode("overwrite").partitionBy(S.EVENT_DATE)
+             .save(f"{silver_path}/{BATCH_COL}={batch_id}"))
         finally:
             batch.unpersist()
     return write
