@@ -87,29 +87,42 @@ def user_key(user_num: Column) -> Column:
     return F.concat(F.lit("USER-"), F.lpad(user_num.cast("string"), 6, "0"))
 
 
+def _sql_case(col: str, pairs: list[tuple[str, str]], other: str) -> str:
+    whens = " ".join(f"WHEN '{src}' THEN '{dst}'" for src, dst in pairs)
+    return f"CASE {col} {whens} ELSE '{other}' END"
+
+
+def _sql_pick(index: str, values: list[str]) -> str:
+    arr = ", ".join(f"'{v}'" for v in values)
+    return f"element_at(array({arr}), CAST({index} % {len(values)} AS INT) + 1)"
+
+
+# Feed columns are written as SQL expressions (one planner call per column)
+# rather than built node by node from Python, which keeps the per-query
+# set-up cost of these wide projections low.
+K = "get_json_object(props, '$.k')"
+
+
 def clickstream_events(events: DataFrame) -> DataFrame:
     """``events`` → clean clickstream records (typed, before JSON encoding)."""
-    k = F.get_json_object("props", "$.k")
-    raw = F.col("event_type")
-    has_product = raw.isin("view", "click", "purchase")
-    has_cart = raw.isin("click", "purchase")
-    ts = F.col("ts").cast("timestamp")
     page_by_raw = [(src, dict(PAGE_BY_TYPE)[dst]) for src, dst in TYPE_MAP]
-    return events.select(
-        F.col("event_id").alias("event_num"),
-        F.col("event_id").cast("string").alias("event_id"),
-        user_key(F.col("user_id")).alias("user_id"),
-        ts.alias("ts"),
-        _case(raw, TYPE_MAP, TYPE_OTHER).alias("event_type"),
-        F.when(has_product, F.concat(F.lit("PROD-"), F.lpad(k, 4, "0"))).alias("product_id"),
-        F.concat(F.lit("s-"), F.col("user_id").cast("string"), F.lit("-"),
-                 F.date_format(ts, "yyyyMMdd")).alias("session_id"),
-        _case(raw, page_by_raw, PAGE_OTHER).alias("page_url"),
-        _pick(F.col("user_id"), DEVICES).alias("device_type"),
-        _pick(F.col("event_id"), REFERRERS).alias("referrer"),
-        F.when(raw == "error", F.concat(F.lit("query-"), k)).alias("search_query"),
-        F.when(has_cart, F.col("value")).alias("cart_value"),
-        F.when(has_cart, (k.cast("int") % 3) + 1).alias("quantity"),
+    product = "event_type IN ('view', 'click', 'purchase')"
+    cart = "event_type IN ('click', 'purchase')"
+    return events.selectExpr(
+        "event_id AS event_num",
+        "CAST(event_id AS STRING) AS event_id",
+        "concat('USER-', lpad(CAST(user_id AS STRING), 6, '0')) AS user_id",
+        "CAST(ts AS TIMESTAMP) AS ts",
+        f"{_sql_case('event_type', TYPE_MAP, TYPE_OTHER)} AS event_type",
+        f"CASE WHEN {product} THEN concat('PROD-', lpad({K}, 4, '0')) END AS product_id",
+        "concat('s-', CAST(user_id AS STRING), '-', "
+        "date_format(CAST(ts AS TIMESTAMP), 'yyyyMMdd')) AS session_id",
+        f"{_sql_case('event_type', page_by_raw, PAGE_OTHER)} AS page_url",
+        f"{_sql_pick('user_id', DEVICES)} AS device_type",
+        f"{_sql_pick('event_id', REFERRERS)} AS referrer",
+        f"CASE WHEN event_type = 'error' THEN concat('query-', {K}) END AS search_query",
+        f"CASE WHEN {cart} THEN value END AS cart_value",
+        f"CASE WHEN {cart} THEN CAST({K} AS INT) % 3 + 1 END AS quantity",
     )
 
 
@@ -121,45 +134,43 @@ def clickstream_messages(events: DataFrame, topic: str = TOPIC_CLICKSTREAM) -> D
     Built in stages so that no large expression is repeated in the plan.
     """
     d = CLICK_DEFECTS
-    micros = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    has = {name: f"event_num % {r} = 0" for name, r in d.items()}
     ev = clickstream_events(events)
     # 1) the per-row fields as they are sent (defects applied)
-    sent = ev.select(
+    sent = ev.selectExpr(
         "event_num", "ts", "event_id", "product_id", "session_id",
-        F.concat(F.date_format("ts", micros),
-                 F.when(_has("event_num", d["offset_time"]), F.lit("+00:00"))
-                 .otherwise(F.lit("Z"))).alias("timestamp"),
-        F.when(_has("event_num", d["missing_user"]), F.lit(None).cast("string"))
-        .when(_has("event_num", d["padded_user"]), F.concat("user_id", F.lit(" ")))
-        .otherwise(F.col("user_id")).alias("user_id"),
-        F.when(_has("event_num", d["bad_type"]), F.lit("bogus"))
-        .otherwise(F.col("event_type")).alias("event_type"),
-        F.struct("page_url", "device_type", "referrer", "search_query",
-                 "cart_value", "quantity").alias("metadata"),
+        "concat(date_format(ts, 'yyyy-MM-dd\\'T\\'HH:mm:ss.SSSSSS'), "
+        f"CASE WHEN {has['offset_time']} THEN '+00:00' ELSE 'Z' END) AS `timestamp`",
+        f"CASE WHEN {has['missing_user']} THEN CAST(NULL AS STRING) "
+        f"WHEN {has['padded_user']} THEN concat(user_id, ' ') ELSE user_id END AS user_id",
+        f"CASE WHEN {has['bad_type']} THEN 'bogus' ELSE event_type END AS event_type",
+        "named_struct('page_url', page_url, 'device_type', device_type, 'referrer', referrer, "
+        "'search_query', search_query, 'cart_value', cart_value, 'quantity', quantity) "
+        "AS metadata",
     )
     # 2) JSON encoding (nulls omitted)
-    encoded = sent.select(
-        "event_num", "ts", "event_id", F.coalesce("user_id", F.lit(UNKNOWN_KEY)).alias("key"),
-        F.to_json(F.struct("event_id", "user_id", "timestamp", "event_type", "product_id",
-                           "session_id", "metadata")).alias("body"))
+    encoded = sent.selectExpr(
+        "event_num", "ts", "event_id", f"coalesce(user_id, '{UNKNOWN_KEY}') AS key",
+        "to_json(named_struct('event_id', event_id, 'user_id', user_id, "
+        "'timestamp', `timestamp`, 'event_type', event_type, 'product_id', product_id, "
+        "'session_id', session_id, 'metadata', metadata)) AS body")
     # 3) encoding defects, re-sends, Kafka envelope
-    value = F.when(_has("event_num", d["malformed"]), F.concat(F.lit("{bad-"), F.col("event_id"))) \
-        .when(_has("event_num", d["text_cart"]),
-              F.regexp_replace("body", r'"cart_value":([-0-9.Ee+]+)', '"cart_value":"$1"')) \
-        .otherwise(F.col("body"))
-    copies = F.when(_has("event_num", d["resend"]), F.array(F.lit(0), F.lit(1))) \
-        .otherwise(F.array(F.lit(0)))
     return (
-        encoded.select("event_num", "ts", "key", value.alias("value"),
-                       F.explode(copies).alias("copy"))
-        .select(
-            F.col("key").cast("binary").alias("key"),
-            F.col("value").cast("binary").alias("value"),
-            F.lit(topic).alias("topic"),
-            (F.col("event_num") % 3).cast("int").alias("partition"),
-            (F.col("event_num") * 2 + F.col("copy")).alias("offset"),
-            F.timestamp_micros(F.unix_micros("ts") + F.col("copy") * 1_000_000).alias("timestamp"),
-            F.lit(0).alias("timestampType"),
+        encoded.selectExpr(
+            "event_num", "ts", "key",
+            f"CASE WHEN {has['malformed']} THEN concat('{{bad-', event_id) "
+            f"WHEN {has['text_cart']} THEN regexp_replace(body, "
+            "'\"cart_value\":([-0-9.Ee+]+)', '\"cart_value\":\"$1\"') "
+            "ELSE body END AS value",
+            f"explode(CASE WHEN {has['resend']} THEN array(0, 1) ELSE array(0) END) AS copy")
+        .selectExpr(
+            "CAST(key AS BINARY) AS key",
+            "CAST(value AS BINARY) AS value",
+            f"'{topic}' AS topic",
+            "CAST(event_num % 3 AS INT) AS partition",
+            "event_num * 2 + copy AS offset",
+            "timestamp_micros(unix_micros(ts) + copy * 1000000) AS timestamp",
+            "0 AS timestampType",
         )
     )
 
