@@ -72,17 +72,6 @@ def _has(col_name: str, residue: int) -> Column:
     return (F.col(col_name) % F.lit(residue)) == 0
 
 
-def _pick(index: Column, values: list[str]) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index % len(values)).cast("int") + 1)
-
-
-def _case(col: Column, pairs: list[tuple[str, str]], other: str) -> Column:
-    out = None
-    for src, dst in pairs:
-        out = F.when(col == src, dst) if out is None else out.when(col == src, dst)
-    return out.otherwise(other)
-
-
 def user_key(user_num: Column) -> Column:
     return F.concat(F.lit("USER-"), F.lpad(user_num.cast("string"), 6, "0"))
 
