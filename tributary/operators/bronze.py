@@ -60,3 +60,38 @@ def flatten_with_lineage(df: DataFrame, now: Column | None = None) -> DataFrame:
 def process_bronze(kafka_df: DataFrame, now: Column | None = None) -> DataFrame:
     """Envelope decode → JSON parse → flatten.  One narrow stage, no shuffle."""
     return flatten_with_lineage(parse_payload(decode_envelope(kafka_df)), now)
+
+
+def process_bronze_with_dead_letters(kafka_df: DataFrame, topic: str,
+                                     now: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """Bronze rows plus a dead-letter frame for values that are not JSON.
+
+    By default (``process_bronze``) a malformed value becomes an all-NULL row
+    that silver later drops without trace; here it goes to dead letters with
+    error ``malformed`` instead.  The second parse only runs for rows whose
+    parsed fields are all NULL, so well-formed records pay nothing.
+    """
+    from functools import reduce
+
+    from tributary.functions.exprs import fence
+
+    stamp = now if now is not None else F.current_timestamp()
+    fields = [f.name for f in CLICKSTREAM_STRUCT.fields]
+    parsed = parse_payload(decode_envelope(kafka_df))
+    flat = parsed.select(F.inline(F.array("parsed")), "value", "kafka_timestamp",
+                         F.col("partition").alias("kafka_partition"),
+                         F.col("offset").alias("kafka_offset"))
+    all_null = reduce(lambda a, b: a & b, [F.col(f).isNull() for f in fields])
+    bad = F.when(all_null & F.col("value").isNotNull(),
+                 F.try_parse_json(F.col("value")).isNull()).otherwise(F.lit(False))
+    flagged = fence(flat.withColumn("__malformed", bad))
+    good = (flagged.filter(~F.col("__malformed"))
+            .select(*fields, "kafka_timestamp", "kafka_partition", "kafka_offset",
+                    stamp.alias("ingestion_timestamp")))
+    dead = (flagged.filter(F.col("__malformed"))
+            .select(F.col("value").alias("original_event"), F.lit("malformed").alias("error"),
+                    F.array(F.lit("malformed")).alias("errors"),
+                    F.lit(topic).alias("original_topic"), stamp.alias("timestamp"),
+                    F.col("kafka_partition").alias("partition"),
+                    F.col("kafka_offset").alias("offset")))
+    return good, dead

@@ -941,3 +941,13 @@ def q_stream_dead_letters(spark, sf_dir):
     return dlq.select(
         F.get_json_object("original_event", "$.event_id").alias("original_event_id"),
         "error", F.size("errors").alias("error_count"), "original_topic", "partition", "offset")
+
+
+@register("bronze_dead_letters", O.with_(O.BRONZE, f"""
+SELECT kafka_partition AS partition, kafka_offset AS offset, 'malformed' AS error,
+       '{TOPIC_CLICKSTREAM}' AS original_topic
+FROM bronze WHERE event_num % {O.D['malformed']} = 0"""))
+def q_bronze_dead_letters(spark, sf_dir):
+    _, dead = B.process_bronze_with_dead_letters(click_messages(spark, sf_dir), TOPIC_CLICKSTREAM,
+                                                 F.lit(PINNED_NOW).cast("timestamp"))
+    return dead.select("partition", "offset", "error", "original_topic")
