@@ -154,3 +154,11 @@ def test_scd2_hot_user_matches_brute_force(spark):
     assert len(a) == len(b) and a == b
     hot = got.filter(F.col("user_id") == "USER-000007").count()
     assert hot > got.count() / 4
+
+
+def test_late_changes_listed(spark):
+    early = ("u", 1704067200000 - 86_400_000, 1, ("u1", None, None), ("u1", "Old", "o@x"))
+    fresh = ("u", 1704067200000 + 1000, 2, ("u1", None, None), ("u1", "New", "n@x"))
+    df = spark.createDataFrame([early, fresh], CDC)
+    late = C.late_changes(dim0(spark), df).collect()
+    assert [r.name for r in late] == ["Old"]

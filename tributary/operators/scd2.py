@@ -12,7 +12,10 @@ changes)`` returns the next snapshot of the dimension:
   existing version plus the count of opening changes so far;
 * the current row of a touched key sorts before the batch's changes and keeps
   its version; closed history and untouched keys pass through unchanged;
-* a delete of an unknown key changes nothing.
+* a delete of an unknown key changes nothing;
+* a change older than its key's current version (late across batches) is
+  still applied after that version, in arrival order; ``late_changes`` lists
+  such changes so a caller can route them to a side table first.
 
 With one change per key per batch this equals a MERGE that closes the current
 row and appends the new one.  ``time_source="batch"`` stamps every change with
@@ -103,6 +106,17 @@ def change_events(changes: DataFrame, now: Column | _dt.datetime | None = None,
             .filter(F.col("user_id").isNotNull()))
 
 
+def late_changes(dim: DataFrame, changes: DataFrame,
+                 now: Column | _dt.datetime | None = None,
+                 time_source: str = "event") -> DataFrame:
+    """Changes whose time is before the effective_from of their key's current
+    version (one current row per key; the join splits skewed keys under AQE)."""
+    ev = change_events(changes, now, time_source)
+    current = dim.filter(F.col("is_current")).select(
+        "user_id", F.col("effective_from").alias("current_from"))
+    return ev.join(current, "user_id").filter(F.col("t") < F.col("current_from"))
+
+
 def max_versions(dim: DataFrame) -> DataFrame:
     """Highest version per user_id (partial aggregate)."""
     return dim.groupBy("user_id").agg(F.max("version").alias("max_version"))
