@@ -26,7 +26,6 @@ from pyspark.sql import functions as F
 from tributary.fixed import CDC_SCHEMA, CLICKSTREAM_SCHEMA, USER_PROFILE_SCHEMA
 
 MALFORMED = "malformed"
-_SEP = "\u001f"  # unit separator: never part of a message
 _INTEGRAL = r"^(BIGINT|INT|SMALLINT|TINYINT|DECIMAL\(\d+,0\))$"
 _NUMERIC = r"^(BIGINT|INT|SMALLINT|TINYINT|DOUBLE|FLOAT|DECIMAL\(\d+,\d+\))$"
 
@@ -39,62 +38,62 @@ def _label(parts: list[str]) -> str:
     return ".".join(parts)
 
 
-def _kind(v: Column) -> Column:
-    return F.schema_of_variant(v)
+def _lit(text: str) -> str:
+    """A SQL string literal (backslashes and quotes escaped)."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _is_type(v: Column, kind: Column, t: str) -> Column:
+# Each rule is emitted as one SQL expression over the staged columns, so a
+# schema compiles into a handful of planner calls however many rules it has.
+
+def _is_type(v: str, kind: str, t: str) -> str:
     if t == "string":
-        return kind == "STRING"
+        return f"{kind} = 'STRING'"
     if t == "integer":
-        whole_double = (kind == "DOUBLE") & (
-            F.try_variant_get(v, "$", "double") == F.floor(F.try_variant_get(v, "$", "double")))
-        return kind.rlike(_INTEGRAL) | whole_double
+        d = f"try_variant_get({v}, '$', 'double')"
+        return f"({kind} RLIKE {_lit(_INTEGRAL)} OR ({kind} = 'DOUBLE' AND {d} = floor({d})))"
     if t == "number":
-        return kind.rlike(_NUMERIC)
+        return f"{kind} RLIKE {_lit(_NUMERIC)}"
     if t == "boolean":
-        return kind == "BOOLEAN"
+        return f"{kind} = 'BOOLEAN'"
     if t == "object":
-        return kind.startswith("OBJECT")
+        return f"startswith({kind}, 'OBJECT')"
     if t == "array":
-        return kind.startswith("ARRAY")
+        return f"startswith({kind}, 'ARRAY')"
     if t == "null":
-        return kind == "VOID"
+        return f"{kind} = 'VOID'"
     raise ValueError(f"unsupported JSON type {t!r}")
 
 
-def _enum_match(v: Column, kind: Column, values: list[Any]) -> Column:
+def _enum_match(v: str, kind: str, values: list[Any]) -> str:
     conds = []
     strings = [x for x in values if isinstance(x, str)]
     numbers = [x for x in values if isinstance(x, (int, float)) and not isinstance(x, bool)]
     bools = [x for x in values if isinstance(x, bool)]
     if strings:
-        conds.append((kind == "STRING") & F.try_variant_get(v, "$", "string").isin(strings))
+        conds.append(f"({kind} = 'STRING' AND try_variant_get({v}, '$', 'string') IN "
+                     f"({', '.join(_lit(x) for x in strings)}))")
     if numbers:
-        conds.append(kind.rlike(_NUMERIC)
-                     & F.try_variant_get(v, "$", "double").isin([float(x) for x in numbers]))
+        conds.append(f"({kind} RLIKE {_lit(_NUMERIC)} AND try_variant_get({v}, '$', 'double') "
+                     f"IN ({', '.join(repr(float(x)) for x in numbers)}))")
     if bools:
-        conds.append((kind == "BOOLEAN") & F.try_variant_get(v, "$", "boolean").isin(bools))
+        conds.append(f"({kind} = 'BOOLEAN' AND try_variant_get({v}, '$', 'boolean') IN "
+                     f"({', '.join('true' if x else 'false' for x in bools)}))")
     if any(x is None for x in values):
-        conds.append(kind == "VOID")
-    out = F.lit(False)
-    for c in conds:
-        out = out | F.coalesce(c, F.lit(False))
-    return out
+        conds.append(f"{kind} = 'VOID'")
+    return " OR ".join(f"coalesce({c}, false)" for c in conds) or "false"
 
 
 def _type_text(t: str | list[str]) -> str:
     return ", ".join(f"'{x}'" for x in ([t] if isinstance(t, str) else t))
 
 
-def _root_kind(text: Column, doc: Column) -> Column:
+def _root_kind(text: str, doc: str) -> str:
     """Kind of the whole document without building its full schema string:
     once the text parsed, a leading ``{`` / ``[`` means object / array."""
-    first = F.left(F.btrim(text, F.lit(" \t\n\r")), F.lit(1))
-    return (F.when(doc.isNull(), F.lit(None))
-            .when(first == "{", F.lit("OBJECT"))
-            .when(first == "[", F.lit("ARRAY"))
-            .otherwise(F.schema_of_variant(doc)))
+    first = f"left(btrim({text}, ' \\t\\n\\r'), 1)"
+    return (f"CASE WHEN {doc} IS NULL THEN NULL WHEN {first} = '{{' THEN 'OBJECT' "
+            f"WHEN {first} = '[' THEN 'ARRAY' ELSE schema_of_variant({doc}) END")
 
 
 def _collect_paths(path: str, rule: dict, out: list[str]) -> None:
@@ -107,27 +106,25 @@ def _collect_paths(path: str, rule: dict, out: list[str]) -> None:
         _collect_paths(_path(path, prop), sub, out)
 
 
-def _node_checks(vals: dict[str, Column], kinds: dict[str, Column], path: str,
-                 label: list[str], rule: dict) -> list[Column]:
+def _node_checks(vals: dict[str, str], kinds: dict[str, str], path: str,
+                 label: list[str], rule: dict) -> list[str]:
     """Violations of ``rule`` by the value at ``path`` (skipped when absent)."""
     v, kind = vals[path], kinds[path]
-    present = v.isNotNull()
     name = _label(label) if label else "$"
-    out: list[Column] = []
+    out: list[str] = []
     if "type" in rule:
         types = [rule["type"]] if isinstance(rule["type"], str) else list(rule["type"])
-        ok = F.lit(False)
-        for t in types:
-            ok = ok | F.coalesce(_is_type(v, kind, t), F.lit(False))
-        out.append(F.when(present & ~ok,
-                          F.lit(f"'{name}' is not of type {_type_text(rule['type'])}")))
+        ok = " OR ".join(f"coalesce({_is_type(v, kind, t)}, false)" for t in types)
+        msg = _lit(f"'{name}' is not of type {_type_text(rule['type'])}")
+        out.append(f"CASE WHEN {v} IS NOT NULL AND NOT ({ok}) THEN {msg} END")
     if "enum" in rule:
-        out.append(F.when(present & ~_enum_match(v, kind, rule["enum"]),
-                          F.lit(f"'{name}' is not one of {rule['enum']!r}")))
-    is_object = F.coalesce(present & kind.startswith("OBJECT"), F.lit(False))
+        msg = _lit(f"'{name}' is not one of {rule['enum']!r}")
+        out.append(f"CASE WHEN {v} IS NOT NULL AND NOT ({_enum_match(v, kind, rule['enum'])}) "
+                   f"THEN {msg} END")
+    is_object = f"coalesce({v} IS NOT NULL AND startswith({kind}, 'OBJECT'), false)"
     for req in rule.get("required", []):
-        out.append(F.when(is_object & vals[_path(path, req)].isNull(),
-                          F.lit(f"'{_label(label + [req])}' is a required property")))
+        msg = _lit(f"'{_label(label + [req])}' is a required property")
+        out.append(f"CASE WHEN {is_object} AND {vals[_path(path, req)]} IS NULL THEN {msg} END")
     for prop, sub in rule.get("properties", {}).items():
         out.extend(_node_checks(vals, kinds, _path(path, prop), label + [prop], sub))
     return out
@@ -146,21 +143,23 @@ def with_violations(df: DataFrame, text: Column | str, schema: dict,
     _collect_paths("$", schema, paths)
     names = {p: f"__v{i}" for i, p in enumerate(paths)}
     kinds = {p: f"__k{i}" for i, p in enumerate(paths)}
-    staged = (df.withColumn("__doc", F.try_parse_json(text))
-                .withColumns({names[p]: (F.col("__doc") if p == "$" else
-                                         F.try_variant_get(F.col("__doc"), p, "variant"))
+    staged = (df.withColumns({"__text": text})
+                .withColumn("__doc", F.expr("try_parse_json(__text)"))
+                .withColumns({names[p]: F.expr("__doc" if p == "$" else
+                                               f"try_variant_get(__doc, {_lit(p)}, 'variant')")
                               for p in paths})
-                .withColumns({kinds[p]: (_root_kind(text, F.col(names[p])) if p == "$" else
-                                         F.schema_of_variant(F.col(names[p])))
+                .withColumns({kinds[p]: F.expr(_root_kind("__text", names[p]) if p == "$" else
+                                               f"schema_of_variant({names[p]})")
                               for p in paths}))
-    checks = _node_checks({p: F.col(n) for p, n in names.items()},
-                          {p: F.col(n) for p, n in kinds.items()}, "$", [], schema)
+    checks = _node_checks(names, kinds, "$", [], schema)
     # concat_ws skips NULLs; unlike filter(array, lambda) it keeps the
     # projection inside whole-stage code generation
-    joined = F.concat_ws(_SEP, *checks)
-    found = F.when(joined == "", F.array().cast("array<string>")).otherwise(F.split(joined, _SEP))
-    result = F.when(F.col("__doc").isNull(), F.array(F.lit(MALFORMED))).otherwise(found)
-    return staged.withColumn(out, result).drop("__doc", *names.values(), *kinds.values())
+    joined = staged.withColumn("__found", F.expr(f"concat_ws(char(31), {', '.join(checks)})"))
+    result = (f"CASE WHEN __doc IS NULL THEN array({_lit(MALFORMED)}) "
+              "WHEN __found = '' THEN CAST(array() AS ARRAY<STRING>) "
+              "ELSE split(__found, char(31)) END")
+    return (joined.withColumn(out, F.expr(result))
+            .drop("__text", "__doc", "__found", *names.values(), *kinds.values()))
 
 
 class SchemaRegistry:
