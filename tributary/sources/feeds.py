@@ -68,10 +68,6 @@ def ensure_parallelism(df: DataFrame) -> DataFrame:
     return df.repartition(slots) if parts < slots else df
 
 
-def _has(col_name: str, residue: int) -> Column:
-    return (F.col(col_name) % F.lit(residue)) == 0
-
-
 def user_key(user_num: Column) -> Column:
     return F.concat(F.lit("USER-"), F.lpad(user_num.cast("string"), 6, "0"))
 
@@ -165,44 +161,41 @@ def clickstream_messages(events: DataFrame, topic: str = TOPIC_CLICKSTREAM) -> D
 
 
 def cdc_changes(events: DataFrame) -> DataFrame:
-    """``events`` → typed user change records (op, ts_ms, before, after)."""
-    op = F.when(F.col("event_type") == "signup", "c") \
-        .when(F.col("event_type") == "error", "d").otherwise("u")
-    op = F.when(_has("event_id", CDC_DEFECTS["bad_op"]), F.lit("x")).otherwise(op)
-    uid = user_key(F.col("user_id"))
-    image = F.struct(
-        uid.alias("user_id"),
-        F.concat(F.lit("user "), F.col("user_id").cast("string"), F.lit(" v"),
-                 F.col("event_id").cast("string")).alias("name"),
-        F.concat(F.lit("u"), F.col("event_id").cast("string"), F.lit("@example.com")).alias("email"),
-    )
-    key_only = F.struct(uid.alias("user_id"), F.lit(None).cast("string").alias("name"),
-                        F.lit(None).cast("string").alias("email"))
-    return events.select(
-        F.col("event_id").alias("change_num"),
-        op.alias("op"),
-        F.unix_millis(F.col("ts").cast("timestamp")).alias("ts_ms"),
-        F.struct(F.lit("users").alias("table"), F.lit("ecommerce").alias("db")).alias("source"),
-        F.when(op.isin("u", "d", "x"), key_only).alias("before"),
-        F.when(op != "d", image).alias("after"),
-    )
+    """``events`` → typed user change records (op, ts_ms, source, before, after)."""
+    uid = "concat('USER-', lpad(CAST(user_id AS STRING), 6, '0'))"
+    staged = events.selectExpr(
+        "event_id AS change_num",
+        f"CASE WHEN event_id % {CDC_DEFECTS['bad_op']} = 0 THEN 'x' "
+        "WHEN event_type = 'signup' THEN 'c' WHEN event_type = 'error' THEN 'd' "
+        "ELSE 'u' END AS op",
+        "unix_millis(CAST(ts AS TIMESTAMP)) AS ts_ms",
+        f"{uid} AS uid",
+        "concat('user ', CAST(user_id AS STRING), ' v', CAST(event_id AS STRING)) AS name",
+        "concat('u', CAST(event_id AS STRING), '@example.com') AS email")
+    return staged.selectExpr(
+        "change_num", "op", "ts_ms",
+        "named_struct('table', 'users', 'db', 'ecommerce') AS source",
+        "CASE WHEN op IN ('u', 'd', 'x') THEN named_struct('user_id', uid, "
+        "'name', CAST(NULL AS STRING), 'email', CAST(NULL AS STRING)) END AS before",
+        "CASE WHEN op <> 'd' THEN named_struct('user_id', uid, 'name', name, "
+        "'email', email) END AS after")
 
 
 def cdc_messages(events: DataFrame, topic: str = TOPIC_CDC) -> DataFrame:
     """``events`` → Kafka-shaped change-feed records (JSON keeps explicit nulls)."""
-    ch = cdc_changes(events)
-    body = F.to_json(F.struct("op", "ts_ms", "source", "before", "after"),
-                     {"ignoreNullFields": "false"})
-    return ch.select(
-        F.coalesce(F.col("after.user_id"), F.col("before.user_id"), F.lit(UNKNOWN_KEY))
-        .cast("binary").alias("key"),
-        body.cast("binary").alias("value"),
-        F.lit(topic).alias("topic"),
-        (F.col("change_num") % 3).cast("int").alias("partition"),
-        F.col("change_num").alias("offset"),
-        F.timestamp_millis("ts_ms").alias("timestamp"),
-        F.lit(0).alias("timestampType"),
-    )
+    return cdc_changes(events).selectExpr(
+        f"CAST(coalesce(after.user_id, before.user_id, '{UNKNOWN_KEY}') AS BINARY) AS key",
+        "CAST(to_json(named_struct('op', op, 'ts_ms', ts_ms, 'source', source, "
+        "'before', before, 'after', after), map('ignoreNullFields', 'false')) AS BINARY) "
+        "AS value",
+        f"'{topic}' AS topic",
+        "CAST(change_num % 3 AS INT) AS partition",
+        "change_num AS offset",
+        "timestamp_millis(ts_ms) AS timestamp",
+        "0 AS timestampType")
+
+
+_PROFILE_EMAIL = "concat(lower(regexp_replace(c_name, '#', '.')), '@example.com')"
 
 
 def profile_messages(customer: DataFrame) -> DataFrame:
@@ -211,21 +204,18 @@ def profile_messages(customer: DataFrame) -> DataFrame:
     Customers with a negative balance lose their ``user_id`` key, which the
     profile rules reject.
     """
-    uid = F.when(F.col("c_acctbal") >= 0, user_key(F.col("c_custkey")))
-    body = F.to_json(F.struct(
-        uid.alias("user_id"),
-        F.col("c_name").alias("name"),
-        F.concat(F.lower(F.regexp_replace("c_name", "#", ".")), F.lit("@example.com")).alias("email"),
-        F.struct(F.col("c_mktsegment").alias("segment"),
-                 F.col("c_nationkey").alias("nation")).alias("preferences"),
-    ))
-    return customer.select(F.col("c_custkey").alias("profile_num"), body.alias("value"))
+    return customer.selectExpr(
+        "c_custkey AS profile_num",
+        "to_json(named_struct("
+        "'user_id', CASE WHEN c_acctbal >= 0 "
+        "THEN concat('USER-', lpad(CAST(c_custkey AS STRING), 6, '0')) END, "
+        f"'name', c_name, 'email', {_PROFILE_EMAIL}, "
+        "'preferences', named_struct('segment', c_mktsegment, 'nation', c_nationkey))) AS value")
 
 
 def user_profiles(customer: DataFrame) -> DataFrame:
     """``customer`` → typed user rows (user_id, name, email) for the dimension."""
-    return customer.select(
-        user_key(F.col("c_custkey")).alias("user_id"),
-        F.col("c_name").alias("name"),
-        F.concat(F.lower(F.regexp_replace("c_name", "#", ".")), F.lit("@example.com")).alias("email"),
-    )
+    return customer.selectExpr(
+        "concat('USER-', lpad(CAST(c_custkey AS STRING), 6, '0')) AS user_id",
+        "c_name AS name",
+        f"{_PROFILE_EMAIL} AS email")
