@@ -110,3 +110,17 @@ def test_overview_since(spark):
     empty_q = spark.createDataFrame([], "score double, passed boolean")
     r = M.overview(epm, empty_conv, empty_q, since=F.lit(dt.datetime(2024, 1, 1, 1))).first()
     assert r.total_events == 20
+
+
+def test_per_table_gold_checks(spark):
+    from tributary.operators import gold as G
+    from tributary.plans import catalog as CAT
+
+    chk = Q.DataQualityChecker(per_table_gold=True, missing="fail")
+    silver = CAT.silver(spark, "/root/testdata/sf0.001")
+    scores = {}
+    for table, fn in G.GOLD_TABLES.items():
+        for r in chk.run_checks(fn(silver), f"gold.{table}", now=NOW).collect():
+            scores[r.check_name] = (r.score, r.passed)
+    assert set(scores) == {f"gold_{t}_completeness" for t in Q.GOLD_MEASURES}
+    assert all(v == (1.0, True) for v in scores.values())

@@ -102,11 +102,31 @@ def score_expr(check: QualityCheck, df: DataFrame, now: Column,
     raise ValueError(f"unknown check kind {check.kind!r}")
 
 
+# Measure columns of each gold table, for per-table completeness checks.
+GOLD_MEASURES = {
+    "events_per_minute": ["event_count", "unique_users", "unique_sessions"],
+    "conversion_rate": ["total_events", "purchases", "add_to_carts", "sessions",
+                        "conversion_rate", "cart_to_purchase_rate"],
+    "popular_products": ["total_interactions", "views", "cart_adds", "purchases"],
+    "active_users_hourly": ["active_users", "total_sessions", "total_events"],
+}
+
+
+def gold_table_checks(threshold: float = 1.0) -> list[QualityCheck]:
+    """One completeness check per gold table over its own measure columns,
+    layer ``gold.<table>`` (the default gold check only fits one table and
+    passes trivially on the others, whose columns it skips)."""
+    return [QualityCheck(f"gold_{t}_completeness", f"gold.{t}", threshold,
+                         f"Verify {t} measures are non-null", "required_fields", cols)
+            for t, cols in GOLD_MEASURES.items()]
+
+
 class DataQualityChecker:
     """Registry of checks with the default suite pre-registered."""
 
     def __init__(self, defaults: bool = True,
-                 thresholds: dict[str, float] | None = None, missing: str = "skip") -> None:
+                 thresholds: dict[str, float] | None = None, missing: str = "skip",
+                 per_table_gold: bool = False) -> None:
         if missing not in ("skip", "fail"):
             raise ValueError("missing must be 'skip' or 'fail'")
         self.missing = missing
@@ -115,6 +135,9 @@ class DataQualityChecker:
             for name, layer, kind, fields, threshold, desc in DEFAULT_CHECKS:
                 t = (thresholds or {}).get(name, threshold)
                 self.register_check(QualityCheck(name, layer, t, desc, kind, list(fields)))
+        if per_table_gold:
+            for check in gold_table_checks():
+                self.register_check(check)
 
     def register_check(self, check: QualityCheck) -> None:
         self.checks.append(check)
