@@ -150,7 +150,12 @@ class EventRouter:
         self.schema, self.topic = schema, topic
 
     def route(self, raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """(accepted rows keyed for the topic, dead-letter envelopes)."""
+        """(accepted rows keyed for the topic, dead-letter envelopes).
+
+        Both frames derive from one validation; writing both evaluates it
+        twice unless ``raw`` is persisted first (the streaming router,
+        ``streaming.jobs.start_router``, persists each micro-batch itself).
+        """
         checked = R.validate(raw, self.schema)
         ok = R.keyed_for_topic(R.accepted(checked), self.topic,
                                R.clickstream_key(F.col("value").cast("string")))
