@@ -951,3 +951,43 @@ def q_bronze_dead_letters(spark, sf_dir):
     _, dead = B.process_bronze_with_dead_letters(click_messages(spark, sf_dir), TOPIC_CLICKSTREAM,
                                                  F.lit(PINNED_NOW).cast("timestamp"))
     return dead.select("partition", "offset", "error", "original_topic")
+
+
+# Per-table gold completeness (D11): one result per gold table and day.
+GOLD_TABLE_SQL = O.with_(O.SILVER + """,
+e AS (SELECT DISTINCT time_bucket(INTERVAL '1 minute', event_timestamp) AS w, event_type
+      FROM silver WHERE event_timestamp IS NOT NULL),
+c AS (SELECT DISTINCT time_bucket(INTERVAL '5 minutes', event_timestamp) AS w
+      FROM silver WHERE event_timestamp IS NOT NULL),
+p AS (SELECT DISTINCT unnest(generate_series(
+          time_bucket(INTERVAL '5 minutes', event_timestamp) - INTERVAL '55 minutes',
+          time_bucket(INTERVAL '5 minutes', event_timestamp), INTERVAL '5 minutes')) AS w,
+        product_id
+      FROM silver WHERE product_id IS NOT NULL AND event_timestamp IS NOT NULL),
+h AS (SELECT DISTINCT time_bucket(INTERVAL '1 hour', event_timestamp) AS w
+      FROM silver WHERE event_timestamp IS NOT NULL),
+t AS (
+  SELECT 'events_per_minute' AS tbl, w FROM e UNION ALL
+  SELECT 'conversion_rate', w FROM c UNION ALL
+  SELECT 'popular_products', w FROM p UNION ALL
+  SELECT 'active_users_hourly', w FROM h
+)""", """
+SELECT 'gold_' || tbl || '_completeness' AS check_name, 'gold.' || tbl AS layer,
+       CAST(1.0 AS DOUBLE) AS score, true AS passed, count(*) AS record_count,
+       'Threshold: 1.0' AS details,
+       CAST(CAST(w AS DATE) + 1 AS TIMESTAMP) AS "timestamp"
+FROM t GROUP BY tbl, CAST(w AS DATE)""")
+
+
+@register("quality_gold_tables", GOLD_TABLE_SQL)
+def q_quality_gold_tables(spark, sf_dir):
+    checker = Q.DataQualityChecker(defaults=False, per_table_gold=True, missing="fail")
+    s = stored_silver(spark, sf_dir)
+    out = None
+    for table, fn in G.GOLD_TABLES.items():
+        df = fn(s) if table == "popular_products" else fn(s, distinct="exact")
+        col = "hour_start" if table == "active_users_hourly" else "window_start"
+        by, run = _daily(col)
+        res = checker.run_checks(df, f"gold.{table}", by=by, run_time=run).drop("day")
+        out = res if out is None else out.unionByName(res)
+    return comparable(out, QSCORE)
