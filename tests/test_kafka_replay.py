@@ -35,3 +35,17 @@ def test_replay_range(spark):
     assert got(end_offset=1) == [(0, 0), (1, 0)]
     # first offset at/after the time per partition; later older records kept
     assert got(start_timestamp=t0 + dt.timedelta(minutes=8)) == [(0, 1), (0, 2), (0, 3)]
+
+
+def test_kafka_readers_name_the_missing_connector(spark):
+    import pytest
+
+    try:
+        K.read_kafka_stream(spark, "broker:9092", "t")
+    except RuntimeError as e:
+        assert "spark-sql-kafka" in str(e)
+    else:  # a connector is installed: the reader is lazy and returns a stream
+        pass
+    with pytest.raises(Exception):
+        K.read_kafka_batch(spark, "broker:9092", "t", K.starting_options("t"),
+                           K.ending_options("t")).count()

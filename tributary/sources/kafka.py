@@ -76,6 +76,20 @@ def ending_options(topic: str, end_offset: int | None = None,
     return {"endingOffsets": json.dumps({topic: _partition_map(partitions, end_offset, LATEST)})}
 
 
+CONNECTOR_HINT = ("the Kafka source needs the spark-sql-kafka-0-10 connector on the cluster "
+                  "(for example --packages org.apache.spark:spark-sql-kafka-0-10_2.13:<spark "
+                  "version>)")
+
+
+def _load(reader) -> DataFrame:
+    try:
+        return reader.load()
+    except Exception as e:  # noqa: BLE001 — only the missing-connector case is rewrapped
+        if "kafka" in str(e).lower() and "data source" in str(e).lower():
+            raise RuntimeError(CONNECTOR_HINT) from e
+        raise
+
+
 def read_kafka_stream(spark: SparkSession, bootstrap: str, topic: str,
                       starting: str = "latest", fail_on_data_loss: bool = False,
                       extra: dict[str, str] | None = None) -> DataFrame:
@@ -86,7 +100,7 @@ def read_kafka_stream(spark: SparkSession, bootstrap: str, topic: str,
          .option("failOnDataLoss", str(fail_on_data_loss).lower()))
     for k, v in (extra or {}).items():
         r = r.option(k, v)
-    return r.load()
+    return _load(r)
 
 
 def read_kafka_batch(spark: SparkSession, bootstrap: str, topic: str,
@@ -96,7 +110,7 @@ def read_kafka_batch(spark: SparkSession, bootstrap: str, topic: str,
          .option("subscribe", topic))
     for k, v in {**starting, **ending}.items():
         r = r.option(k, v)
-    return r.load()
+    return _load(r)
 
 
 def replay_range(landed: DataFrame, start_offset: int | dict[int, int] | None = None,
