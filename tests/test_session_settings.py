@@ -41,3 +41,17 @@ def test_queries_independent_of_zone_and_ansi(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old_tz)
         spark.conf.set("spark.sql.ansi.enabled", old_ansi)
+
+
+def test_shared_dir_reads_the_session_setting(spark):
+    from tributary.session import cluster_conf, scratch_path, shared_dir
+
+    configured = spark.conf.get("spark.checkpoint.dir", None) or \
+        spark.sparkContext.getCheckpointDir()
+    root = shared_dir(spark)
+    assert configured and configured.rstrip("/").endswith(root.split(":", 1)[-1].rstrip("/"))
+    assert scratch_path(spark, "x").startswith(root + "/tributary/x-")
+    conf = cluster_conf(4000)
+    assert int(conf["spark.sql.shuffle.partitions"]) >= 12000
+    assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert conf["spark.cleaner.referenceTracking.cleanCheckpoints"] == "true"
