@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.llm.bpe_tables import SPAN, MergeTable, Remembered, merge_table
+from tributary.llm.shared import extended
 
 # Fixed value: how the vocabulary's tokenizer splits normalised text into words.
 WORD_PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]"
@@ -138,8 +139,8 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """``docs`` with ``token_ids`` (array of int) and ``n_tokens`` added; a null
     or empty text has no tokens.  Existing columns of these names are replaced;
     every other column, null keys and repeated rows pass through unchanged."""
-    schema = docs.drop("token_ids", "n_tokens")
-    names = schema.columns
+    src = docs.drop("token_ids", "n_tokens")
+    names = src.columns
     at = names.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,8 +154,8 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns, ids, pa.array(size)],
                                              names=[*names, "token_ids", "n_tokens"])
 
-    out = schema.schema.add("token_ids", "array<int>").add("n_tokens", "long")
-    return schema.mapInArrow(run, out)
+    out = extended(src, token_ids="array<int>", n_tokens="long")
+    return src.mapInArrow(run, out)
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "token_ids") -> DataFrame:
@@ -173,7 +174,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "token_ids") -> DataFrame:
                 [*b.columns, pa.array(text, pa.binary()).cast(pa.string())],
                 names=[*names, "decoded"])
 
-    return src.mapInArrow(run, src.schema.add("decoded", "string"))
+    return src.mapInArrow(run, extended(src, decoded="string"))
 
 
 def digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -3,11 +3,13 @@ shared folder, and vectorised word hashing over Arrow text buffers."""
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from tributary.session import scratch_path
 
@@ -15,6 +17,10 @@ from tributary.session import scratch_path
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
+# or, for words that are letters and digits only, of any other ASCII byte too
+_BETWEEN = np.ones(256, dtype=bool)
+_BETWEEN[48:58] = _BETWEEN[65:91] = _BETWEEN[97:123] = _BETWEEN[128:] = False
+
 # One documented random source: all hashes are the same in every task.
 _RNG = np.random.Generator(np.random.PCG64(20240917))
 _BYTE = _RNG.integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -27,6 +33,16 @@ _INV = np.ones(1, dtype=np.uint64)
 CHUNK_BYTES = 1 << 20
 
 
+def importable(spark: SparkSession) -> None:
+    """Let the session's Python workers import this package from where the
+    driver did (on a cluster: the same path, or the package installed)."""
+    env = spark.sparkContext.environment
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet under the shared folder and read back:
     cuts the lineage, survives lost executors, keeps column pruning, and gives
@@ -36,6 +52,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def extended(df: DataFrame, **kinds: str) -> StructType:
+    """The schema of ``df`` with more columns after its own."""
+    out = StructType(list(df.schema.fields))
+    for name, kind in kinds.items():
+        out.add(name, kind)
+    return out
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finaliser: spreads the bits of 64-bit hashes (a bijection)."""
     x = x ^ (x >> np.uint64(30))
@@ -90,10 +114,11 @@ def doc_chunks(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
 class Words:
     """The words of some documents: spans, 64-bit hashes and word ranges."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = False):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = False,
+                 letters: bool = False):
         self.data, self.offsets = data, offsets
         n = len(data)
-        word = ~_SPACE[data]
+        word = ~(_BETWEEN if letters else _SPACE)[data]
         start, end = word.copy(), word.copy()
         if n:
             inner = offsets[(offsets > 0) & (offsets < n)]
