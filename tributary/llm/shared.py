@@ -54,10 +54,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def extended(df: DataFrame, **kinds: str) -> StructType:
     """The schema of ``df`` with more columns after its own."""
-    out = StructType(list(df.schema.fields))
-    for name, kind in kinds.items():
-        out.add(name, kind)
-    return out
+    more = StructType.fromDDL(", ".join(f"{name} {kind}" for name, kind in kinds.items()))
+    return StructType([*df.schema.fields, *more.fields])
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
