@@ -50,8 +50,28 @@ def test_shared_dir_reads_the_session_setting(spark):
         spark.sparkContext.getCheckpointDir()
     root = shared_dir(spark)
     assert configured and configured.rstrip("/").endswith(root.split(":", 1)[-1].rstrip("/"))
-    assert scratch_path(spark, "x").startswith(root + "/tributary/x-")
+    assert scratch_path(spark, "x").startswith(root + "/tributary/run-")
     conf = cluster_conf(4000)
     assert int(conf["spark.sql.shuffle.partitions"]) >= 12000
     assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
     assert conf["spark.cleaner.referenceTracking.cleanCheckpoints"] == "true"
+
+
+def test_no_private_folder_on_a_cluster():
+    import pytest
+
+    from tributary.session import shared_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return "spark://host:7077" if key == "spark.master" else default
+
+    class Context:
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session())

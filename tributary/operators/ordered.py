@@ -18,14 +18,13 @@ value (``lead``) — without that:
    order value as its lead.
 
 Range boundaries come from Spark's range partitioner, which samples its
-input; the rows with their range id are therefore written once to the shared
-checkpoint folder (``session.materialize``) and both the scan and the summary
+input; the rows with their range id are therefore written once, as Parquet in
+the shared folder (``session.materialize``), and both the scan and the summary
 read that copy, so they agree on every id, also after an executor loss.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,16 +51,13 @@ def ordered_scan(df: DataFrame, key: str, order: list[str], flag: Column | str,
     # The range id is computed once and materialised: a range partitioner
     # samples its input, so two evaluations of the same exchange could draw
     # different boundaries; both branches below must see the same ids.
-    # The input is kept (memory, spilling to disk) while the range partitioner
-    # samples it and the shuffle reads it, so the upstream plan runs once.
-    src = df.withColumn("__flag", flag_col.cast("int")).persist(StorageLevel.MEMORY_AND_DISK)
+    src = df.withColumn("__flag", flag_col.cast("int"))
     # Without an explicit count AQE may coalesce neighbouring ranges (small
     # inputs); a coalesced read keeps the ranges contiguous and in order, so
     # the ids stay monotone in the sort order.
     ranged = (src.repartitionByRange(partitions, key, *order) if partitions
               else src.repartitionByRange(key, *order))
-    staged = materialize(ranged.withColumn(PID, F.spark_partition_id()))
-    src.unpersist()
+    staged = materialize(ranged.withColumn(PID, F.spark_partition_id()), "ranges")
 
     local = Window.partitionBy(PID, key).orderBy(*order)
     scanned = staged.withColumns({
@@ -69,9 +65,14 @@ def ordered_scan(df: DataFrame, key: str, order: list[str], flag: Column | str,
         "__ln": F.lead(lead_of).over(local),
     })
 
-    summary = (staged.groupBy(PID, key)
-               .agg(F.sum("__flag").alias("__cnt"),
-                    F.min_by(F.col(lead_of), F.struct(*order)).alias("__first")))
+    # a group's total and first value stand in its last and first row of the
+    # same window, so the summary shares the scan's shuffle
+    summary = (scanned.select(PID, key, "__lc", "__ln", F.col(lead_of).alias("__v"),
+                              F.row_number().over(local).alias("__rn"))
+               .filter((F.col("__rn") == 1) | F.col("__ln").isNull())
+               .groupBy(PID, key)
+               .agg(F.max(F.when(F.col("__ln").isNull(), F.col("__lc"))).alias("__cnt"),
+                    F.max(F.when(F.col("__rn") == 1, F.col("__v"))).alias("__first")))
     across = Window.partitionBy(key).orderBy(PID)
     summary = summary.select(
         PID, key,

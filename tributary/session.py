@@ -2,12 +2,14 @@
 
 The library never creates its own cluster settings behind the caller's back:
 ``build_session`` is a convenience for tests, scripts and the benchmark, and
-``shared_dir`` only falls back to a local folder when the session names no
-checkpoint directory (local tests).
+``shared_dir`` only makes a folder of its own for a session in one process
+(local tests) that names no checkpoint directory.
 """
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import tempfile
 import uuid
@@ -26,7 +28,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
-    "spark.driver.memory": "16g",
+    "spark.driver.memory": "8g",
     "spark.ui.showConsoleProgress": "false",
     # remove checkpoint files once the data that references them is collected
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
@@ -76,9 +78,10 @@ def ensure_conf(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """Root for checkpoints, stream state and hand-over tables.
 
-    On a cluster this is the shared folder named by ``spark.checkpoint.dir``.
-    Only when the session names none (local tests) is a private temporary
-    folder created and registered as the checkpoint directory.
+    This is the shared folder named by ``spark.checkpoint.dir``.  A session
+    that names none gets a private temporary folder only if all of it runs in
+    one process (``local[...]``); on a cluster that folder would be another one
+    on every machine, so there it is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -88,6 +91,10 @@ def shared_dir(spark: SparkSession) -> str:
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all "
+                             "executors share")
         root = tempfile.mkdtemp(prefix="tributary-")
         spark.conf.set("spark.checkpoint.dir", root)
     if sc is not None and not sc.getCheckpointDir():
@@ -95,21 +102,41 @@ def shared_dir(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+# hand-over tables of this process, under every shared folder it has used
+_RUN = f"tributary/run-{uuid.uuid4().hex[:12]}"
+_USED: dict[str, SparkSession] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared root for one run."""
-    return f"{shared_dir(spark)}/tributary/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique folder under the shared root; removed when the process
+    ends (``remove_scratch``)."""
+    root = shared_dir(spark)
+    _USED[root] = spark
+    return f"{root}/{_RUN}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@atexit.register
+def remove_scratch() -> None:
+    """Remove the hand-over tables that this process wrote."""
+    for root, spark in list(_USED.items()):
+        with contextlib.suppress(Exception):  # a stopped session: nothing to reach it with
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{_RUN}")
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _USED.pop(root, None)
 
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def materialize(df):
-    """Write ``df`` once to the shared checkpoint folder and read it back.
+def materialize(df, name: str = "stored"):
+    """Write ``df`` once as Parquet under the shared folder and read it back.
 
     Used where two branches of a plan must see exactly the same rows with the
     same computed columns (for example a range id assigned after a range
-    shuffle); a reliable checkpoint also survives the loss of executors.
+    shuffle), or where a result is read several times: readers prune columns,
+    and the copy survives the loss of executors.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
