@@ -3,9 +3,6 @@ gold drops late rows and reports them."""
 
 import datetime as dt
 import json
-import os
-
-from pyspark.sql import functions as F
 
 from tributary.sources.kafka import KAFKA_SCHEMA
 from tributary.streaming import jobs as J
@@ -66,12 +63,78 @@ def test_gold_late_rows_dropped(spark, tmp_path):
 
     add([("a", "u", T0 + dt.timedelta(minutes=30), "page_view", "p", "s", None)])
     run()
+    add([("c", "u", T0 + dt.timedelta(minutes=60), "page_view", "p", "s", None)])
+    run()   # closes the window of "a"
     add([("b", "u", T0, "page_view", "p", "s", None)])  # 30 minutes late: beyond 2 minutes
     q = run()
     assert J.rows_dropped_by_watermark(q) >= 1
-    out = spark.read.parquet(f"{root}/gold") if os.path.exists(f"{root}/gold") else None
-    if out is not None:
-        assert out.filter(F.col("window_start") == T0).count() == 0
+    out = spark.read.parquet(f"{root}/gold")
+    assert [r.window_start for r in out.collect()] == [T0 + dt.timedelta(minutes=30)]
+
+
+def layers(spark, root):
+    """Bronze and silver over all that has landed, as far as it is new."""
+    J.start_bronze(J.landed_stream(spark, f"{root}/landed"), f"{root}/bronze", f"{root}/chk/b",
+                   trigger={"availableNow": True}).awaitTermination()
+    like = spark.read.parquet(f"{root}/bronze")
+    J.start_silver(J.table_stream(spark, f"{root}/bronze", like), f"{root}/silver",
+                   f"{root}/chk/s", trigger={"availableNow": True}).awaitTermination()
+
+
+def test_copy_days_later_stays_out(spark, tmp_path):
+    root = str(tmp_path)
+    land(spark, f"{root}/landed", [(event("e1", 0), 0)])
+    layers(spark, root)
+    land(spark, f"{root}/landed", [(event("e1", 0), 60 * 24 * 9), (event("e2", 1), 60 * 24 * 9)])
+    layers(spark, root)
+    assert sorted(r.event_id for r in spark.read.parquet(f"{root}/silver").collect()) == ["e1", "e2"]
+
+
+def test_repeated_silver_batch_counts_once(spark, tmp_path):
+    root = str(tmp_path)
+    land(spark, f"{root}/landed", [(event("e1", 0), 0), (event("e2", 60), 1)])
+    layers(spark, root)
+    like = spark.read.parquet(f"{root}/silver")
+
+    def gold():
+        J.start_gold(J.table_stream(spark, f"{root}/silver", like), "events_per_minute",
+                     f"{root}/gold", f"{root}/chk/g", trigger={"availableNow": True}).awaitTermination()
+
+    gold()
+    before = sorted(r.path for r in spark.read.format("binaryFile").load(f"{root}/silver/batch_id=0/*.parquet")
+                    .select("path").collect())
+    J.silver_batch_writer(spark, f"{root}/silver")(spark.read.parquet(f"{root}/bronze"), 0)
+    after = sorted(r.path for r in spark.read.format("binaryFile").load(f"{root}/silver/batch_id=0/*.parquet")
+                   .select("path").collect())
+    assert before == after
+    gold()
+    out = spark.read.parquet(f"{root}/gold")
+    assert [(r.window_start, r.event_count) for r in out.collect()] == [(T0, 1)]
+
+
+def test_handler_and_stream_share_snapshot_numbers(spark, tmp_path):
+    from tributary.api import CDCHandler
+
+    schema = ("op string, ts_ms bigint, seq bigint, before struct<user_id:string,name:string,"
+              "email:string>, after struct<user_id:string,name:string,email:string>")
+    ms = int(T0.replace(tzinfo=dt.timezone.utc).timestamp() * 1000)
+
+    def change(i, user):
+        return spark.createDataFrame([("c", ms + i, i, None, (user, user, user))], schema)
+
+    handler = CDCHandler(spark, str(tmp_path / "dim"))
+    handler.initialize_dimension_table(
+        spark.createDataFrame([("u0", "A", "a")], "user_id string, name string, email string"), now=T0)
+    handler.apply_cdc_batch(change(1, "u1"))
+    handler.apply_cdc_batch(change(2, "u2"))
+    write = J.scd2_batch_writer(spark, handler.path)
+    write(change(3, "u3"), 0)
+    write(change(3, "u3"), 0)      # the same batch again changes nothing
+    assert sorted(r.user_id for r in handler.read().collect()) == ["u0", "u1", "u2", "u3"]
+    assert J.latest_snapshot(spark, handler.path).endswith("snapshot=3")
+    (tmp_path / "dim" / "snapshot=9").mkdir()      # not complete: no _SUCCESS
+    assert J.latest_snapshot(spark, handler.path).endswith("snapshot=3")
+    assert J.expire_snapshots(spark, handler.path, keep=2) == 2 and handler.read().count() == 4
 
 
 def test_router_stream_and_observed_metrics(spark, tmp_path):

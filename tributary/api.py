@@ -81,19 +81,13 @@ class CDCHandler:
 
     def initialize_dimension_table(self, initial_df: DataFrame,
                                    now: Column | _dt.datetime | None = None) -> None:
-        T.write_overwrite(C.initialize_dimension(initial_df, now), f"{self.path}/snapshot=0",
-                          self.fmt)
+        if self._latest() is not None:
+            raise ValueError(f"Dimension table exists at {self.path}")
+        T.publish(C.initialize_dimension(initial_df, now), self.path, "snapshot=0", self.fmt)
 
     def apply_cdc_batch(self, cdc_df: DataFrame, now: Column | _dt.datetime | None = None,
                         **kw) -> str:
-        latest = self._latest()
-        if latest is None:
-            raise ValueError(f"Dimension table not found at {self.path}")
-        n = int(latest.rsplit("=", 1)[1]) + 1
-        out = f"{self.path}/snapshot={n}"
-        dim = self.spark.read.format(self.fmt).load(latest)
-        T.write_overwrite(C.scd2_apply(dim, cdc_df, now, **kw), out, self.fmt)
-        return out
+        return J.next_snapshot(self.spark, self.path, cdc_df, fmt=self.fmt, now=now, **kw)
 
 
 class QualityMetricsStore:
@@ -120,16 +114,21 @@ class BackfillManager:
     by ``/backfill``."""
 
     def __init__(self, spark: SparkSession, bronze_path: str, topic: str = TOPIC_CLICKSTREAM,
-                 bootstrap: str | None = None, partitions: int | list[int] = 1) -> None:
+                 bootstrap: str | None = None, partitions: K.Partitions | None = None) -> None:
         self.spark, self.bronze_path, self.topic = spark, bronze_path, topic
         self.bootstrap, self.partitions = bootstrap, partitions
 
     def get_starting_offsets(self, offset: int | None = None,
                              timestamp: _dt.datetime | None = None) -> dict[str, str]:
-        return K.starting_options(self.topic, offset, timestamp, self.partitions)
+        return K.starting_options(self.topic, self._named(), offset, timestamp)
 
     def get_ending_offsets(self, end_offset: int | None = None) -> dict[str, str]:
-        return K.ending_options(self.topic, end_offset, self.partitions)
+        return K.ending_options(self.topic, self._named(), end_offset)
+
+    def _named(self) -> K.Partitions:
+        if self.partitions is None:
+            raise ValueError("name the topic's partitions (their number, or a list)")
+        return self.partitions
 
     def read_kafka_batch(self, starting: dict[str, str], ending: dict[str, str]) -> DataFrame:
         if not self.bootstrap:

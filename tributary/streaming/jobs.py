@@ -5,15 +5,17 @@ Layers hand over through tables, because one streaming plan may carry only
 one watermark: bronze and silver are keyed on Kafka time, gold on event time.
 
 Exactly-once: the bronze file sink commits through its ``_spark_metadata``
-log; silver writes each micro-batch into its own ``batch_id=<n>`` directory
-with overwrite, so a replayed batch replaces its own output; gold uses the
-append file sink, which emits a window once the watermark passes its end
-(late rows are dropped and counted in the query progress).
+log; silver, the router and the dimension publish each micro-batch as one
+folder, complete and once (``sources.tables.publish``), so a batch that Spark
+repeats changes nothing that a later layer may have read; gold uses the append
+file sink, which emits a window once the watermark passes its end (late rows
+are dropped and counted in the query progress).
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +28,7 @@ from tributary.operators import scd2 as C
 from tributary.operators import silver as S
 from tributary.operators.bronze import process_bronze
 from tributary.sources.kafka import KAFKA_SCHEMA, read_kafka_stream
-from tributary.sources.tables import table_exists
+from tributary.sources.tables import note, publish, put_note, table_exists
 
 BATCH_COL = "batch_id"
 
@@ -85,24 +87,45 @@ def router_batch_writer(schema: dict, topic: str, accepted_path: str, dlq_path:
                         key: Callable[[DataFrame], DataFrame] | None = None,
                         fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
     """foreachBatch body: validate once, write accepted (keyed) and dead
-    letters from the same persisted batch, each into its own batch directory
-    (overwrite, so a replayed batch id replaces its output)."""
+    letters from the same persisted batch, each published as a batch folder
+    (a repeated batch id changes nothing).  ``accepted_path`` and ``dlq_path``
+    are table folders; ``fmt="kafka"`` needs ``kafka_batch_writer``."""
     def write(batch: DataFrame, batch_id: int) -> None:
         checked = R.validate(batch, schema).persist()
         try:
             ok = R.accepted(checked)
             ok = key(ok) if key else ok.withColumn(
                 "key", R.clickstream_key(F.col("value").cast("string")))
-            (ok.select("key", F.col("value").cast("string").alias("value"),
-                       F.lit(topic).alias("topic"))
-             .write.format(fmt).mode("overwrite").save(f"{accepted_path}/{BATCH_COL}={batch_id}"))
-            (R.dlq_envelope(R.rejected(checked), topic)
-             .write.format(fmt).mode("overwrite").save(f"{dlq_path}/{BATCH_COL}={batch_id}"))
+            publish(ok.select("key", F.col("value").cast("string").alias("value"),
+                              F.lit(topic).alias("topic")),
+                    accepted_path, f"{BATCH_COL}={batch_id}", fmt)
+            publish(R.dlq_envelope(R.rejected(checked), topic),
+                    dlq_path, f"{BATCH_COL}={batch_id}", fmt)
         finally:
             checked.unpersist()
     return write
 
 
+def kafka_batch_writer(schema: dict, topic: str, dlq_topic: str, bootstrap: str,
+                       extra: dict[str, str] | None = None) -> Callable[[DataFrame, int], None]:
+    """foreachBatch body for topics: accepted rows go to ``topic`` under their
+    partition key, dead letters as JSON to ``dlq_topic``, in one write of the
+    Kafka sink (at least once: a repeated batch sends its rows again)."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        checked = R.validate(batch, schema)
+        text = F.col("value").cast("string")
+        dead = R.dlq_envelope(R.rejected(checked), topic)
+        rows = R.keyed_for_topic(R.accepted(checked), topic, R.clickstream_key(text)).unionByName(
+            dead.select(F.lit(None).cast("string").alias("key"),
+                        F.to_json(F.struct(*dead.columns)).alias("value"),
+                        F.lit(dlq_topic).alias("topic")))
+        w = rows.write.format("kafka").option("kafka.bootstrap.servers", bootstrap)
+        for k, v in (extra or {}).items():
+            w = w.option(k, v)
+        w.save()
+    return write
+
+
 def start_router(raw: DataFrame, schema: dict, topic: str, accepted_path: str, dlq_path: str,
                  checkpoint: str, fmt: str = "parquet", trigger: dict | None = None,
                  key: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
@@ -117,97 +140,116 @@ def start_router(raw: DataFrame, schema: dict, topic: str, accepted_path: str, d
 SNAPSHOT = "snapshot"
 
 
-def latest_snapshot(spark: SparkSession, dim_root: str) -> str | None:
-    """Newest complete snapshot directory under ``dim_root`` (has _SUCCESS)."""
+def _snapshots(spark: SparkSession, dim_root: str) -> list[int]:
+    """Numbers of the complete snapshots under ``dim_root``, newest first."""
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(dim_root)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(root):
-        return None
-    best = None
-    for st in fs.listStatus(root):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(f"{SNAPSHOT}="):
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                n = int(name.split("=", 1)[1])
-                best = n if best is None or n > best else best
-    return None if best is None else f"{dim_root}/{SNAPSHOT}={best}"
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(root) if st.isDirectory()]
+    found = [n for n in names if n.startswith(f"{SNAPSHOT}=")
+             and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{dim_root}/{n}/_SUCCESS"))]
+    return sorted((int(n.split("=", 1)[1]) for n in found), reverse=True)
+
+
+def latest_snapshot(spark: SparkSession, dim_root: str) -> str | None:
+    """Newest complete snapshot directory under ``dim_root``."""
+    found = _snapshots(spark, dim_root)
+    return f"{dim_root}/{SNAPSHOT}={found[0]}" if found else None
+
+
+def next_snapshot(spark: SparkSession, dim_root: str, changes: DataFrame, source: str | None = None,
+                  fmt: str = "parquet", **kw) -> str:
+    """Apply ``changes`` to the newest snapshot and publish the next number.
+
+    ``source`` names where the changes come from (a stream and its batch).  It
+    is stored with the snapshot in the same step, so a batch that is repeated
+    finds itself applied already, and streams, restarts and direct calls share
+    one sequence of numbers.  Two writers at once: the second one's publish
+    finds the number taken and fails.
+    """
+    found = _snapshots(spark, dim_root)
+    if not found:
+        raise ValueError(f"Dimension table not found at {dim_root}")
+    if source is not None:
+        for n in found:
+            if note(spark, f"{dim_root}/{SNAPSHOT}={n}", "source") == source:
+                return f"{dim_root}/{SNAPSHOT}={n}"
+    name = f"{SNAPSHOT}={found[0] + 1}"
+    dim = spark.read.format(fmt).load(f"{dim_root}/{SNAPSHOT}={found[0]}")
+    out = C.scd2_apply(dim, changes, **kw)
+    if not publish(out, dim_root, name, fmt, {"source": source} if source is not None else None):
+        raise RuntimeError(f"{dim_root}/{name} was written by another job meanwhile")
+    return f"{dim_root}/{name}"
+
+
+def expire_snapshots(spark: SparkSession, dim_root: str, keep: int = 10) -> int:
+    """Remove all but the ``keep`` newest snapshots; returns how many went."""
+    jvm = spark.sparkContext._jvm
+    old = _snapshots(spark, dim_root)[max(1, keep):]
+    for n in old:
+        path = jvm.org.apache.hadoop.fs.Path(f"{dim_root}/{SNAPSHOT}={n}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return len(old)
 
 
 def scd2_batch_writer(spark: SparkSession, dim_root: str, fmt: str = "parquet",
-                      **kw) -> Callable[[DataFrame, int], None]:
-    """foreachBatch body: read the newest complete snapshot, apply the batch,
-    write ``snapshot=<batch_id + 1>``.  Re-running a batch id rewrites its own
-    snapshot from the previous one, so replays are idempotent."""
+                      name: str = "stream", **kw) -> Callable[[DataFrame, int], None]:
+    """foreachBatch body: the next snapshot after each batch.  ``name`` tells
+    streams (and fresh checkpoints) that write the same dimension apart."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        prev = f"{dim_root}/{SNAPSHOT}={batch_id}"
-        if not table_exists(spark, prev, fmt):
-            prev = latest_snapshot(spark, dim_root)
-        if prev is None:
-            raise ValueError(f"Dimension table not found at {dim_root}")
-        dim = spark.read.format(fmt).load(prev)
-        out = C.scd2_apply(dim, batch, **kw)
-        out.write.format(fmt).mode("overwrite").save(f"{dim_root}/{SNAPSHOT}={batch_id + 1}")
+        next_snapshot(spark, dim_root, batch, f"{name}:{batch_id}", fmt, **kw)
     return write
 
 
 def start_scd2(changes: DataFrame, dim_root: str, checkpoint: str, fmt: str = "parquet",
                trigger: dict | None = None, **kw) -> StreamingQuery:
     """Apply a change stream (op, ts_ms, before, after, seq) to the dimension
-    whose first snapshot is ``<dim_root>/snapshot=0``."""
-    w = (changes.writeStream.foreachBatch(scd2_batch_writer(changes.sparkSession, dim_root,
-                                                            fmt, **kw))
+    whose first snapshot is ``<dim_root>/snapshot=0``.  The stream is known by
+    an id kept in its checkpoint folder, so a fresh checkpoint is a new one."""
+    spark = changes.sparkSession
+    identity = note(spark, checkpoint, "dimension_writer")
+    if identity is None:
+        identity = uuid.uuid4().hex
+        put_note(spark, checkpoint, "dimension_writer", identity)
+    w = (changes.writeStream.foreachBatch(scd2_batch_writer(spark, dim_root, fmt, identity, **kw))
          .option("checkpointLocation", checkpoint))
     return _start(w, trigger)
 
 
 # --- silver ------------------------------------------------------------------
 
-def silver_batch_writer(spark: SparkSession, silver_path: str, fmt: str = "parquet",
-                        lookback: str | None = "1 day") -> Callable[[DataFrame, int], None]:
-    """foreachBatch body: earliest copy within the batch, minus event_ids
-    already stored by earlier batches, cleaned, written to its own batch
-    directory (overwrite = idempotent replay of the same batch id).
+def ids_path(silver_path: str) -> str:
+    """Where the ids of a silver table are kept: one narrow column per batch."""
+    return silver_path.rstrip("/") + "_ids"
 
-    Copies are re-sends, close in Kafka time, so stored ids are looked up only
-    among rows whose ``kafka_timestamp`` is at most ``lookback`` before the
-    batch's earliest record (a filter pushed into the Parquet scan, which skips
-    older files by their statistics); ``lookback=None`` checks every stored id.
+
+def silver_batch_writer(spark: SparkSession, silver_path: str,
+                        fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
+    """foreachBatch body: earliest copy within the batch, minus event_ids that
+    *any* earlier batch stored, cleaned, published as one batch folder.
+
+    A copy may arrive any time later, so every stored id counts.  Ids are kept
+    in a table of one column; it is first reduced to the ids of this batch (a
+    semi-join that streams over the stored ids when the batch is small), so
+    the history is neither shuffled nor read in full width.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()  # read twice: lookback bound and the write
-        try:
-            fresh = S.deduplicate_events(S.validate_required_fields(batch))
-            if table_exists(spark, silver_path, fmt):
-                seen = (spark.read.format(fmt).load(silver_path)
-                        .filter(F.col(BATCH_COL) < batch_id))
-                if lookback:
-                    row = batch.agg(F.min("kafka_timestamp"),
-                                    F.min(S.parse_event_time(F.col("timestamp")))).first()
-                    start, first = row[0], row[1]
-                    if start is not None:
-                        bound = F.lit(start) - F.expr(f"INTERVAL {lookback}")
-                        seen = seen.filter(F.col("kafka_timestamp") >= bound)
-                    # copies carry the same event time, so stored ids dated
-                    # before the batch's earliest event (minus the lookback)
-                    # are skipped by directory
-                    if first is not None:
-                        seen = seen.filter(
-                            F.col(S.EVENT_DATE).isNull()
-                            | (F.col(S.EVENT_DATE)
-                               >= F.to_date(F.lit(first) - F.expr(f"INTERVAL {lookback}"))))
-                fresh = fresh.join(seen.select("event_id"), "event_id", "left_anti")
-            out = S.with_event_date(S.process_silver(fresh, dedup=False))
-            (out.write.format(fmt).mode("overwrite").partitionBy(S.EVENT_DATE)
-             .save(f"{silver_path}/{BATCH_COL}={batch_id}"))
-        finally:
-            batch.unpersist()
+        name, ids = f"{BATCH_COL}={batch_id}", ids_path(silver_path)
+        fresh = S.deduplicate_events(S.validate_required_fields(batch))
+        if table_exists(spark, ids):
+            stored = spark.read.parquet(ids).filter(F.col(BATCH_COL) < batch_id).select("event_id")
+            again = stored.join(batch.select("event_id").distinct(), "event_id", "left_semi")
+            fresh = fresh.join(again, "event_id", "left_anti")
+        publish(S.process_silver(fresh, dedup=False), silver_path, name, fmt)
+        publish(spark.read.format(fmt).load(f"{silver_path}/{name}").select("event_id"), ids, name)
     return write
 
 
 def start_silver(bronze: DataFrame, silver_path: str, checkpoint: str, fmt: str = "parquet",
-                 trigger: dict | None = None, lookback: str | None = "1 day") -> StreamingQuery:
-    writer = silver_batch_writer(bronze.sparkSession, silver_path, fmt, lookback)
+                 trigger: dict | None = None) -> StreamingQuery:
+    writer = silver_batch_writer(bronze.sparkSession, silver_path, fmt)
     w = bronze.writeStream.foreachBatch(writer).option("checkpointLocation", checkpoint)
     return _start(w, trigger)
 
