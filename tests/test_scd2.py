@@ -140,7 +140,7 @@ def test_scd2_hot_user_matches_brute_force(spark):
         F.col("effective_from").alias("t"), F.lit(-1).cast("bigint").alias("seq"),
         F.lit(0).alias("grp"))
     rows = init.unionByName(evs.withColumn("grp", F.lit(1)))
-    w = Window.partitionBy("user_id").orderBy("grp", "t", "seq")
+    w = Window.partitionBy("user_id").orderBy("t", "grp", "seq")
     scan = rows.select("*", F.lead("t").over(w).alias("nt"),
                        F.sum(F.col("opens").cast("int")).over(
                            w.rowsBetween(Window.unboundedPreceding, 0)).alias("rc"))
@@ -162,3 +162,24 @@ def test_late_changes_listed(spark):
     df = spark.createDataFrame([early, fresh], CDC)
     late = C.late_changes(dim0(spark), df).collect()
     assert [r.name for r in late] == ["Old"]
+
+
+def test_late_change_takes_its_place_in_time(spark):
+    day = 86_400_000
+    img = lambda n: ("u1", n, "x")
+    first = spark.createDataFrame([("u", 1704067200000 + 9 * day, 1, ("u1", None, None), img("new"))], CDC)
+    late = spark.createDataFrame([("u", 1704067200000 + 2 * day, 2, ("u1", None, None), img("late")),
+                                  ("d", 1704067200000 + 5 * day, 3, ("u1", None, None), None)], CDC)
+    out = C.scd2_apply(C.scd2_apply(dim0(spark), first), late)
+    rows = [(r.name, r.effective_from.day, r.effective_to and r.effective_to.day, r.is_current, r.version)
+            for r in out.orderBy("effective_from").collect()]
+    assert rows == [("Alice", 1, 3, False, 1), ("late", 3, 6, False, 2), ("new", 10, None, True, 3)]
+
+
+def test_initial_dimension_keeps_extra_columns(spark):
+    users = spark.createDataFrame([("u1", "A", "a@x", "gold"), ("u2", "B", "b@x", "tin")],
+                                  "user_id string, name string, email string, tier string")
+    dim = C.initialize_dimension(users, now=LOAD)
+    out = C.scd2_apply(dim, spark.createDataFrame([ch("u", "u1", "A2", ms=1000)], CDC))
+    tiers = {(r.user_id, r.version): r.tier for r in out.collect()}
+    assert tiers == {("u1", 1): "gold", ("u1", 2): None, ("u2", 1): "tin"}

@@ -81,7 +81,7 @@ def current_state(changes: DataFrame) -> DataFrame:
         F.when(F.col("op") == "d", F.col("before.user_id"))
         .otherwise(F.col("after.user_id")).alias("user_id"),
         "op", "ts_ms", "seq", F.col("after.name").alias("name"),
-        F.col("after.email").alias("email"))
+        F.col("after.email").alias("email")).filter(F.col("user_id").isNotNull())
     latest = ev.groupBy("user_id").agg(
         F.max_by(F.struct("op", "name", "email"), F.struct("ts_ms", "seq")).alias("s"))
     return (latest.filter(F.col("s.op") != "d")

@@ -3,29 +3,32 @@
 ``initialize_dimension`` opens version 1 of every row.  ``scd2_apply(dim,
 changes)`` returns the next snapshot of the dimension:
 
-* changes are applied per user in order (event time ``ts_ms``, then the feed
-  position); ``c`` and ``u`` open a version, ``d`` opens none; every change
-  closes the version open before it; ``r`` (snapshot read) is ignored unless
+* the history of every touched key is put in order of time (event time
+  ``ts_ms``, then what was known before this batch, then the feed position)
+  together with its new changes, and its intervals are made anew; so a change
+  that arrives late takes its place in time, and no version ends before it
+  begins;
+* ``c`` and ``u`` open a version, ``d`` opens none; every change closes the
+  version open before it; ``r`` (snapshot read) is ignored unless
   ``snapshot_reads="create"``; other ops are ignored;
-* a version's ``effective_to`` is the time of the next change of its user;
-  ``is_current`` = no later change; a new version number is the key's highest
-  existing version plus the count of opening changes so far;
-* the current row of a touched key sorts before the batch's changes and keeps
-  its version; closed history and untouched keys pass through unchanged;
-* a delete of an unknown key changes nothing;
-* a change older than its key's current version (late across batches) is
-  still applied after that version, in arrival order; ``late_changes`` lists
-  such changes so a caller can route them to a side table first.
-
-With one change per key per batch this equals a MERGE that closes the current
-row and appends the new one.  ``time_source="batch"`` stamps every change with
-``now`` (the batch time) instead of its own time.
-
-Scale: the dimension is joined once with the distinct touched keys (AQE picks
-broadcast or sort-merge at run time from measured sizes and splits skewed
-partitions) and split by filters; the per-key ordering runs through
-``ordered_scan``, so a key with a huge share of the changes is spread over
-several tasks; the per-key version base is a partial aggregate.
+* ``effective_to`` is the time of the next change; ``is_current`` = no later
+  change; versions count on from the key's smallest number, in order of time
+  (a late change renumbers the versions after it);
+* rows of untouched keys pass through unchanged;
+* a delete where no version is open changes nothing and leaves no trace.
+
+With one change per key per batch, in order, this equals a MERGE that closes
+the current row and appends the new one.  ``time_source="batch"`` stamps every
+change with ``now`` (the batch time) instead of its own time.  Columns of the
+dimension beyond the standard ones stay with their rows; versions that a
+change opens have NULL there.
+
+Scale: the changes are parsed once (written to the shared folder); the
+dimension is split by the distinct touched keys with a semi- and an anti-join
+(AQE picks broadcast or sort-merge from measured sizes and splits skewed
+partitions); the per-key order runs through ``ordered_scan``, so a key with a
+huge share of the changes is spread over several tasks; the per-key version
+base is a partial aggregate.
 """
 
 from __future__ import annotations
@@ -38,6 +41,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tributary.functions.exprs import fence
 from tributary.operators.ordered import ordered_scan
+from tributary.session import materialize
 
 DIM_COLUMNS = ["user_id", "name", "email", "effective_from", "effective_to",
                "is_current", "version"]
@@ -74,13 +78,15 @@ def parse_changes(messages: DataFrame, value_col: str = "value",
 
 
 def initialize_dimension(users: DataFrame, now: Column | _dt.datetime | None = None) -> DataFrame:
-    """Version 1 of every row: effective now, open-ended, current."""
+    """Version 1 of every row: effective now, open-ended, current.  Further
+    columns of ``users`` are kept, after the standard ones."""
+    more = [c for c in users.columns if c not in DIM_COLUMNS]
     return users.select(
         "user_id", "name", "email",
         _now_col(now).alias("effective_from"),
         F.lit(None).cast("timestamp").alias("effective_to"),
         F.lit(True).alias("is_current"),
-        F.lit(1).alias("version"))
+        F.lit(1).alias("version"), *more)
 
 
 def change_events(changes: DataFrame, now: Column | _dt.datetime | None = None,
@@ -125,34 +131,35 @@ def max_versions(dim: DataFrame) -> DataFrame:
 def scd2_apply(dim: DataFrame, changes: DataFrame, now: Column | _dt.datetime | None = None,
                time_source: str = "event", snapshot_reads: str = "ignore") -> DataFrame:
     """Next snapshot of ``dim`` after ``changes`` (see module docstring)."""
-    ev = change_events(changes, now, time_source, snapshot_reads)
-    touched = ev.select("user_id").distinct().withColumn("__touched", F.lit(True))
-    # one join of the dimension with the touched keys, split by filters: the
-    # current rows of touched keys are re-opened, everything else passes
-    marked = dim.join(touched, "user_id", "left")
-    reopened = F.coalesce(F.col("__touched"), F.lit(False)) & F.col("is_current")
-    passthrough = marked.filter(~reopened).select(*DIM_COLUMNS)
-    anchors = marked.filter(reopened).select(
-        "user_id", "name", "email", F.lit(True).alias("opens"),
-        F.col("effective_from").alias("t"), F.lit(-1).cast("bigint").alias("seq"),
-        F.lit(0).alias("grp"), F.col("version").alias("kept_version"))
-    rows = anchors.unionByName(
-        ev.withColumns({"grp": F.lit(1), "kept_version": F.lit(None).cast("int")}))
-
-    # per-key start of the version count: highest existing version minus the
-    # re-opened current rows, which the running count already includes
-    base = (marked.filter(F.col("__touched"))
-            .groupBy("user_id")
-            .agg((F.max("version") - F.count_if(F.col("is_current"))).alias("offset")))
-    scanned = ordered_scan(rows, "user_id", ["grp", "t", "seq"], F.col("opens"),
+    more = [c for c in dim.columns if c not in DIM_COLUMNS]
+    ev = materialize(change_events(changes, now, time_source, snapshot_reads), "changes")
+    touched = ev.select("user_id").distinct()
+    untouched = dim.join(touched, "user_id", "left_anti").select(*DIM_COLUMNS, *more)
+    known = dim.join(touched, "user_id", "left_semi")
+
+    # known rows as the changes that made them: each opens its version and, if
+    # it has an end, is closed there.  At one instant known closings come
+    # first, then known openings, then new changes; a version that ended where
+    # it began is closed after it was opened.
+    instant = F.coalesce(F.col("effective_to") == F.col("effective_from"), F.lit(False))
+    opened = known.select(
+        "user_id", "name", "email", F.lit(True).alias("opens"), F.col("effective_from").alias("t"),
+        F.lit(1).alias("grp"), (F.col("version").cast("bigint") * 2).alias("seq"), *more)
+    closed = known.filter(F.col("effective_to").isNotNull()).select(
+        "user_id", F.lit(False).alias("opens"), F.col("effective_to").alias("t"),
+        F.when(instant, 1).otherwise(0).alias("grp"),
+        (F.col("version").cast("bigint") * 2 + 1).alias("seq"))
+    rows = (opened.unionByName(closed, allowMissingColumns=True)
+            .unionByName(ev.withColumn("grp", F.lit(2)), allowMissingColumns=True))
+
+    base = known.groupBy("user_id").agg((F.min("version") - 1).alias("offset"))
+    scanned = ordered_scan(rows, "user_id", ["t", "grp", "seq"], F.col("opens"),
                            lead_of="t", count_out="rc", lead_out="next_t", key_offsets=base)
-    opened = (scanned.filter(F.col("opens"))
-              .select("user_id", "name", "email",
-                      F.col("t").alias("effective_from"),
-                      F.col("next_t").alias("effective_to"),
-                      F.col("next_t").isNull().alias("is_current"),
-                      F.coalesce(F.col("kept_version"), F.col("rc").cast("int")).alias("version")))
-    return passthrough.unionByName(opened)
+    rebuilt = scanned.filter(F.col("opens")).select(
+        "user_id", "name", "email", F.col("t").alias("effective_from"),
+        F.col("next_t").alias("effective_to"), F.col("next_t").isNull().alias("is_current"),
+        F.col("rc").cast("int").alias("version"), *more)
+    return untouched.unionByName(rebuilt)
 
 
 def apply_changes_to_table(spark, dim_path: str, changes: DataFrame, out_path: str,
