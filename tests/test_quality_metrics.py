@@ -56,12 +56,34 @@ def test_missing_columns_and_details(spark):
 def test_custom_and_grouped(spark):
     chk = Q.DataQualityChecker(defaults=False)
     chk.register_check(Q.QualityCheck("nulls", "silver", 0.9, kind="null_rate", fields=["x"]))
-    chk.register_check(Q.QualityCheck("always", "silver", 0.5, check_fn=lambda df: 0.25))
+    chk.register_check(Q.QualityCheck("it's set", "silver", 0.6, check_fn=lambda df: F.avg(
+        F.col("x").isNotNull().cast("double"))))
     df = spark.createDataFrame([("a", 1), ("a", None), ("b", 2)], "g string, x int")
     out = chk.run_checks(df, "silver", now=NOW, by={"grp": F.col("g")}).collect()
     got = {(r.grp, r.check_name): (r.score, r.passed) for r in out}
     assert got == {("a", "nulls"): (0.5, False), ("b", "nulls"): (1.0, True),
-                   ("a", "always"): (0.25, False), ("b", "always"): (0.25, False)}
+                   ("a", "it's set"): (0.5, False), ("b", "it's set"): (1.0, True)}
+    chk.register_check(Q.QualityCheck("whole", "silver", 0.5, check_fn=lambda df: 0.25))
+    with pytest.raises(ValueError, match="whole"):
+        chk.run_checks(df, "silver", now=NOW, by={"grp": F.col("g")})
+    whole = {r.check_name: r.score for r in chk.run_checks(df, "silver", now=NOW).collect()}
+    assert whole["whole"] == 0.25 and whole["it's set"] == pytest.approx(2 / 3)
+
+
+def test_failed_checks_are_warned_of(spark, tmp_path, caplog):
+    rows = [("c1", "bronze", 1.0, True, 1, "Threshold: 0.99", NOW),
+            ("c2", "silver", 0.5, False, 1, "Threshold: 1.0", NOW)]
+    with caplog.at_level("WARNING"):
+        Q.log_results(spark.createDataFrame(rows, Q.RESULT_SCHEMA), str(tmp_path / "m"))
+    assert "c2" in caplog.text and "c1" not in caplog.text
+
+
+def test_views_read_every_result(spark):
+    from tributary.operators import metrics as M
+
+    rows = [(f"c{i}", "silver", 0.0, False, 1, "", NOW) for i in range(1500)]
+    m = spark.createDataFrame(rows, Q.RESULT_SCHEMA)
+    assert M.failed_checks(m).count() == 1500 and M.latest_quality(m).count() == 1000
 
 
 def test_history_filter(spark):

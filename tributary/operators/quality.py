@@ -5,8 +5,10 @@ its threshold.  Built-in kinds are aggregate expressions; ``run_checks``
 fuses every check of a layer into **one** aggregation (optionally grouped,
 e.g. per day, which yields one result per group) and unpivots the scores into
 result rows — no per-check actions and nothing collected to the driver.  A
-custom check may also be a ``DataFrame -> float`` callable, evaluated on its
-own (the caller's code decides how it runs).
+custom check may be a function that returns an aggregate ``Column``, fused like
+the others, or one that returns a float, evaluated on its own (the caller's
+code decides how it runs; it cannot be grouped).  ``warn_failed`` logs the
+checks of stored results that did not pass.
 
 Scores (``total`` = rows; every score is 1.0 on an empty input):
 
@@ -23,6 +25,7 @@ Scores (``total`` = rows; every score is 1.0 on an empty input):
 from __future__ import annotations
 
 import datetime as _dt
+import logging
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -40,6 +43,8 @@ from pyspark.sql.types import (
 
 from tributary.fixed import DEFAULT_CHECKS, QUALITY_HISTORY_LIMIT
 
+log = logging.getLogger(__name__)
+
 RESULT_SCHEMA = StructType([
     StructField("check_name", StringType()),
     StructField("layer", StringType()),
@@ -54,14 +59,16 @@ RESULT_SCHEMA = StructType([
 @dataclass
 class QualityCheck:
     """A check: ``kind`` + ``fields`` for the built-in kinds, or ``check_fn``
-    for custom logic (``DataFrame -> float``)."""
+    for custom logic: a ``DataFrame -> Column`` function that returns an
+    aggregate expression (it runs in the same pass, per group too), or a
+    ``DataFrame -> float`` function, which scores a whole frame."""
     name: str
     layer: str
     threshold: float
     description: str = ""
     kind: str | None = None
     fields: list[str] = field(default_factory=list)
-    check_fn: Callable[[DataFrame], float] | None = None
+    check_fn: Callable[[DataFrame], Column | float] | None = None
 
 
 def _ratio(num: Column, total: Column) -> Column:
@@ -161,9 +168,13 @@ class DataQualityChecker:
         else:
             now_col = F.lit(now).cast("timestamp")
         checks = [c for c in self.checks if c.layer == layer]
-        fused = [c for c in checks if c.check_fn is None]
-        custom = [c for c in checks if c.check_fn is not None]
         by = by or {}
+        made = {id(c): c.check_fn(df) for c in checks if c.check_fn is not None}
+        fused = [c for c in checks if not isinstance(made.get(id(c)), (int, float))]
+        custom = [c for c in checks if isinstance(made.get(id(c)), (int, float))]
+        if by and custom:
+            raise ValueError("a check that returns a float scores the whole frame and cannot be "
+                             f"grouped: {', '.join(c.name for c in custom)}; return an aggregate Column")
         stamped = df
         bound = now_col
         if by:
@@ -174,19 +185,18 @@ class DataQualityChecker:
         keys = list(by) + (["__run"] if by and run_time is not None else [])
 
         aggs = [F.count(F.lit(1)).alias("__total")]
-        aggs += [score_expr(c, stamped, bound, self.missing).alias(f"__s{i}")
+        aggs += [(score_expr(c, stamped, bound, self.missing) if c.check_fn is None
+                  else F.coalesce(made[id(c)].cast("double"), F.lit(1.0))).alias(f"__s{i}")
                  for i, c in enumerate(fused)]
         grouped = stamped.groupBy(*keys).agg(*aggs) if keys else stamped.agg(*aggs)
 
-        if fused:
-            entries = ", ".join(
-                f"'{c.name}', CAST({c.threshold!r} AS DOUBLE), __s{i}"
-                for i, c in enumerate(fused))
-            long = grouped.selectExpr(
-                *keys, "__total",
-                f"stack({len(fused)}, {entries}) AS (check_name, threshold, score)")
-        else:
-            long = None
+        def rows(entries: list[tuple[QualityCheck, Column]]) -> DataFrame:
+            """One row per check, from structs: names are values, never SQL."""
+            return grouped.select(*keys, "__total", F.inline(F.array(*[
+                F.struct(F.lit(c.name).alias("check_name"), F.lit(float(c.threshold)).alias("threshold"),
+                         F.lit(str(c.threshold)).alias("threshold_text"),
+                         score.cast("double").alias("score")) for c, score in entries])))
+
         stamp = F.col("__run") if "__run" in keys else now_col
         result_cols = [
             "check_name", F.lit(layer).alias("layer"), "score",
@@ -195,25 +205,23 @@ class DataQualityChecker:
             F.concat(F.lit("Threshold: "), F.col("threshold_text")).alias("details"),
             stamp.alias("timestamp"), *by.keys()]
 
-        frames = []
-        if long is not None:
-            texts = F.create_map(*[x for c in fused for x in (F.lit(c.name), F.lit(str(c.threshold)))])
-            frames.append(long.withColumn("threshold_text", texts[F.col("check_name")])
-                          .select(*result_cols))
-        for c in custom:
-            # a custom callable is the caller's own job; its float becomes a row
-            score = float(c.check_fn(df))
-            row = grouped.select(*keys, "__total").withColumns({
-                "check_name": F.lit(c.name), "score": F.lit(score),
-                "threshold": F.lit(float(c.threshold)),
-                "threshold_text": F.lit(str(c.threshold))})
-            frames.append(row.select(*result_cols))
-        if not frames:
+        entries = [(c, F.col(f"__s{i}")) for i, c in enumerate(fused)]
+        entries += [(c, F.lit(float(made[id(c)]))) for c in custom]
+        if not entries:
             return df.sparkSession.createDataFrame([], RESULT_SCHEMA)
-        out = frames[0]
-        for f in frames[1:]:
-            out = out.unionByName(f)
-        return out
+        return rows(entries).select(*result_cols)
+
+
+def warn_failed(results: DataFrame, limit: int = 20) -> int:
+    """Log a warning for each check that did not pass (the first ``limit`` by
+    layer and name; the rest are counted); returns how many failed."""
+    failed = results.filter(~F.col("passed"))
+    n = failed.count()
+    for r in failed.orderBy("layer", "check_name", "timestamp").limit(limit).collect():
+        log.warning("quality check %s (%s) failed: score %.4f, %s", r.check_name, r.layer, r.score, r.details)
+    if n > limit:
+        log.warning("%d more quality checks failed", n - limit)
+    return n
 
 
 def quality_history(metrics: DataFrame, check_name: str | None = None,
@@ -225,7 +233,14 @@ def quality_history(metrics: DataFrame, check_name: str | None = None,
 
 
 def log_results(results: DataFrame, path: str, fmt: str = "parquet") -> int:
-    """Append results to the metrics table (one write per run)."""
+    """Append results to the metrics table (one write per run) and warn of
+    those of this run that failed."""
     from tributary.sources.tables import write_append
 
-    return write_append(results.select(*[f.name for f in RESULT_SCHEMA.fields]), path, fmt)
+    kept = results.select(*[f.name for f in RESULT_SCHEMA.fields]).persist()
+    try:
+        rows = write_append(kept, path, fmt)
+        warn_failed(kept)
+    finally:
+        kept.unpersist()
+    return rows
