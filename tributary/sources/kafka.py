@@ -37,12 +37,16 @@ KAFKA_SCHEMA = StructType([
 EARLIEST, LATEST = -2, -1
 
 
-def _partition_map(partitions: int | list[int] | dict[int, int], value: int | None,
-                   default: int) -> dict[str, int]:
-    if isinstance(partitions, dict):
-        return {str(p): int(v) for p, v in partitions.items()}
+Partitions = int | list[int] | dict[int, int | None]
+
+
+def _partition_map(partitions: Partitions, value: int | None, default: int) -> dict[str, int]:
+    """Every partition with its position: that of a dict if given there, else
+    ``value``, else ``default``."""
     ids = range(partitions) if isinstance(partitions, int) else partitions
-    return {str(p): (default if value is None else int(value)) for p in ids}
+    own = partitions if isinstance(partitions, dict) else {}
+    rest = default if value is None else int(value)
+    return {str(p): rest if own.get(p) is None else int(own[p]) for p in ids}
 
 
 def to_millis(ts: _dt.datetime) -> int:
@@ -51,16 +55,17 @@ def to_millis(ts: _dt.datetime) -> int:
     return int(ts.timestamp() * 1000)
 
 
-def starting_options(topic: str, offset: int | None = None,
-                     timestamp: _dt.datetime | None = None,
-                     partitions: int | list[int] | dict[int, int] = 1) -> dict[str, str]:
+def starting_options(topic: str, partitions: Partitions, offset: int | None = None,
+                     timestamp: _dt.datetime | None = None) -> dict[str, str]:
     """Start position: an offset wins over a timestamp, else earliest.
 
     Offsets go to ``startingOffsets``; a time goes to
-    ``startingOffsetsByTimestamp`` (milliseconds).  Every partition is named
-    (Spark requires all of them); pass a dict for per-partition values.
+    ``startingOffsetsByTimestamp`` (milliseconds).  Spark wants every partition
+    of the topic named, so ``partitions`` is required: their number, a list, or
+    a dict with an offset (or, with ``timestamp``, None) per partition.
     """
-    if offset is not None or isinstance(partitions, dict) and timestamp is None:
+    given = isinstance(partitions, dict) and any(v is not None for v in partitions.values())
+    if offset is not None or given:
         return {"startingOffsets": json.dumps({topic: _partition_map(partitions, offset, EARLIEST)})}
     if timestamp is not None:
         ms = to_millis(timestamp)
@@ -68,10 +73,11 @@ def starting_options(topic: str, offset: int | None = None,
     return {"startingOffsets": "earliest"}
 
 
-def ending_options(topic: str, end_offset: int | None = None,
-                   partitions: int | list[int] | dict[int, int] = 1) -> dict[str, str]:
-    """End position (exclusive): the given offset on every partition, else latest."""
-    if end_offset is None and not isinstance(partitions, dict):
+def ending_options(topic: str, partitions: Partitions, end_offset: int | None = None) -> dict[str, str]:
+    """End position (exclusive): the given offset on every partition (a dict:
+    per partition), else latest."""
+    given = isinstance(partitions, dict) and any(v is not None for v in partitions.values())
+    if end_offset is None and not given:
         return {"endingOffsets": "latest"}
     return {"endingOffsets": json.dumps({topic: _partition_map(partitions, end_offset, LATEST)})}
 
@@ -119,10 +125,10 @@ def replay_range(landed: DataFrame, start_offset: int | dict[int, int] | None =
     """The records a bounded Kafka read would return, from a landed topic copy.
 
     Offset bounds are per partition (start inclusive, end exclusive).  A start
-    time selects, per partition, the first offset whose record timestamp is
-    at or after it — later records are kept even if their timestamps are
-    older, as Kafka does.  The per-partition start offsets form a table with
-    one row per Kafka partition (a fixed, small number), joined by broadcast.
+    time selects, per topic and partition, the first offset whose record
+    timestamp is at or after it — later records are kept even if their
+    timestamps are older, as Kafka does.  The starts are one row per topic
+    partition; AQE broadcasts them by their measured size.
     """
     def bound(v, op):
         if not isinstance(v, dict):
@@ -138,8 +144,8 @@ def replay_range(landed: DataFrame, start_offset: int | dict[int, int] | None =
     elif start_timestamp is not None:
         ts = F.lit(start_timestamp).cast("timestamp")
         starts = (landed.filter(F.col("timestamp") >= ts)
-                  .groupBy("partition").agg(F.min("offset").alias("__start")))
-        out = (out.join(F.broadcast(starts), "partition", "inner")
+                  .groupBy("topic", "partition").agg(F.min("offset").alias("__start")))
+        out = (out.join(starts, ["topic", "partition"], "inner")
                .filter(F.col("offset") >= F.col("__start")).drop("__start"))
     if end_offset is not None:
         out = out.filter(bound(end_offset, lambda a, b: a < b))
