@@ -13,9 +13,10 @@ def test_clickstream_feed_keeps_every_event(spark):
     msgs = feeds.clickstream_messages(ev)
     n = ev.count()
     resends = ev.filter(F.col("event_id") % feeds.CLICK_DEFECTS["resend"] == 0).count()
-    assert msgs.count() == n + resends
+    late = ev.filter(F.col("event_id") % feeds.CLICK_DEFECTS["late_copy"] == 0).count()
+    assert msgs.count() == n + resends + late
     # one original per event, keyed by (partition, offset)
-    originals = msgs.filter(F.col("offset") % 2 == 0)
+    originals = msgs.filter(F.col("offset") % 4 == 0)
     assert originals.select("partition", "offset").distinct().count() == n
     malformed = msgs.filter(F.col("value").cast("string").startswith("{bad")).count()
     want = ev.filter(F.col("event_id") % feeds.CLICK_DEFECTS["malformed"] == 0).count()
@@ -27,7 +28,7 @@ def test_cdc_feed_one_record_per_event(spark):
     ch = feeds.cdc_changes(ev)
     assert ch.count() == ev.count()
     ops = {r.op: r["count"] for r in ch.groupBy("op").count().collect()}
-    assert set(ops) == {"c", "u", "d", "x"}
+    assert set(ops) == {"c", "u", "d", "r", "x"}
 
 
 def test_scd2_history_is_deterministic(spark):

@@ -91,7 +91,7 @@ def _product_measures(t: Column, revenue: Column) -> list[Column]:
 
 
 def popular_products(df: DataFrame, watermark: str | None = WATERMARK_POPULAR_PRODUCTS,
-                     method: str = "expand") -> DataFrame:
+                     method: str = "panes") -> DataFrame:
     """Sliding 1 hour every 5 minutes × product_id (rows with a product only).
 
     total_revenue sums cart_value of every interaction (carts and purchases)
@@ -99,9 +99,9 @@ def popular_products(df: DataFrame, watermark: str | None = WATERMARK_POPULAR_PR
 
     ``method="expand"``: Spark's sliding ``window`` — each event is expanded
     into its 12 windows before the partial aggregate.
-    ``method="panes"``: aggregate 5-minute panes first, then slide the panes
-    (all measures are additive).  The 12× expansion then applies to pane rows
-    instead of events, which pays when a (pane, product) holds many events.
+    ``method="panes"`` (default): aggregate 5-minute panes first, then slide
+    the panes (all measures are additive).  The 12× expansion then applies to
+    pane rows instead of events, of which a (pane, product) holds many at scale.
     """
     src = _timed(df.filter(F.col("product_id").isNotNull()), watermark)
     t = F.col("event_type")

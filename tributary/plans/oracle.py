@@ -9,7 +9,7 @@ wrong, not the feed.
 
 from __future__ import annotations
 
-from tributary.sources.feeds import CDC_DEFECTS, CLICK_DEFECTS
+from tributary.sources.feeds import CDC_DEFECTS, CLICK_DEFECTS, LATE_CHANGE
 
 D = CLICK_DEFECTS
 
@@ -25,10 +25,10 @@ click AS (
          CASE WHEN event_type IN ('view', 'click', 'purchase')
               THEN 'PROD-' || lpad(json_extract_string(props, '$.k'), 4, '0') END AS product_id,
          's-' || CAST(user_id AS VARCHAR) || '-' || strftime(ts, '%Y%m%d') AS session_id,
-         CASE event_type WHEN 'view' THEN '/products' WHEN 'click' THEN '/cart'
-              WHEN 'purchase' THEN '/checkout' WHEN 'error' THEN '/search' ELSE '/' END AS page_url,
-         ['desktop', 'mobile', 'tablet'][user_id % 3 + 1] AS device_type,
-         ['google', 'direct', 'facebook', 'email'][event_id % 4 + 1] AS referrer,
+         CASE event_type WHEN 'view' THEN '/item' WHEN 'click' THEN '/basket'
+              WHEN 'purchase' THEN '/pay' WHEN 'error' THEN '/find' ELSE '/home' END AS page_url,
+         ['laptop', 'phone', 'kiosk'][user_id % 3 + 1] AS device_type,
+         ['newsletter', 'partner', 'qr-code', 'none'][event_id % 4 + 1] AS referrer,
          CASE WHEN event_type = 'error'
               THEN 'query-' || json_extract_string(props, '$.k') END AS search_query,
          CASE WHEN event_type IN ('click', 'purchase') THEN value END AS cart_value,
@@ -41,8 +41,15 @@ click AS (
 # Bronze rows, one per Kafka record (re-sends included).
 BRONZE = CLICK + f""",
 copies AS (
-  SELECT *, unnest(CASE WHEN event_num % {D['resend']} = 0 THEN [0, 1] ELSE [0] END) AS copy
-  FROM click
+  SELECT *, CAST((event_num + CASE WHEN copy = 2 THEN 1 ELSE 0 END) % 3 AS INTEGER) AS kpart,
+         event_num * 4 + copy AS koff,
+         ts + CASE WHEN copy = 0 THEN INTERVAL 0 SECOND WHEN copy = 2 THEN INTERVAL 2 DAY
+                   WHEN event_num % {D['early_copy']} = 0 THEN INTERVAL (-1) SECOND
+                   ELSE INTERVAL 1 SECOND END AS kts,
+         CASE WHEN event_num % {D['future']} = 0 THEN ts + INTERVAL 3 DAY ELSE ts END AS claimed
+  FROM (SELECT *, unnest(CASE WHEN event_num % {D['late_copy']} = 0 THEN [0, 1, 2]
+                              WHEN event_num % {D['resend']} = 0 THEN [0, 1] ELSE [0] END) AS copy
+        FROM click)
 ),
 bronze AS (
   SELECT CASE WHEN malformed THEN NULL ELSE event_id END AS event_id,
@@ -50,28 +57,27 @@ bronze AS (
               WHEN event_num % {D['padded_user']} = 0 THEN user_key || ' '
               ELSE user_key END AS user_id,
          CASE WHEN malformed THEN NULL
+              WHEN event_num % {D['bad_time']} = 0 THEN 'some time ago'
               WHEN event_num % {D['offset_time']} = 0
-                THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00'
-              ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || 'Z' END AS "timestamp",
+                THEN strftime(claimed, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00'
+              ELSE strftime(claimed, '%Y-%m-%dT%H:%M:%S.%f') || 'Z' END AS "timestamp",
          CASE WHEN malformed THEN NULL
               WHEN event_num % {D['bad_type']} = 0 THEN 'bogus' ELSE ctype END AS event_type,
          CASE WHEN malformed THEN NULL ELSE product_id END AS product_id,
          CASE WHEN malformed THEN NULL ELSE session_id END AS session_id,
-         CASE WHEN malformed THEN NULL ELSE ts END AS event_ts,
+         CASE WHEN malformed OR event_num % {D['bad_time']} = 0 THEN NULL ELSE claimed END AS event_ts,
          CASE WHEN malformed THEN NULL ELSE page_url END AS page_url,
          CASE WHEN malformed THEN NULL ELSE device_type END AS device_type,
          CASE WHEN malformed THEN NULL ELSE referrer END AS referrer,
          CASE WHEN malformed THEN NULL ELSE search_query END AS search_query,
-         CASE WHEN malformed THEN NULL ELSE cart_value END AS cart_value,
+         CASE WHEN malformed OR event_num % {D['bad_number']} = 0 THEN NULL ELSE cart_value END AS cart_value,
          CASE WHEN malformed THEN NULL ELSE quantity END AS quantity,
-         ts + copy * INTERVAL 1 SECOND AS kafka_timestamp,
-         CAST(event_num % 3 AS INTEGER) AS kafka_partition,
-         event_num * 2 + copy AS kafka_offset,
+         kts AS kafka_timestamp, kpart AS kafka_partition, koff AS kafka_offset,
          event_num, copy
   FROM copies
 )"""
 
-# Silver rows: required fields present, earliest copy, cleaned keys, flags.
+# Silver rows: required fields present, first-ranked copy, cleaned keys, flags.
 SILVER = BRONZE + """,
 silver AS (
   SELECT event_id, lower(trim(user_id)) AS user_id, event_type, product_id,
@@ -81,9 +87,12 @@ silver AS (
          cart_value, quantity,
          coalesce(event_type = 'purchase', false) AS is_conversion,
          coalesce(event_type IN ('add_to_cart', 'purchase'), false) AS is_cart_event
-  FROM bronze
-  WHERE event_id IS NOT NULL AND user_id IS NOT NULL AND session_id IS NOT NULL
-    AND event_type IS NOT NULL AND copy = 0
+  FROM (SELECT *, row_number() OVER (PARTITION BY event_id
+                    ORDER BY kafka_timestamp, kafka_partition, kafka_offset) AS nth
+        FROM bronze
+        WHERE event_id IS NOT NULL AND user_id IS NOT NULL AND session_id IS NOT NULL
+          AND event_type IS NOT NULL)
+  WHERE nth = 1
 )"""
 
 BRONZE_OUT = """event_id, user_id, "timestamp", event_type, product_id, session_id,
@@ -98,11 +107,15 @@ def with_(cte: str, body: str) -> str:
 CDC = f"""
 cdc AS (
   SELECT event_id AS change_num,
+         event_id % {CDC_DEFECTS['no_image']} = 0 AS bare,
          CASE WHEN event_id % {CDC_DEFECTS['bad_op']} = 0 THEN 'x'
+              WHEN event_id % {CDC_DEFECTS['read']} = 0 THEN 'r'
               WHEN event_type = 'signup' THEN 'c'
               WHEN event_type = 'error' THEN 'd' ELSE 'u' END AS op,
-         epoch_us(ts) // 1000 AS ts_ms, ts,
-         'USER-' || lpad(CAST(user_id AS VARCHAR), 6, '0') AS user_id,
+         epoch_us(ts) // 1000 - CASE WHEN event_id % {LATE_CHANGE} = 0 THEN 864000000 ELSE 0 END AS ts_ms,
+         epoch_us(ts) // 1000 AS arrived_ms,
+         CASE WHEN event_id % {CDC_DEFECTS['no_image']} = 0 THEN NULL
+              ELSE 'USER-' || lpad(CAST(user_id AS VARCHAR), 6, '0') END AS user_id,
          'user ' || CAST(user_id AS VARCHAR) || ' v' || CAST(event_id AS VARCHAR) AS name,
          'u' || CAST(event_id AS VARCHAR) || '@example.com' AS email
   FROM events

@@ -18,8 +18,7 @@ shuffle) and scale with their input.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tributary.fixed import TOPIC_CDC, TOPIC_CLICKSTREAM, UNKNOWN_KEY
 from tributary.session import table_path
@@ -33,43 +32,33 @@ CLICK_DEFECTS = {
     "offset_time": 89,     # timestamp written with +00:00 instead of Z
     "resend": 10,          # producer re-sent the record one second later
     "padded_user": 7,      # user_id carries a trailing space
+    "early_copy": 70,      # the re-send's record time is one second before the first's
+    "late_copy": 90,       # sent a third time, two days later, to another partition
+    "bad_time": 71,        # timestamp is not a time
+    "bad_number": 73,      # cart_value sent as text that is no number
+    "fraction": 61,        # quantity sent with a fraction
+    "future": 67,          # event time three days after the record time
 }
 CDC_DEFECTS = {
     "bad_op": 103,         # op outside the enumeration
+    "read": 59,            # op r (snapshot read)
+    "no_image": 107,       # neither a before nor an after image
 }
+LATE_CHANGE = 53           # residue of changes stamped ten days before they arrive
 
 # Mapping of the driver's event vocabulary onto the clickstream vocabulary.
 TYPE_MAP = [("view", "page_view"), ("click", "add_to_cart"), ("purchase", "purchase"),
             ("error", "search")]
 TYPE_OTHER = "user_login"
-PAGE_BY_TYPE = [("page_view", "/products"), ("add_to_cart", "/cart"),
-                ("purchase", "/checkout"), ("search", "/search")]
-PAGE_OTHER = "/"
-DEVICES = ["desktop", "mobile", "tablet"]
-REFERRERS = ["google", "direct", "facebook", "email"]
+PAGE_BY_TYPE = [("page_view", "/item"), ("add_to_cart", "/basket"),
+                ("purchase", "/pay"), ("search", "/find")]
+PAGE_OTHER = "/home"
+DEVICES = ["laptop", "phone", "kiosk"]
+REFERRERS = ["newsletter", "partner", "qr-code", "none"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return ensure_parallelism(spark.read.parquet(table_path(sf_dir, name)))
-
-
-def ensure_parallelism(df: DataFrame) -> DataFrame:
-    """Spread a scan that yields fewer input partitions than the cluster has
-    task slots (a small file with one row group is read by one task).
-
-    At scale a scan has far more splits than slots and this is a no-op; the
-    partition count comes from planning the scan, no job runs.
-    """
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 — sessions without an RDD API (Spark Connect)
-        return df
-    return df.repartition(slots) if parts < slots else df
-
-
-def user_key(user_num: Column) -> Column:
-    return F.concat(F.lit("USER-"), F.lpad(user_num.cast("string"), 6, "0"))
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 def _sql_case(col: str, pairs: list[tuple[str, str]], other: str) -> str:
@@ -124,8 +113,10 @@ def clickstream_messages(events: DataFrame, topic: str = TOPIC_CLICKSTREAM) -> D
     # 1) the per-row fields as they are sent (defects applied)
     sent = ev.selectExpr(
         "event_num", "ts", "event_id", "product_id", "session_id",
-        "concat(date_format(ts, 'yyyy-MM-dd\\'T\\'HH:mm:ss.SSSSSS'), "
-        f"CASE WHEN {has['offset_time']} THEN '+00:00' ELSE 'Z' END) AS `timestamp`",
+        f"CASE WHEN {has['bad_time']} THEN 'some time ago' ELSE "
+        f"concat(date_format(CASE WHEN {has['future']} THEN ts + INTERVAL 3 DAYS ELSE ts END, "
+        "'yyyy-MM-dd\\'T\\'HH:mm:ss.SSSSSS'), "
+        f"CASE WHEN {has['offset_time']} THEN '+00:00' ELSE 'Z' END) END AS `timestamp`",
         f"CASE WHEN {has['missing_user']} THEN CAST(NULL AS STRING) "
         f"WHEN {has['padded_user']} THEN concat(user_id, ' ') ELSE user_id END AS user_id",
         f"CASE WHEN {has['bad_type']} THEN 'bogus' ELSE event_type END AS event_type",
@@ -144,17 +135,24 @@ def clickstream_messages(events: DataFrame, topic: str = TOPIC_CLICKSTREAM) -> D
         encoded.selectExpr(
             "event_num", "ts", "key",
             f"CASE WHEN {has['malformed']} THEN concat('{{bad-', event_id) "
+            f"WHEN {has['bad_number']} THEN regexp_replace(body, "
+            "'\"cart_value\":([-0-9.Ee+]+)', '\"cart_value\":\"n/a\"') "
             f"WHEN {has['text_cart']} THEN regexp_replace(body, "
             "'\"cart_value\":([-0-9.Ee+]+)', '\"cart_value\":\"$1\"') "
+            f"WHEN {has['fraction']} THEN regexp_replace(body, "
+            "'\"quantity\":([0-9]+)', '\"quantity\":$1.7') "
             "ELSE body END AS value",
-            f"explode(CASE WHEN {has['resend']} THEN array(0, 1) ELSE array(0) END) AS copy")
+            f"explode(CASE WHEN {has['late_copy']} THEN array(0, 1, 2) "
+            f"WHEN {has['resend']} THEN array(0, 1) ELSE array(0) END) AS copy")
         .selectExpr(
             "CAST(key AS BINARY) AS key",
             "CAST(value AS BINARY) AS value",
             f"'{topic}' AS topic",
-            "CAST(event_num % 3 AS INT) AS partition",
-            "event_num * 2 + copy AS offset",
-            "timestamp_micros(unix_micros(ts) + copy * 1000000) AS timestamp",
+            "CAST((event_num + CASE WHEN copy = 2 THEN 1 ELSE 0 END) % 3 AS INT) AS partition",
+            "event_num * 4 + copy AS offset",
+            "timestamp_micros(unix_micros(ts) + CASE WHEN copy = 0 THEN 0 "
+            f"WHEN copy = 2 THEN 172800000000 WHEN {has['early_copy']} THEN -1000000 "
+            "ELSE 1000000 END) AS timestamp",
             "0 AS timestampType",
         )
     )
@@ -163,21 +161,25 @@ def clickstream_messages(events: DataFrame, topic: str = TOPIC_CLICKSTREAM) -> D
 def cdc_changes(events: DataFrame) -> DataFrame:
     """``events`` → typed user change records (op, ts_ms, source, before, after)."""
     uid = "concat('USER-', lpad(CAST(user_id AS STRING), 6, '0'))"
+    c = CDC_DEFECTS
     staged = events.selectExpr(
         "event_id AS change_num",
-        f"CASE WHEN event_id % {CDC_DEFECTS['bad_op']} = 0 THEN 'x' "
+        f"event_id % {c['no_image']} = 0 AS bare",
+        f"CASE WHEN event_id % {c['bad_op']} = 0 THEN 'x' WHEN event_id % {c['read']} = 0 THEN 'r' "
         "WHEN event_type = 'signup' THEN 'c' WHEN event_type = 'error' THEN 'd' "
         "ELSE 'u' END AS op",
-        "unix_millis(CAST(ts AS TIMESTAMP)) AS ts_ms",
+        f"unix_millis(CAST(ts AS TIMESTAMP)) - CASE WHEN event_id % {LATE_CHANGE} = 0 "
+        "THEN 864000000 ELSE 0 END AS ts_ms",
+        "unix_millis(CAST(ts AS TIMESTAMP)) AS arrived_ms",
         f"{uid} AS uid",
         "concat('user ', CAST(user_id AS STRING), ' v', CAST(event_id AS STRING)) AS name",
         "concat('u', CAST(event_id AS STRING), '@example.com') AS email")
     return staged.selectExpr(
-        "change_num", "op", "ts_ms",
+        "change_num", "op", "ts_ms", "arrived_ms",
         "named_struct('table', 'users', 'db', 'ecommerce') AS source",
-        "CASE WHEN op IN ('u', 'd', 'x') THEN named_struct('user_id', uid, "
+        "CASE WHEN op IN ('u', 'd', 'x') AND NOT bare THEN named_struct('user_id', uid, "
         "'name', CAST(NULL AS STRING), 'email', CAST(NULL AS STRING)) END AS before",
-        "CASE WHEN op <> 'd' THEN named_struct('user_id', uid, 'name', name, "
+        "CASE WHEN op <> 'd' AND NOT bare THEN named_struct('user_id', uid, 'name', name, "
         "'email', email) END AS after")
 
 
@@ -191,7 +193,7 @@ def cdc_messages(events: DataFrame, topic: str = TOPIC_CDC) -> DataFrame:
         f"'{topic}' AS topic",
         "CAST(change_num % 3 AS INT) AS partition",
         "change_num AS offset",
-        "timestamp_millis(ts_ms) AS timestamp",
+        "timestamp_millis(arrived_ms) AS timestamp",
         "0 AS timestampType")
 
 
