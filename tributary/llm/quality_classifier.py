@@ -25,6 +25,7 @@ from tributary.llm.toxicity import fold
 MAX_POSITIVE = 5_000
 MAX_UNLABELLED = 10_000
 HIDDEN = 16
+PRIOR_MARGIN = 0.03
 ROUNDS = 400
 _COLUMNS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_distinct_words",
             "n_adjacent_repeats", "n_upper", "n_bare", "n_plain", "n_lines"]
@@ -77,21 +78,29 @@ def _sigmoid(z):
 
 def class_prior(positive: np.ndarray, unlabelled: np.ndarray, rng) -> float:
     """Share of positives in the unlabelled rows.  A plain model is fitted to
-    tell the two samples apart; where it is surest of "positive", hardly any
-    negatives are left, so the ratio of masses there bounds the prior."""
-    (p_fit, p), (u_fit, u) = ((a[::2], a[1::2]) for a in (positive, unlabelled))
-    if len(p) == 0 or len(u) == 0:
-        return 0.5
-    x = np.concatenate([p_fit, u_fit])
-    net, state = Network(x.mean(0), x.std(0) + 1e-6, rng), {}
-    y = np.concatenate([np.ones(len(p_fit)), np.zeros(len(u_fit))])
-    weight = np.where(y == 1, 0.5 / len(p_fit), 0.5 / len(u_fit))
-    for _ in range(ROUNDS // 2):
-        net.step(x, weight * (_sigmoid(net.logit(x)) - y), state)
-    p, u = net.logit(p), net.logit(u)
-    cuts = np.quantile(p, np.linspace(0.1, 0.5, 9))
-    ratios = [(u >= c).mean() / max((p >= c).mean(), 1e-9) for c in cuts]
-    return float(np.clip(np.median(ratios), 0.05, 0.98))
+    tell the two samples apart on one half and read on the other, both ways
+    round; where it is surest of "positive", hardly any negatives are left, so
+    the ratio of masses there is the prior.  A prior that is too large makes the
+    non-negative risk accept negatives, one that is too small only lowers all
+    scores a little: the estimate less PRIOR_MARGIN and two standard errors is
+    used."""
+    ratios, seen = [], 0
+    for one, two in ((0, 1), (1, 0)):
+        (p_fit, p), (u_fit, u) = ((a[one::2], a[two::2]) for a in (positive, unlabelled))
+        if len(p) == 0 or len(u) == 0 or len(p_fit) == 0 or len(u_fit) == 0:
+            return 0.5
+        x = np.concatenate([p_fit, u_fit])
+        net, state = Network(x.mean(0), x.std(0) + 1e-6, rng), {}
+        y = np.concatenate([np.ones(len(p_fit)), np.zeros(len(u_fit))])
+        weight = np.where(y == 1, 0.5 / len(p_fit), 0.5 / len(u_fit))
+        for _ in range(ROUNDS // 2):
+            net.step(x, weight * (_sigmoid(net.logit(x)) - y), state)
+        p, u = net.logit(p), net.logit(u)
+        for c in np.quantile(p, np.linspace(0.1, 0.5, 9)):
+            ratios.append((u >= c).mean() / max((p >= c).mean(), 1e-9))
+        seen += min(len(p), len(u))
+    prior = float(np.median(ratios))
+    return float(np.clip(prior * (1 - PRIOR_MARGIN) - 2 * np.sqrt(0.25 / max(seen, 1)), 0.05, 0.95))
 
 
 def fit(positive: np.ndarray, unlabelled: np.ndarray, seed: int = 5) -> tuple[Network, float]:
