@@ -19,16 +19,6 @@ def count_when(cond: Column) -> Column:
     return F.count_if(F.coalesce(cond, F.lit(False)))
 
 
-def to_ntz(col: Column) -> Column:
-    """TIMESTAMP → TIMESTAMP_NTZ (wall clock in the session zone, UTC here)."""
-    return col.cast("timestamp_ntz")
-
-
-def as_timestamp(col: Column) -> Column:
-    """Event-time columns are TIMESTAMP; input tables carry TIMESTAMP_NTZ."""
-    return col.cast("timestamp")
-
-
 def fence(df: DataFrame) -> DataFrame:
     """Pass every row through a one-element generator.
 

@@ -131,9 +131,12 @@ def _node_checks(vals: dict[str, str], kinds: dict[str, str], path: str,
 
 
 def with_violations(df: DataFrame, text: Column | str, schema: dict,
-                    out: str = "errors") -> DataFrame:
+                    out: str = "errors", also: dict[str, str] | None = None) -> DataFrame:
     """``df`` plus ``out ARRAY<STRING>``: violations of the JSON in ``text``.
 
+    ``also``: further columns as SQL expressions over the parsed document
+    ``__doc``, so that a caller need not parse it again.
+
     Staged projections — parse once, extract each path once, type each value
     once, then test — so the JSON text is parsed once per record however many
     rules there are.
@@ -158,7 +161,8 @@ def with_violations(df: DataFrame, text: Column | str, schema: dict,
     result = (f"CASE WHEN __doc IS NULL THEN array({_lit(MALFORMED)}) "
               "WHEN __found = '' THEN CAST(array() AS ARRAY<STRING>) "
               "ELSE split(__found, char(31)) END")
-    return (joined.withColumn(out, F.expr(result))
+    more = {name: F.expr(e) for name, e in (also or {}).items()}
+    return (joined.withColumns({out: F.expr(result), **more})
             .drop("__text", "__doc", "__found", *names.values(), *kinds.values()))
 
 

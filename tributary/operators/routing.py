@@ -22,10 +22,28 @@ ROUTE_SENT = "sent"
 ROUTE_DLQ = "dlq"
 
 
-def validate(df: DataFrame, schema: dict, value_col: str = "value") -> DataFrame:
-    """Adds ``errors ARRAY<STRING>``, ``error`` (the first) and ``route``."""
+def _image(field: str) -> str:
+    """user_id of a state image, if that is an object that is not empty."""
+    at = f"try_variant_get(__doc, '$.{field}', 'variant')"
+    return (f"WHEN schema_of_variant({at}) LIKE 'OBJECT<%' AND schema_of_variant({at}) <> 'OBJECT<>' "
+            f"THEN try_variant_get(__doc, '$.{field}.user_id', 'string')")
+
+
+# Partition keys as expressions over the parsed document.
+KEYS = {
+    "clickstream": f"coalesce(try_variant_get(__doc, '$.user_id', 'string'), '{UNKNOWN_KEY}')",
+    "cdc": f"coalesce(CASE {_image('after')} {_image('before')} END, '{UNKNOWN_KEY}')",
+}
+
+
+def validate(df: DataFrame, schema: dict, value_col: str = "value",
+             key: str | None = None) -> DataFrame:
+    """Adds ``errors ARRAY<STRING>``, ``error`` (the first) and ``route``; with
+    ``key`` ("clickstream" or "cdc") also ``route_key``, the partition key, from
+    the same parse of the document."""
     text = F.col(value_col).cast("string")
-    checked = fence(with_violations(df, text, schema, "errors"))
+    also = {"route_key": KEYS[key]} if key else None
+    checked = fence(with_violations(df, text, schema, "errors", also))
     return checked.withColumns({
         "error": F.get(F.col("errors"), 0),
         "route": F.when(F.size("errors") == 0, F.lit(ROUTE_SENT)).otherwise(F.lit(ROUTE_DLQ)),

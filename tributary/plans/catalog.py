@@ -353,9 +353,8 @@ SELECT kpart AS partition, koff AS offset,
        '{TOPIC_CLICKSTREAM}' AS topic
 FROM checked WHERE len(errs) = 0"""))
 def q_clickstream_route_keys(spark, sf_dir):
-    ok = R.accepted(validated_clicks(spark, sf_dir))
-    return ok.select("partition", "offset",
-                     R.clickstream_key(F.col("value").cast("string")).alias("key"),
+    ok = R.accepted(R.validate(click_messages(spark, sf_dir), CLICKSTREAM_SCHEMA, key="clickstream"))
+    return ok.select("partition", "offset", F.col("route_key").alias("key"),
                      F.lit(TOPIC_CLICKSTREAM).alias("topic"))
 
 
@@ -376,8 +375,8 @@ def q_cdc_validate(spark, sf_dir):
 SELECT change_num AS offset, coalesce(user_id, 'unknown') AS key, '{TOPIC_CDC}' AS topic
 FROM cdc WHERE op <> 'x'"""))
 def q_cdc_route_keys(spark, sf_dir):
-    ok = R.with_cdc_key(R.accepted(validated_cdc(spark, sf_dir)))
-    return ok.select("offset", "key", F.lit(TOPIC_CDC).alias("topic"))
+    ok = R.accepted(R.validate(feeds.cdc_messages(events(spark, sf_dir)), CDC_SCHEMA, key="cdc"))
+    return ok.select("offset", F.col("route_key").alias("key"), F.lit(TOPIC_CDC).alias("topic"))
 
 
 @register("profile_validate", O.with_(O.PROFILES.replace(

@@ -91,11 +91,10 @@ def router_batch_writer(schema: dict, topic: str, accepted_path: str, dlq_path:
     (a repeated batch id changes nothing).  ``accepted_path`` and ``dlq_path``
     are table folders; ``fmt="kafka"`` needs ``kafka_batch_writer``."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        checked = R.validate(batch, schema).persist()
+        checked = R.validate(batch, schema, key=None if key else "clickstream").persist()
         try:
             ok = R.accepted(checked)
-            ok = key(ok) if key else ok.withColumn(
-                "key", R.clickstream_key(F.col("value").cast("string")))
+            ok = key(ok) if key else ok.withColumn("key", F.col("route_key"))
             publish(ok.select("key", F.col("value").cast("string").alias("value"),
                               F.lit(topic).alias("topic")),
                     accepted_path, f"{BATCH_COL}={batch_id}", fmt)
@@ -112,10 +111,9 @@ def kafka_batch_writer(schema: dict, topic: str, dlq_topic: str, bootstrap: str,
     partition key, dead letters as JSON to ``dlq_topic``, in one write of the
     Kafka sink (at least once: a repeated batch sends its rows again)."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        checked = R.validate(batch, schema)
-        text = F.col("value").cast("string")
+        checked = R.validate(batch, schema, key="clickstream")
         dead = R.dlq_envelope(R.rejected(checked), topic)
-        rows = R.keyed_for_topic(R.accepted(checked), topic, R.clickstream_key(text)).unionByName(
+        rows = R.keyed_for_topic(R.accepted(checked), topic, F.col("route_key")).unionByName(
             dead.select(F.lit(None).cast("string").alias("key"),
                         F.to_json(F.struct(*dead.columns)).alias("value"),
                         F.lit(dlq_topic).alias("topic")))
