@@ -69,8 +69,10 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     extra = docs.drop("n_lines", "n_removed")
     starts = covered(extra.select("doc_id", "text")).select(
         F.col("doc_id").alias("_id"), F.col("body").alias("_body"), F.col("starts").alias("_starts"))
+    # the covered places grow with the corpus, so the plan is the same at any
+    # size: both sides meet by document
     joined = extra.withColumn("_key", F.xxhash64("text")).join(
-        starts, (F.col("_key") == F.col("_body")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+        starts.hint("merge"), (F.col("_key") == F.col("_body")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left")
     lines, solid = F.col("_lines"), F.col("_solid")
     gone = F.array_distinct(F.flatten(F.transform(
         "_starts", lambda s: F.array(*[F.get(solid, s + k) for k in range(WINDOW)]))))
