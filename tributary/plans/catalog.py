@@ -175,8 +175,9 @@ def q_events_per_minute(spark, sf_dir):
 
 
 def near(approx: str, exact: str) -> Column:
-    """Whether an approximate count is within 20 % (and 2) of the exact one."""
-    return (F.abs(F.col(approx) - F.col(exact)) <= F.greatest(F.lit(2.0), F.col(exact) * 0.2))
+    """Whether an estimated count is within five standard errors (25 %) of the
+    exact one, or within 6 where so few values share a register."""
+    return F.abs(F.col(approx) - F.col(exact)) <= F.greatest(F.lit(6.0), F.col(exact) * 0.25)
 
 
 def with_estimates(exact: DataFrame, approx: DataFrame, keys: list[str], counts: list[str]) -> DataFrame:
