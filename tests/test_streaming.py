@@ -90,6 +90,19 @@ def test_copy_days_later_stays_out(spark, tmp_path):
     assert sorted(r.event_id for r in spark.read.parquet(f"{root}/silver").collect()) == ["e1", "e2"]
 
 
+def test_merged_ids_still_keep_copies_out(spark, tmp_path):
+    root = str(tmp_path)
+    for day in range(3):
+        land(spark, f"{root}/landed", [(event(f"e{day}", day), 60 * 24 * day)])
+        layers(spark, root)
+    assert J.compact_ids(spark, f"{root}/silver", 1) == 2 and J.compact_ids(spark, f"{root}/silver", 1) == 0
+    land(spark, f"{root}/landed", [(event("e0", 0), 9999), (event("e2", 2), 9999), (event("e9", 3), 9999)])
+    layers(spark, root)
+    assert J.compact_ids(spark, f"{root}/silver", 3) == 3
+    assert sorted(r.event_id for r in spark.read.parquet(f"{root}/silver").collect()) == ["e0", "e1", "e2", "e9"]
+    assert spark.read.parquet(J.ids_path(f"{root}/silver")).count() == 4
+
+
 def test_repeated_silver_batch_counts_once(spark, tmp_path):
     root = str(tmp_path)
     land(spark, f"{root}/landed", [(event("e1", 0), 0), (event("e2", 60), 1)])

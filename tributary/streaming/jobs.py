@@ -245,6 +245,26 @@ def silver_batch_writer(spark: SparkSession, silver_path: str,
     return write
 
 
+def compact_ids(spark: SparkSession, silver_path: str, upto: int) -> int:
+    """Put the ids of all batches up to ``upto`` (ended ones) into one folder
+    and remove theirs, so that a long-running stream lists few folders; returns
+    how many were merged.  While both exist an id is there twice, which changes
+    no result."""
+    jvm = spark.sparkContext._jvm
+    ids = ids_path(silver_path)
+    root = jvm.org.apache.hadoop.fs.Path(ids)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [st.getPath().getName() for st in fs.listStatus(root)]
+    merged = [n for n in names if n.startswith(f"{BATCH_COL}=") and int(n.split("=")[1]) <= upto]
+    target = f"{BATCH_COL}={-(upto + 1)}"       # a number before every batch
+    rows = spark.read.parquet(ids).filter(F.col(BATCH_COL) <= upto).select("event_id")
+    if len(merged) < 2 or not publish(rows, ids, target):
+        return 0
+    for n in merged:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{ids}/{n}"), True)
+    return len(merged)
+
+
 def start_silver(bronze: DataFrame, silver_path: str, checkpoint: str, fmt: str = "parquet",
                  trigger: dict | None = None) -> StreamingQuery:
     writer = silver_batch_writer(bronze.sparkSession, silver_path, fmt)
