@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tributary.functions.exprs import fence
 from tributary.llm.shared import written
 
 WINDOW = 3
@@ -38,8 +39,7 @@ def windows(docs: DataFrame) -> DataFrame:
         F.sequence(F.lit(0), F.size("h") - WINDOW),
         lambda i: F.struct(i.alias("at"), F.unhex(F.md5(F.concat(
             *[F.get(F.col("h"), i + k) for k in range(WINDOW)]))).alias("window")))
-    return (hashed.where(F.size("h") >= WINDOW)
-            .select("doc_id", "body", F.inline(runs)))
+    return fence(hashed).select("doc_id", "body", F.inline(F.when(F.size("h") >= WINDOW, runs)))
 
 
 def covered(docs: DataFrame) -> DataFrame:
@@ -77,13 +77,16 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     gone = F.array_distinct(F.flatten(F.transform(
         "_starts", lambda s: F.array(*[F.get(solid, s + k) for k in range(WINDOW)]))))
     rest = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
-    return (joined.withColumn("_lines", _lines(F.col("text"))).withColumn("_solid", _solid(lines))
-            .withColumn("_gone", F.coalesce(gone, F.array().cast("array<int>")))
-            .withColumn("n_lines", F.size(solid).cast("long"))
-            .withColumn("n_removed", F.size("_gone").cast("long"))
-            .withColumn("text", F.when(F.size("_gone") > 0, F.array_join(
-                F.transform(rest, lambda i: F.get(lines, i)), "\n")).otherwise(F.col("text")))
-            .select(*extra.columns, "n_lines", "n_removed"))
+    # each fence keeps a caller's filter on the results from being moved below,
+    # where it would evaluate the nested expressions once per line
+    parts = fence(joined.withColumn("_lines", _lines(F.col("text")))).withColumn("_solid", _solid(lines))
+    found = fence(fence(parts).withColumn("_gone", F.coalesce(gone, F.array().cast("array<int>"))))
+    return fence(
+        found.withColumn("n_lines", F.size(solid).cast("long"))
+        .withColumn("n_removed", F.size("_gone").cast("long"))
+        .withColumn("text", F.when(F.size("_gone") > 0, F.array_join(
+            F.transform(rest, lambda i: F.get(lines, i)), "\n")).otherwise(F.col("text")))
+        .select(*extra.columns, "n_lines", "n_removed"))
 
 
 def op7_line_dedup(spark, sf_dir: str) -> DataFrame:

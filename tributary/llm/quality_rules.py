@@ -6,7 +6,7 @@ expectation-maximisation from the votes alone, and a document is kept by its
 posterior probability of being good, not by passing every rule.
 
 Only the counts of distinct vote patterns reach the driver: at most
-``3 ** len(RULES)`` rows, whatever the number of documents.
+``3 ** len(rules())`` rows, whatever the number of documents.
 """
 
 from __future__ import annotations
@@ -205,7 +205,7 @@ def quality_rules(docs: DataFrame, text: str = "text", key: str = "doc_id",
     votes = rules()
     voted = table.withColumns({f"vote_{n}": c.cast("int") for n, c in votes.items()})
     names = [f"vote_{n}" for n in votes]
-    seen = voted.groupBy(*names).count().collect()   # at most 3 ** 9 patterns
+    seen = voted.groupBy(*names).count().collect()   # at most 3 ** len(votes) patterns
     patterns = np.array([[r[n] for n in names] for r in seen], dtype=np.int64).reshape(-1, len(names))
     model = fit(patterns, np.array([r["count"] for r in seen], dtype=float))
     failed = (F.col("n_words") < 20) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 30)
