@@ -24,14 +24,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.llm.bpe_tables import SPAN, MergeTable, Remembered, merge_table
-from tributary.llm.shared import extended
+from tributary.llm.shared import extended, small_batches
 
 # Fixed value: how the vocabulary's tokenizer splits normalised text into words.
 WORD_PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]"
                 r"|[^\p{White_Space}\p{L}\p{N}]+")
 # new entries after which a Python worker forgets (about 200 bytes each)
-CACHE_WORDS = 100_000
-CACHE_RUNS = 250_000
+CACHE_WORDS = 60_000
+CACHE_RUNS = 150_000
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
@@ -145,8 +145,8 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
-        for b in batches:
-            raw = [enc.encode(t or "") for t in b.column(at).to_pylist()]
+        for b in small_batches(batches, at):
+            raw = [enc.encode(t.as_py() or "") for t in b.column(at)]
             size = np.array([len(r) // 4 for r in raw], dtype=np.int64)
             ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
             flat = pa.array(np.frombuffer(b"".join(raw), dtype="<u4").astype(np.int32))

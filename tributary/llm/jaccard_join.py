@@ -52,8 +52,8 @@ def _needed(n: Column, percent: int, extra: int) -> Column:
 
 
 def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[tuple[pa.RecordBatch, list]]:
-    for b in batches:
-        data, offsets = shared.text_buffer(b.column(b.schema.get_field_index("text")))
+    for b in shared.small_batches(batches, 1):     # the text is the second column
+        data, offsets = shared.text_buffer(b.column(1))
         sets: list[np.ndarray] = []
         for i, j in shared.doc_chunks(offsets):
             w = shared.Words(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], lower=True)

@@ -109,6 +109,15 @@ def doc_chunks(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
         i = j
 
 
+def small_batches(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about CHUNK_BYTES of text, so that what is
+    made of a batch stays small; a longer text is a batch of its own, whole."""
+    for b in batches:
+        _, offsets = text_buffer(b.column(column))
+        for i, j in doc_chunks(offsets):
+            yield b.slice(i, j - i)
+
+
 class Words:
     """The words of some documents: spans, 64-bit hashes and word ranges."""
 

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.llm.bpe_tables import SPAN, MergeTable, Remembered, merge_table
+from tributary.llm.shared import small_batches
 
 # Fixed value: the vocabulary's split of text into pre-tokens (\s spelled out).
 PIECE_PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+"
@@ -155,7 +156,7 @@ def prefix_counts(docs: DataFrame, path: str, key: str = "doc_id", text: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prefixes = counter(path).prefixes
-        for b in batches:
+        for b in small_batches(batches, 1):
             rows = pa.array([prefixes(t.as_py() or "") for t in b.column(1)], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([b.column(0), rows], names=[key, "prefix_tokens"])
 

@@ -92,7 +92,7 @@ def _known(selected: np.ndarray, found: np.ndarray) -> np.ndarray:
 def _select(sample: DataFrame) -> np.ndarray:
     """The features that best tell the labels apart (likelihood ratio)."""
     def run(batches):
-        for b in batches:
+        for b in shared.small_batches(batches, 0):
             feats, y = _features_of(b.column(0)), np.asarray(b.column(1))
             if not feats:
                 continue
@@ -124,7 +124,7 @@ def _select(sample: DataFrame) -> np.ndarray:
 def _training_rows(sample: DataFrame, selected: np.ndarray) -> list:
     """Per training row: label, its features, and those of its swapped copy."""
     def run(batches):
-        for b in batches:
+        for b in shared.small_batches(batches, 0):
             found = [_known(selected, f) for f in _features_of(b.column(0))]
             other = [swaps(t.as_py() or "") for t in b.column(0)]
             copies = [_known(selected, f) for f in _features_of(pa.array(other, pa.string()))]
@@ -194,7 +194,7 @@ def score(docs: DataFrame, model: dict, key: str = "doc_id") -> DataFrame:
     selected, w, bias = model["selected"], model["w"], model["bias"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in shared.small_batches(batches, 1):
             z = np.array([bias + w[_known(selected, f)].sum() for f in _features_of(b.column(1))])
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))), pa.float64())],
@@ -213,7 +213,7 @@ def keep_clean(docs: DataFrame, model: dict, threshold: float = 0.5) -> DataFram
     limit = float(np.log(threshold / (1 - threshold)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in shared.small_batches(batches, at):
             z = [bias + w[_known(selected, f)].sum() for f in _features_of(b.column(at))]
             yield b.filter(pa.array([bool(v < limit) for v in z], pa.bool_()))
 
