@@ -11,7 +11,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from tributary.plans.catalog import QUERIES  # noqa: E402
 from tributary.session import build_session  # noqa: E402
 
-SHOWN = ["conversion_rate_approx", "popular_products", "silver_full", "validate_routes",
+SHOWN = ["conversion_rate", "popular_products", "silver_full", "validate_routes",
          "scd2_history", "quality_silver"]
 
 
