@@ -33,7 +33,7 @@ from tributary.llm import shared
 from tributary.llm.components import components
 from tributary.llm.shared import written
 
-BLOCK = 256
+BLOCK = 128
 TASK_ROWS = 1000
 _SEEDS = {2: np.uint64(0xA0761D6478BD642F), 3: np.uint64(0xE7037ED1A0B428DB)}
 # extra prefix tokens (percent of the set) that must be shared, per order
