@@ -145,6 +145,29 @@ def test_near_duplicate_vectors(spark):
     assert all(r.kept == (r.vec_id == r.component_id) for r in out if r.vec_id is not None)
 
 
+def test_large_buckets_are_dealt_anew_in_each_table(spark):
+    """600 members that share a bucket in all six tables meet across its groups."""
+    rows = spark.range(600).crossJoin(spark.range(6).withColumnRenamed("id", "tbl"))
+    groups = {}
+    for r in embedding_dedup._dealt(rows, ["tbl"], 256, "id", "test-dealt").collect():
+        groups.setdefault((r.tbl, r.sub), []).append(r.id)
+    assert len(groups) == 18
+    root = brute.roots(range(600), [(g[0], x) for g in groups.values() for x in g])
+    assert set(root.values()) == {0}
+
+
+def test_large_groups_of_equal_and_almost_equal_vectors(spark):
+    """More of them than a bucket's group holds: still one component each."""
+    rng = np.random.default_rng(9)
+    same, near = rng.normal(size=16), rng.normal(size=16)
+    rows = [(i, [float(x) for x in same], 0) for i in range(1100)]
+    rows += [(1100 + i, [float(x) for x in near + rng.normal(size=16) * 1e-4], 0) for i in range(600)]
+    rows += [(1700 + i, [float(x) for x in rng.normal(size=16)], 0) for i in range(200)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_duplicates(table).collect()}
+    assert got == by_all_pairs(rows, 0.98)
+
+
 def test_no_vectors(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert embedding_dedup.near_duplicates(empty).count() == 0

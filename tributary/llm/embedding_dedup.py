@@ -10,7 +10,8 @@ An audit compares a bounded sample with all vectors; below the wanted recall
 the graph is built further from other buckets.
 
 Vectors are compared only within a label and of the same length, by cosine in
-double precision.
+double precision.  Identical vectors are one vector from the start, counted as
+often as it occurs.
 """
 
 from __future__ import annotations
@@ -51,6 +52,12 @@ def usable(rows: DataFrame) -> DataFrame:
                     "v.emb"))
 
 
+def _classes(vectors: DataFrame) -> DataFrame:
+    """(one, two, rep, copies): the classes of identical vectors by their two
+    hashes, with the smallest id of each."""
+    return vectors.groupBy("one", "two").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
+
+
 def _matrix(col) -> np.ndarray:
     """Unit vectors, in double precision, of a list column of equal lengths."""
     if isinstance(col, pa.ChunkedArray):
@@ -66,10 +73,12 @@ def _codes(emb: list, table: int, bits: int) -> np.ndarray:
     return ((x @ planes > 0) @ (1 << np.arange(bits, dtype=np.int64))).astype(np.int64)
 
 
-def _dealt(rows: DataFrame, key: list[str], size: int, member: str, name: str) -> DataFrame:
-    """``rows`` with ``sub``: groups of one key, split into about ``size`` rows."""
+def _dealt(rows: DataFrame, key: list[str], size: int, member: str, name: str, seed: int = 0) -> DataFrame:
+    """``rows`` with ``sub``: groups of one key, split into about ``size`` rows.
+    Each key, and each ``seed``, deals the same members differently."""
     parts = written(rows.groupBy(*key).agg(F.ceil(F.count("*") / size).alias("parts")), name)
-    return rows.join(parts, key).withColumn("sub", F.expr(f"pmod(xxhash64({member}, 11), parts)")).drop("parts")
+    deal = f"pmod(xxhash64({member}, {', '.join(key)}, {11 + seed}), parts)"
+    return rows.join(parts, key).withColumn("sub", F.expr(deal)).drop("parts")
 
 
 def _tasks(rows: DataFrame, key: list[str], n: int) -> DataFrame:
@@ -133,7 +142,7 @@ def _start(vectors: DataFrame, n: int, tables: range, k: int) -> DataFrame:
                     code[at] = _codes(np.asarray(emb.take(pa.array(at)).flatten()).reshape(len(at), d), t, bits)
                 yield pa.RecordBatch.from_arrays(
                     [*b.columns, pa.array(np.full(len(size), t, dtype=np.int64)), pa.array(code)],
-                    names=["id", "label", "emb", "tbl", "code"])
+                    names=[*b.schema.names, "tbl", "code"])
 
     schema = extended(vectors, tbl="long", code="long")
     key = ["tbl", "label", "code"]
@@ -142,11 +151,11 @@ def _start(vectors: DataFrame, n: int, tables: range, k: int) -> DataFrame:
     return _lists(grouped.applyInArrow(lambda t: _best(t, [*key, "sub"], k), _EDGE), k)
 
 
-def _refined(vectors: DataFrame, graph: DataFrame, n: int, k: int) -> DataFrame:
+def _refined(vectors: DataFrame, graph: DataFrame, n: int, k: int, seed: int) -> DataFrame:
     """One round: neighbours of neighbours, in both directions."""
     around = graph.select(F.col("id").alias("hub"), F.col("other").alias("id")).unionAll(
         graph.select(F.col("other").alias("hub"), "id")).distinct()
-    dealt = _dealt(written(around, "nn-around"), ["hub"], HUB, "id", "nn-hubs")
+    dealt = _dealt(written(around, "nn-around"), ["hub"], HUB, "id", "nn-hubs", seed)
     # the hub itself belongs to each part of its list
     own = dealt.select("hub", F.col("hub").alias("id"), "sub").distinct()
     members = dealt.select("hub", "id", "sub").unionAll(own).join(vectors.select("id", "emb"), "id")
@@ -157,7 +166,7 @@ def _refined(vectors: DataFrame, graph: DataFrame, n: int, k: int) -> DataFrame:
 
 def _count_links(vectors: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
     """(id, n_links): every member of a component against the whole component,
-    block by block."""
+    block by block; a linked vector counts as often as it has copies."""
     parts = written(roots.groupBy("root").agg(F.count("*").alias("size"), F.ceil(F.count("*") / BLOCK)
                     .cast("int").alias("parts")), "nn-parts")
     placed = written(roots.join(parts, "root").withColumn("block", F.expr("cast(pmod(xxhash64(node, 13), parts) as int)")),
@@ -170,7 +179,7 @@ def _count_links(vectors: DataFrame, roots: DataFrame, threshold: float) -> Data
 
     def run(table: pa.Table) -> pa.Table:
         ids, block = np.asarray(table["id"]), np.asarray(table["block"])
-        emb = table["emb"].combine_chunks()
+        emb, copies = table["emb"].combine_chunks(), np.asarray(table["copies"])
         who, many = [], []
         for rows in _groups(table, ["root", "b1", "b2"]):
             x, side = _matrix(emb.take(pa.array(rows))), block[rows]
@@ -181,14 +190,14 @@ def _count_links(vectors: DataFrame, roots: DataFrame, threshold: float) -> Data
                     continue    # the other block is empty
                 np.fill_diagonal(link, False)
                 who.append(ids[rows][one])
-                many.append(link.sum(axis=1))
+                many.append(link @ copies[rows][two])
             else:
                 who += [ids[rows][one], ids[rows][two]]
-                many += [link.sum(axis=1), link.sum(axis=0)]
+                many += [link @ copies[rows][two], copies[rows][one] @ link]
         cat = lambda a: np.concatenate(a).astype(np.int64) if a else np.empty(0, np.int64)
         return pa.table({"id": pa.array(cat(who)), "n": pa.array(cat(many))})
 
-    rows = _tasks(pairs.join(vectors.select("id", "emb"), "id"), ["root", "b1", "b2"], n)
+    rows = _tasks(pairs.join(vectors.select("id", "emb", "copies"), "id"), ["root", "b1", "b2"], n)
     counts = rows.groupBy("task").applyInArrow(run, "id long, n long")
     return counts.groupBy("id").agg(F.sum("n").alias("n_links"))
 
@@ -214,7 +223,7 @@ def audit(vectors: DataFrame, links: DataFrame, threshold: float, size: int = AU
                 if len(at):
                     link = x @ _matrix(b.column(2).take(pa.array(at))).T >= threshold
                     link &= ids[:, None] != np.asarray(b.column(0))[at][None, :]
-                    yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(link.sum(axis=1).astype(np.int64))],
+                    yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(link @ np.asarray(b.column(3))[at])],
                                                      names=["id", "n"])
 
     truth = vectors.mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
@@ -231,15 +240,19 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.98) -> DataFrame:
     components have no link and are their own component.  Repeated rows of one
     vec_id are one vector.  A null vec_id has no link and a null component.
     """
-    vectors = written(usable(rows), "nn-vectors")
+    every = written(usable(rows).withColumns({
+        "one": F.xxhash64("label", "emb"), "two": F.xxhash64(F.lit(1), "label", "emb")}), "nn-every")
+    classes = written(_classes(every), "nn-classes")
+    vectors = written(every.join(classes.select(F.col("rep").alias("id"), "copies"), "id")
+                      .select("id", "label", "emb", "copies"), "nn-vectors")
     n = vectors.count()
     k, graph, recall = NEIGHBOURS, None, 0.0
     for turn in range(3):
         fresh = _start(vectors, n, range(turn * TABLES, (turn + 1) * TABLES), k)
         graph = written(fresh if graph is None else _lists(fresh.unionAll(graph), k), "nn-graph")
         before = -1.0
-        for _ in range(ROUNDS):
-            graph = written(_refined(vectors, graph, n, k), "nn-graph")
+        for step in range(ROUNDS):
+            graph = written(_refined(vectors, graph, n, k, 1 + turn * ROUNDS + step), "nn-graph")
             now = graph.agg(F.coalesce(F.sum("cos"), F.lit(0.0))).first()[0]
             if now - before <= 0.001 * max(1, n):
                 break
@@ -250,7 +263,11 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.98) -> DataFrame:
         if recall >= RECALL:
             break
         k *= 2
-    found = written(roots.withColumnRenamed("node", "id").join(links, "id"), "nn-found")
+    named = roots.withColumnRenamed("node", "rep").join(links.withColumnRenamed("id", "rep"), "rep", "left")
+    named = written(classes.join(named, "rep", "left").select(
+        "one", "two", (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        F.coalesce("root", "rep").alias("root")), "nn-named")
+    found = written(every.select("id", "one", "two").join(named, ["one", "two"]).drop("one", "two"), "nn-found")
     return (rows.select("vec_id").join(found, F.col("vec_id") == F.col("id"), "left")
             .select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                     F.coalesce("root", "vec_id").alias("component_id"))
