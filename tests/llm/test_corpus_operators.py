@@ -168,6 +168,31 @@ def test_large_groups_of_equal_and_almost_equal_vectors(spark):
     assert got == by_all_pairs(rows, 0.98)
 
 
+def tight_clusters(rng, dim=16):
+    """Two clusters whose members are nearest to their own, at 0.985 to the other."""
+    one, two = np.linalg.qr(rng.normal(size=(dim, 2)))[0].T
+    two = 0.985 * one + np.sqrt(1 - 0.985 ** 2) * two
+    return [(i, [float(x) for x in (one if i < 60 else two) + rng.normal(size=dim) * 1e-4], 0) for i in range(120)]
+
+
+def test_full_lists_are_merged_across(spark):
+    rows = tight_clusters(np.random.default_rng(3))
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_duplicates(table).collect()}
+    assert got == by_all_pairs(rows, 0.98) and {c for _, c in got.values()} == {0}
+
+
+def test_exact_comparison_when_recall_stays_short(spark, monkeypatch):
+    """With nothing found by the graph, the audit sends the label to the blocks."""
+    monkeypatch.setattr(embedding_dedup, "TURNS", 1)
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 32)
+    monkeypatch.setattr(embedding_dedup, "_merged", lambda vectors, links, *_: links.limit(0))
+    rows = tight_clusters(np.random.default_rng(4))
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_duplicates(table).collect()}
+    assert got == by_all_pairs(rows, 0.98)
+
+
 def test_no_vectors(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert embedding_dedup.near_duplicates(empty).count() == 0

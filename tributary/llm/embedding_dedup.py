@@ -4,10 +4,13 @@ A neighbour graph is started from random-hyperplane buckets and refined by
 comparing neighbours of neighbours: every vector's list, together with the
 vectors that list it, is a small group whose members are compared with each
 other, and each keeps its best.  Edges at or over the threshold make
-components.  Lists that are full of such edges are too short; so the members of
-a component get the whole component as their list, compared exactly in blocks.
-An audit compares a bounded sample with all vectors; below the wanted recall
-the graph is built further from other buckets.
+components.  Lists that are full of such edges are too short: links that they
+had no room for are looked for in other buckets, between components only, until
+none is found; and the members of a component get the whole component as their
+list, compared exactly in blocks.  An audit compares bounded samples (of all
+vectors, of those in large buckets, and one of each of the largest components)
+with all vectors; below the wanted recall the graph is built further from other
+buckets, and at last the labels concerned are compared block by block, exactly.
 
 Vectors are compared only within a label and of the same length, by cosine in
 double precision.  Identical vectors are one vector from the start, counted as
@@ -16,6 +19,7 @@ often as it occurs.
 
 from __future__ import annotations
 
+import logging
 import math
 from collections.abc import Iterator
 
@@ -35,9 +39,13 @@ HUB = 64                # a larger list of neighbours too
 BLOCK = 512             # vectors of a block of a component
 TASK_ROWS = 2000
 ROUNDS = 3              # refinements at most
-AUDIT = 200             # vectors compared with all others by the audit
+MERGES = 4              # searches between components at most
+TURNS = 3
+AUDIT = 200             # vectors of each sample compared with all others by the audit
 RECALL = 0.995
 
+_log = logging.getLogger(__name__)
+
 
 def usable(rows: DataFrame) -> DataFrame:
     """(id, label, emb) of the vectors that can have links, one row per id."""
@@ -117,7 +125,36 @@ def _best(table: pa.Table, key: list[str], k: int) -> pa.Table:
                      "cos": pa.array(cat(near, np.float64))})
 
 
+def _across(table: pa.Table, key: list[str], threshold: float) -> pa.Table:
+    """Of every group, links between different components (column ``root``): as
+    many as join what is linked, not all pairs."""
+    ids, root = np.asarray(table["id"]), np.asarray(table["root"])
+    emb = table["emb"].combine_chunks()
+    left, right = [], []
+    for rows in _groups(table, key):
+        x, of = _matrix(emb.take(pa.array(rows))), root[rows]
+        link, own = x @ x.T >= threshold, of[:, None] == of[None, :]
+        if not (link & ~own).any():
+            continue
+        link |= own
+        new = np.ones(len(rows), dtype=bool)
+        for first in range(len(rows)):
+            open_ = [first] if new[first] else []
+            new[first] = False
+            while open_:
+                a = open_.pop()
+                found = np.flatnonzero(link[a] & new)
+                new[found] = False
+                open_ += found.tolist()
+                found = found[of[found] != of[a]]
+                left.append(np.repeat(ids[rows[a]], len(found)))
+                right.append(ids[rows[found]])
+    cat = lambda a: np.concatenate(a).astype(np.int64) if a else np.empty(0, np.int64)
+    return pa.table({"id": pa.array(cat(left)), "other": pa.array(cat(right))})
+
+
 _EDGE = "id long, other long, cos double"
+_LINK = "id long, other long"
 
 
 def _lists(edges: DataFrame, k: int) -> DataFrame:
@@ -127,13 +164,14 @@ def _lists(edges: DataFrame, k: int) -> DataFrame:
     return best.select("id", F.inline(F.slice("l", 1, k))).select("id", "other", "cos")
 
 
-def _start(vectors: DataFrame, n: int, tables: range, k: int) -> DataFrame:
+def _coded(vectors: DataFrame, n: int, tables: range) -> DataFrame:
+    """``vectors`` with their bucket (``code``) in each of ``tables``."""
     labels = vectors.agg(F.count_distinct("label")).first()[0] or 1
     bits = max(0, math.ceil(math.log2(max(1.0, n / (labels * BUCKET)))))
 
     def run(batches):
         for b in batches:
-            emb = b.column(2)
+            emb = b.column("emb")
             size = np.asarray(emb.value_lengths())
             for t in tables:
                 code = np.zeros(len(size), dtype=np.int64)
@@ -144,11 +182,60 @@ def _start(vectors: DataFrame, n: int, tables: range, k: int) -> DataFrame:
                     [*b.columns, pa.array(np.full(len(size), t, dtype=np.int64)), pa.array(code)],
                     names=[*b.schema.names, "tbl", "code"])
 
-    schema = extended(vectors, tbl="long", code="long")
-    key = ["tbl", "label", "code"]
-    coded = _dealt(vectors.mapInArrow(run, schema), key, GROUP, "id", "nn-buckets")
-    grouped = _tasks(coded, [*key, "sub"], n * len(tables)).groupBy("task")
-    return _lists(grouped.applyInArrow(lambda t: _best(t, [*key, "sub"], k), _EDGE), k)
+    return vectors.mapInArrow(run, extended(vectors, tbl="long", code="long"))
+
+
+_BUCKET = ["tbl", "label", "code"]
+
+
+def _buckets(vectors: DataFrame, n: int, tables: range):
+    """The vectors by task; ``sub`` and _BUCKET tell the groups apart."""
+    coded = _dealt(_coded(vectors, n, tables), _BUCKET, GROUP, "id", "nn-buckets")
+    return _tasks(coded, [*_BUCKET, "sub"], n * len(tables)).groupBy("task")
+
+
+def _start(vectors: DataFrame, n: int, tables: range, k: int) -> DataFrame:
+    grouped = _buckets(vectors, n, tables)
+    return _lists(grouped.applyInArrow(lambda t: _best(t, [*_BUCKET, "sub"], k), _EDGE), k)
+
+
+def _rooted(vectors: DataFrame, roots: DataFrame) -> DataFrame:
+    """``vectors`` with the ``root`` of their component, if only themselves."""
+    return vectors.join(roots.withColumnRenamed("node", "id"), "id", "left").select(
+        "id", "label", "emb", F.coalesce("root", "id").alias("root"))
+
+
+def _merged(vectors: DataFrame, links: DataFrame, n: int, threshold: float, seed: int) -> DataFrame:
+    """``links`` and those between their components that are found in other
+    buckets; every search takes new ones, until one finds nothing."""
+    for step in range(MERGES):
+        roots = written(components(links, "id", "other"), "nn-roots")
+        first = (seed + step) * TABLES
+        grouped = _buckets(_rooted(vectors, roots), n, range(first, first + TABLES))
+        more = written(grouped.applyInArrow(
+            lambda t: _across(t, [*_BUCKET, "sub"], threshold), _LINK).distinct(), "nn-across")
+        if more.isEmpty():
+            break
+        links = links.unionAll(more)
+    return links
+
+
+def _exact(vectors: DataFrame, links: DataFrame, labels: list[str], threshold: float) -> DataFrame:
+    """``links`` and all that is missing between their components in ``labels``:
+    every block of a label meets every other."""
+    roots = written(components(links, "id", "other"), "nn-roots")
+    some = written(_rooted(vectors, roots).where(F.col("label").isin(labels)), "nn-exact")
+    parts = some.groupBy("label").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    placed = some.join(F.broadcast(parts), "label").withColumn(
+        "block", F.expr("cast(pmod(xxhash64(id, 17), parts) as int)"))
+    pairs = placed.select("id", "label", "emb", "root", "block",
+                          F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("with"))
+    pairs = pairs.select("id", "label", "emb", "root", F.least("block", "with").alias("b1"),
+                         F.greatest("block", "with").alias("b2"))
+    key = ["label", "b1", "b2"]
+    n = pairs.select("id").count()
+    found = _tasks(pairs, key, n).groupBy("task").applyInArrow(lambda t: _across(t, key, threshold), _LINK)
+    return links.unionAll(written(found.distinct(), "nn-across"))
 
 
 def _refined(vectors: DataFrame, graph: DataFrame, n: int, k: int, seed: int) -> DataFrame:
@@ -202,12 +289,28 @@ def _count_links(vectors: DataFrame, roots: DataFrame, threshold: float) -> Data
     return counts.groupBy("id").agg(F.sum("n").alias("n_links"))
 
 
-def audit(vectors: DataFrame, links: DataFrame, threshold: float, size: int = AUDIT) -> float:
-    """Recall of ``links`` (id, n_links) on at most ``size`` vectors, each
-    compared with all of its label; 1.0 if they have no link at all."""
-    sample = vectors.orderBy(F.xxhash64("id"), "id").limit(size).toArrow()
+def _samples(vectors: DataFrame, links: DataFrame, roots: DataFrame, n: int, size: int) -> DataFrame:
+    """(id, stratum): ``size`` vectors at most of all, of those in buckets over
+    GROUP, and of components, the largest first."""
+    coded = _coded(vectors.select("id", "label", "emb"), n, range(1)).select("id", "label", "code")
+    large = coded.groupBy("label", "code").count().where(F.col("count") > GROUP).drop("count")
+    crowded = coded.join(large, ["label", "code"]).select("id")
+    drawn = [(name, rows.orderBy(F.xxhash64("id"), "id").limit(size))
+             for name, rows in [("all", vectors.select("id")), ("crowded", crowded)]]
+    groups = roots.groupBy("root").agg(F.count("*").alias("members"), F.min(F.struct(F.xxhash64("node"), "node"))["node"].alias("id"))
+    drawn.append(("component", groups.orderBy(F.desc("members"), "root").limit(size).select("id")))
+    tables = [rows.select("id", F.lit(name).alias("stratum")) for name, rows in drawn]
+    return written(tables[0].unionAll(tables[1]).unionAll(tables[2]), "nn-sample")
+
+
+def audit(vectors: DataFrame, links: DataFrame, roots: DataFrame, n: int, threshold: float,
+          size: int = AUDIT) -> dict[tuple[str, str], float]:
+    """Recall of ``links`` (id, n_links) by label and sample, each vector of a
+    sample compared with all of its label; samples without a link have none."""
+    drawn = _samples(vectors, links, roots, n, size)
+    sample = vectors.join(F.broadcast(drawn.select("id").distinct()), "id").select("id", "label", "emb").toArrow()
     if sample.num_rows == 0:
-        return 1.0
+        return {}
     by_label = {}
     names = np.asarray(sample["label"].to_pylist())
     emb = sample["emb"].combine_chunks()
@@ -227,9 +330,11 @@ def audit(vectors: DataFrame, links: DataFrame, threshold: float, size: int = AU
                                                      names=["id", "n"])
 
     truth = vectors.mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
-    r = truth.join(links, "id", "left").agg(
-        F.sum("n"), F.sum(F.least("n", F.coalesce("n_links", F.lit(0))))).first()
-    return 1.0 if not r[0] else (r[1] or 0) / r[0]
+    rows = (truth.join(links, "id", "left").join(drawn, "id").join(vectors.select("id", "label"), "id")
+            .groupBy("label", "stratum")
+            .agg(F.sum("n").alias("n"), F.sum(F.least("n", F.coalesce("n_links", F.lit(0)))).alias("found"))
+            .where("n > 0").collect())
+    return {(r["label"], r["stratum"]): r["found"] / r["n"] for r in rows}
 
 
 def near_duplicates(rows: DataFrame, threshold: float = 0.98) -> DataFrame:
@@ -246,9 +351,15 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.98) -> DataFrame:
     vectors = written(every.join(classes.select(F.col("rep").alias("id"), "copies"), "id")
                       .select("id", "label", "emb", "copies"), "nn-vectors")
     n = vectors.count()
-    k, graph, recall = NEIGHBOURS, None, 0.0
-    for turn in range(3):
-        fresh = _start(vectors, n, range(turn * TABLES, (turn + 1) * TABLES), k)
+    k, graph, more = NEIGHBOURS, None, None
+
+    def counted(links):
+        roots = written(components(links, "id", "other"), "nn-roots")
+        return roots, written(_count_links(vectors, roots, threshold), "nn-links")
+
+    for turn in range(TURNS):
+        tables = turn * (1 + MERGES)
+        fresh = _start(vectors, n, range(tables * TABLES, (tables + 1) * TABLES), k)
         graph = written(fresh if graph is None else _lists(fresh.unionAll(graph), k), "nn-graph")
         before = -1.0
         for step in range(ROUNDS):
@@ -257,12 +368,18 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.98) -> DataFrame:
             if now - before <= 0.001 * max(1, n):
                 break
             before = now
-        roots = written(components(graph.where(F.col("cos") >= threshold), "id", "other"), "nn-roots")
-        links = written(_count_links(vectors, roots, threshold), "nn-links")
-        recall = audit(vectors, links, threshold)
-        if recall >= RECALL:
+        near = graph.where(F.col("cos") >= threshold).select("id", "other")
+        more = _merged(vectors, near if more is None else near.unionAll(more), n, threshold, tables + 1)
+        roots, links = counted(more)
+        recall = audit(vectors, links, roots, n, threshold)
+        _log.info("recall by label and sample after turn %d: %s", turn + 1, recall)
+        short = sorted({label for (label, _), r in recall.items() if r < RECALL})
+        if not short:
             break
         k *= 2
+    else:
+        _log.warning("recall under %s after %d turns: labels %s are compared exactly", RECALL, TURNS, short)
+        roots, links = counted(_exact(vectors, more, short, threshold))
     named = roots.withColumnRenamed("node", "rep").join(links.withColumnRenamed("id", "rep"), "rep", "left")
     named = written(classes.join(named, "rep", "left").select(
         "one", "two", (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
