@@ -7,7 +7,9 @@ fused; paths over a threshold are content.  The smallest article-like element
 that holds content is the article, and the short blocks between (headings,
 one-word paragraphs) stay with it.  Elements whose tag, role or name says that
 they are something else (menus, footers, adverts, forms, comments, ...) never
-take part.
+take part.  Where a page marks its article (``article``, ``main``, ...), all
+other blocks inside it are the text: the paths there only weigh one marked
+element against another, as the threshold would drop headings.
 """
 
 from __future__ import annotations
