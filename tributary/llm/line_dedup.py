@@ -5,6 +5,8 @@ window seen before - earlier in the same document, or in a document with a
 smaller id - is a later occurrence, and the lines that later occurrences cover
 are removed.  Overlapping windows merge by position, so a repeated passage of
 any length from three lines goes whole, and its first occurrence stays.
+Repeated passages that lie in fewer than three whole lines, or begin and end
+inside lines, are not found.
 """
 
 from __future__ import annotations
