@@ -16,32 +16,39 @@ import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from struct import pack
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.shared import small_batches
+from tributary.llm.shared import Words, small_batches, text_buffer
 from tributary.session import scratch_path
 
 END_ID = 1
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 64 << 10
 PAGE_ROWS = 1000
-# runs of letters between white space that a Python worker remembers
-MEMO_RUNS = 200_000
-# what split() takes for white space and the tokenizer does not, and the start
-# of a special token's text: such texts go to the tokenizer whole
-_WHOLE = regex.compile("[\x1c-\x1f<]")
+# what a Python worker remembers: runs between white space (about 40 bytes each),
+# and their parts (about 200 bytes each)
+MEMO_RUNS = 1_000_000
+MEMO_PARTS = 300_000
+_MARKS = ".,;:!?"
+# byte-level models see a character for each byte: printable ones as they are,
+# the others from 256 on
+_UNITS = dict(zip([b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)],
+                  range(256, 512), strict=False))
 _TOKENS = "part int, doc_id long, before long, after long, n_tokens long, ids array<int>"
 
 
 class _Ids:
-    """Texts to ids by the tokenizers library.  ``by_runs``: the tokenizer
-    drops white space and joins nothing across it, so that runs between white
-    space are encoded once and remembered."""
+    """Texts to ids by the tokenizers library.  If the tokenizer drops white
+    space and joins nothing across it, runs of other characters are encoded
+    once and remembered by a 64-bit hash: ids of all runs lie in one array.  Of
+    a new run, the letters go without regard to case and the marks at its end
+    apart, if the tokenizer does the same."""
 
     def __init__(self, path: str):
         # one Python worker per core already
@@ -51,31 +58,105 @@ class _Ids:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        trial = "Ab ab  1ab é\n."
-        self.by_runs = self._encode([trial])[0] == b"".join(self._encode(trial.split()))
-        self.memo: dict[str, bytes] = {}
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.by_runs = self._alike("Ab ab  1ab \u00e9.\n\tx", "Ab ab 1ab \u00e9. x".split()) and not any(
+            len(t.split()) != 1 for t in added)
+        self.by_letters = self._alike("Abc,.", ["abc", ",."]) and self._alike("\u00c9t\u00e9!?", ["\u00e9t\u00e9", "!?"]) \
+            and not any(set(t) & set(_MARKS) for t in added)
+        # a lower-case word of letters is what the model gets to see of it
+        self.model = self.tokenizer.model
+        self.by_letters = self.by_letters and all(
+            self._word(x) == self._encode([x])[0] for x in ("abc", "the", "\u00e9t\u00e9", "xqzjvk"))
+        self._forget()
+
+    def _word(self, word: str) -> bytes:
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(_UNITS)
+        ids = [t.id for t in self.model.tokenize(word)]
+        return pack(f"<{len(ids)}i", *ids)
+
+    def _alike(self, whole: str, parts: list[str]) -> bool:
+        return self._encode([whole])[0] == b"".join(self._encode(parts))
+
+    def _forget(self) -> None:
+        self.keys = np.empty(0, np.uint64)
+        self.at, self.size = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.flat, self.used = np.empty(1 << 16, "<i4"), 0
+        self.letters: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<i4").tobytes() for e in found]
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        if not self.by_runs:
-            return self._encode(texts)
-        out: list[bytes] = [b""] * len(texts)
-        whole = [i for i, t in enumerate(texts) if _WHOLE.search(t)]
-        for i, ids in zip(whole, self._encode([texts[i] for i in whole]), strict=True):
+    def _of_runs(self, runs: list[str]) -> list[bytes]:
+        if not self.by_letters:
+            return self._encode(runs)
+        if len(self.letters) > MEMO_PARTS:
+            self.letters.clear()
+        letters = self.letters
+        out, whole = [], []
+        for run in runs:
+            core = run.rstrip(_MARKS)
+            word = core.lower()
+            # lower() knows a final sigma, the tokenizer does not
+            if word.isalpha() and core.isalpha() and is_normalized("NFC", word) and "\u03a3" not in core:
+                ids = letters.get(word)
+                if ids is None:
+                    ids = letters[word] = self._word(word)
+                if len(core) < len(run):
+                    marks = run[len(core):]
+                    if marks not in letters:
+                        letters[marks] = self._encode([marks])[0]
+                    ids += letters[marks]
+                out.append(ids)
+            else:
+                whole.append(len(out))
+                out.append(run)
+        for i, ids in zip(whole, self._encode([out[i] for i in whole]), strict=True):
             out[i] = ids
-        odd = set(whole)
-        runs = {i: t.split() for i, t in enumerate(texts) if i not in odd}
-        if len(self.memo) > MEMO_RUNS:
-            self.memo.clear()
-        new = list({r for part in runs.values() for r in part}.difference(self.memo))
-        self.memo.update(zip(new, self._encode(new), strict=True))
-        for i, part in runs.items():
-            out[i] = b"".join(map(self.memo.__getitem__, part))
         return out
 
+    def _remember(self, keys: np.ndarray, ids: list[bytes]) -> None:
+        size = np.array([len(x) // 4 for x in ids], np.int64)
+        more = np.frombuffer(b"".join(ids), "<i4")
+        need = self.used + len(more)
+        if need > len(self.flat):
+            self.flat = np.concatenate([self.flat[:self.used], np.empty(max(need, len(self.flat)), "<i4")])
+        self.flat[self.used:need] = more
+        where = np.searchsorted(self.keys, keys)
+        self.keys = np.insert(self.keys, where, keys)
+        self.at = np.insert(self.at, where, self.used + np.cumsum(size) - size)
+        self.size = np.insert(self.size, where, size)
+        self.used = need
+
+    def column(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts of a column and how many each has."""
+        if not self.by_runs:
+            ids = self._encode([t or "" for t in col.to_pylist()])
+            return np.frombuffer(b"".join(ids), "<i4"), np.array([len(x) // 4 for x in ids], np.int64)
+        data, offsets = text_buffer(col)
+        runs = Words(data, offsets)
+        keys, first, which = np.unique(runs.hashes() + (runs.end - runs.start).astype(np.uint64),
+                                       return_index=True, return_inverse=True)
+        if len(self.keys) + len(keys) > MEMO_RUNS:
+            self._forget()
+        place = np.searchsorted(self.keys, keys)
+        known = np.zeros(len(keys), dtype=bool)
+        if len(self.keys):
+            known = self.keys[np.minimum(place, len(self.keys) - 1)] == keys
+        if not known.all():
+            new = first[~known]
+            raw = data.tobytes()
+            texts = [raw[a:b].decode() for a, b in zip(runs.start[new].tolist(), runs.end[new].tolist(), strict=True)]
+            self._remember(keys[~known], self._of_runs(texts))
+            place = np.searchsorted(self.keys, keys)
+        at, size = self.at[place][which], self.size[place][which]
+        ends = np.cumsum(size)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = self.flat[np.repeat(at - (ends - size), size) + np.arange(total)]
+        upto = np.concatenate([[0], ends])[runs.range]
+        return ids, np.diff(upto)
+
 
 @lru_cache(maxsize=2)
 def _ids(path: str) -> _Ids:
@@ -83,19 +164,18 @@ def _ids(path: str) -> _Ids:
 
 
 def _encoded(path: str, end_id: int | None):
-    end = b"" if end_id is None else np.array([end_id], "<i4").tobytes()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, before = _ids(path), 0
         for b in small_batches(batches, 2):
-            raw = [ids + end for ids in encode([t or "" for t in b.column(2).to_pylist()])]
-            size = np.array([len(r) // 4 for r in raw], dtype=np.int64)
+            ids, size = encode.column(b.column(2))
+            if end_id is not None:
+                ids = np.insert(ids, np.cumsum(size), np.int32(end_id))
+                size = size + 1
             ends = np.concatenate([[0], np.cumsum(size)])
-            ids = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)),
-                                           pa.array(np.frombuffer(b"".join(raw), "<i4")))
+            lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(before + ends[:-1]), pa.array(before + ends[1:]),
-                 pa.array(size), ids],
+                 pa.array(size), lists],
                 names=["part", "doc_id", "before", "after", "n_tokens", "ids"])
             before += int(ends[-1])
 
