@@ -33,8 +33,8 @@ PAGE_BYTES = 64 << 10
 PAGE_ROWS = 1000
 # what a Python worker remembers: runs between white space (about 40 bytes each),
 # and their parts (about 200 bytes each)
-MEMO_RUNS = 1_000_000
-MEMO_PARTS = 300_000
+MEMO_RUNS = 600_000
+MEMO_PARTS = 150_000
 _MARKS = ".,;:!?"
 # byte-level models see a character for each byte: printable ones as they are,
 # the others from 256 on
