@@ -47,14 +47,16 @@ def _hadoop(spark: SparkSession, path: str):
 
 
 def publish(df: DataFrame, root: str, name: str, fmt: str = "parquet",
-            notes: dict[str, str] | None = None) -> bool:
+            notes: dict[str, str] | None = None, options: dict[str, str] | None = None,
+            partition_by: list[str] | None = None) -> bool:
     """Write ``df`` as the folder ``root/name`` in one step, once.
 
     The files are written beside it (a folder that readers ignore) and renamed
     into place when complete; if ``root/name`` is there already, nothing is
     written and False is returned.  So a repeated micro-batch changes nothing,
     and readers never see part of a batch.  ``notes``: small text files
-    (``_<key>``) that go with it.  The rename must be atomic in the file
+    (``_<key>``) that go with it; ``options`` and ``partition_by`` are the
+    writer's.  The rename must be atomic in the file
     system; object stores need a table format with a commit log instead.
     """
     spark = df.sparkSession
@@ -62,7 +64,8 @@ def publish(df: DataFrame, root: str, name: str, fmt: str = "parquet",
     if fs.exists(target):
         return False
     staged, _ = _hadoop(spark, f"{root}/_staging/{uuid.uuid4().hex}")
-    df.write.format(fmt).save(staged.toString())
+    w = df.write.format(fmt).options(**(options or {}))
+    (w.partitionBy(*partition_by) if partition_by else w).save(staged.toString())
     for key, text in (notes or {}).items():
         put_note(spark, staged.toString(), key, text)
     if not fs.rename(staged, target):
@@ -70,6 +73,31 @@ def publish(df: DataFrame, root: str, name: str, fmt: str = "parquet",
     return True
 
 
+def publish_notes(spark: SparkSession, root: str, name: str, notes: dict[str, str]) -> bool:
+    """A folder ``root/name`` of notes only, in one step, once (see ``publish``)."""
+    target, fs = _hadoop(spark, f"{root}/{name}")
+    if fs.exists(target):
+        return False
+    staged, _ = _hadoop(spark, f"{root}/_staging/{uuid.uuid4().hex}")
+    for key, text in notes.items():
+        put_note(spark, staged.toString(), key, text)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(staged, target):
+        raise OSError(f"could not publish {target.toString()}")
+    return True
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in the folder ``path`` (none when it is missing)."""
+    hpath, fs = _hadoop(spark, path)
+    return [st.getPath().getName() for st in fs.listStatus(hpath)] if fs.exists(hpath) else []
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    hpath, fs = _hadoop(spark, path)
+    fs.delete(hpath, True)
+
+
 def put_note(spark: SparkSession, path: str, key: str, text: str) -> None:
     hpath, fs = _hadoop(spark, f"{path}/_{key}")
     out = fs.create(hpath)

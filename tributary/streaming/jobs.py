@@ -28,7 +28,8 @@ from tributary.operators import scd2 as C
 from tributary.operators import silver as S
 from tributary.operators.bronze import process_bronze
 from tributary.sources.kafka import KAFKA_SCHEMA, read_kafka_stream
-from tributary.sources.tables import note, publish, put_note, table_exists
+from tributary.sources.tables import note, publish, put_note
+from tributary.streaming import idtable as I
 
 BATCH_COL = "batch_id"
 
@@ -223,25 +224,24 @@ def ids_path(silver_path: str) -> str:
     return silver_path.rstrip("/") + "_ids"
 
 
-def silver_batch_writer(spark: SparkSession, silver_path: str,
-                        fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
+def silver_batch_writer(spark: SparkSession, silver_path: str, fmt: str = "parquet",
+                        buckets: int = I.ID_BUCKETS) -> Callable[[DataFrame, int], None]:
     """foreachBatch body: earliest copy within the batch, minus event_ids that
     *any* earlier batch stored, cleaned, published as one batch folder.
 
     A copy may arrive any time later, so every stored id counts.  Ids are kept
-    in a table of one column; it is first reduced to the ids of this batch (a
-    semi-join that streams over the stored ids when the batch is small), so
-    the history is neither shuffled nor read in full width.
+    in a table of their own (``streaming.idtable``; ``buckets`` counts when it
+    begins), of which a batch reads the buckets that its ids fall into.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         name, ids = f"{BATCH_COL}={batch_id}", ids_path(silver_path)
         fresh = S.deduplicate_events(S.validate_required_fields(batch))
-        if table_exists(spark, ids):
-            stored = spark.read.parquet(ids).filter(F.col(BATCH_COL) < batch_id).select("event_id")
-            again = stored.join(batch.select("event_id").distinct(), "event_id", "left_semi")
+        again = I.known_ids(spark, ids, batch.select("event_id"), batch_id)
+        if again is not None:
             fresh = fresh.join(again, "event_id", "left_anti")
         publish(S.process_silver(fresh, dedup=False), silver_path, name, fmt)
-        publish(spark.read.format(fmt).load(f"{silver_path}/{name}").select("event_id"), ids, name)
+        I.publish_ids(spark.read.format(fmt).load(f"{silver_path}/{name}").select("event_id"), ids, name,
+                      I.buckets_of(spark, ids, buckets))
     return write
 
 
@@ -257,8 +257,10 @@ def compact_ids(spark: SparkSession, silver_path: str, upto: int) -> int:
     names = [st.getPath().getName() for st in fs.listStatus(root)]
     merged = [n for n in names if n.startswith(f"{BATCH_COL}=") and int(n.split("=")[1]) <= upto]
     target = f"{BATCH_COL}={-(upto + 1)}"       # a number before every batch
-    rows = spark.read.parquet(ids).filter(F.col(BATCH_COL) <= upto).select("event_id")
-    if len(merged) < 2 or not publish(rows, ids, target):
+    if len(merged) < 2:
+        return 0
+    rows = I.stored_ids(spark, ids, upto + 1).select("event_id")
+    if not I.publish_ids(rows, ids, target, I.buckets_of(spark, ids)):
         return 0
     for n in merged:
         fs.delete(jvm.org.apache.hadoop.fs.Path(f"{ids}/{n}"), True)
@@ -266,8 +268,8 @@ def compact_ids(spark: SparkSession, silver_path: str, upto: int) -> int:
 
 
 def start_silver(bronze: DataFrame, silver_path: str, checkpoint: str, fmt: str = "parquet",
-                 trigger: dict | None = None) -> StreamingQuery:
-    writer = silver_batch_writer(bronze.sparkSession, silver_path, fmt)
+                 trigger: dict | None = None, buckets: int = I.ID_BUCKETS) -> StreamingQuery:
+    writer = silver_batch_writer(bronze.sparkSession, silver_path, fmt, buckets)
     w = bronze.writeStream.foreachBatch(writer).option("checkpointLocation", checkpoint)
     return _start(w, trigger)
 
