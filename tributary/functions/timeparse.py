@@ -18,3 +18,12 @@ def parse_event_time(text: Column, strict: bool = False) -> Column:
     if strict:
         return F.try_to_timestamp(text, F.lit(STRICT_TIMESTAMP_FORMAT))
     return F.try_to_timestamp(text)
+
+
+_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+
+
+def micros_of(interval: str) -> int:
+    """Microseconds of an interval such as ``5 minutes``."""
+    number, unit = interval.split()
+    return int(number) * _SECONDS[unit.rstrip("s")] * 1_000_000

@@ -54,3 +54,147 @@ def q_scd2_bucketed(spark, sf_dir):
             part = part.where((t < F.lit(hi)) | t.isNull() if lo is None else t < F.lit(hi))
         D.apply_batch(spark, root, part, "feed", n)
     return comparable(D.read_dimension(spark, root).select(*C.DIM_COLUMNS))
+
+
+# ---------------------------------------------------------------------------
+# late rows (T5), refreshed gold (B3), rolled-up distinct counts (A1, A2, A4)
+# ---------------------------------------------------------------------------
+
+from tributary.operators import rollups as RU  # noqa: E402
+from tributary.operators.gold import active_users_hourly  # noqa: E402
+from tributary.plans import refresh as RF  # noqa: E402
+from tributary.plans.catalog import (  # noqa: E402
+    AUH_SQL,
+    EPM_SQL,
+    LANDED_CUT,
+    POP_SQL,
+    silver,
+)
+from tributary.streaming import late as L  # noqa: E402
+
+
+def _silver_in_parts(spark, sf_dir):
+    """Silver in four parts in order of Kafka time."""
+    rows, t = silver(spark, sf_dir), F.col("kafka_timestamp")
+    for lo, hi in zip([None, *BATCH_CUTS], [*BATCH_CUTS, None], strict=True):
+        part = rows if lo is None else rows.where(t >= F.lit(lo).cast("timestamp"))
+        yield part if hi is None else part.where(t < F.lit(hi).cast("timestamp"))
+
+
+def _late_run(spark, sf_dir, table: str) -> str:
+    root = scratch_path(spark, "late")
+    for part in _silver_in_parts(spark, sf_dir):
+        part.write.mode("append").parquet(f"{root}/silver")
+        like = spark.read.parquet(f"{root}/silver")
+        L.start_late_split(J.table_stream(spark, f"{root}/silver", like), table, f"{root}/ontime", f"{root}/late",
+                           f"{root}/_chk/split", trigger=AVAILABLE_NOW).awaitTermination()
+        J.start_gold(J.table_stream(spark, f"{root}/ontime", like), table, f"{root}/gold", f"{root}/_chk/gold",
+                     trigger=AVAILABLE_NOW).awaitTermination()
+    return root
+
+
+_NTH = "CASE " + " ".join(f"WHEN kafka_timestamp < TIMESTAMP '{cut}' THEN {n}"
+                          for n, cut in enumerate(BATCH_CUTS)) + f" ELSE {len(BATCH_CUTS)} END"
+LATE_SQL = O.SILVER + f""",
+parts AS (SELECT *, {_NTH} AS part FROM silver),
+marks AS (SELECT a.part, max(b.event_timestamp) - INTERVAL '2 minutes' AS watermark
+          FROM (SELECT DISTINCT part FROM parts) a LEFT JOIN parts b ON b.part < a.part GROUP BY a.part),
+divided AS (
+  SELECT parts.*, watermark,
+         CASE WHEN event_timestamp IS NULL THEN '{L.UNTIMED}'
+              WHEN time_bucket(INTERVAL '1 minute', event_timestamp) + INTERVAL '1 minute' <= watermark
+              THEN '{L.LATE}' END AS reason
+  FROM parts JOIN marks USING (part))"""
+
+
+@register("stream_late_rows", O.with_(LATE_SQL, """
+SELECT event_id, event_timestamp, event_type, watermark, reason FROM divided WHERE reason IS NOT NULL"""))
+def q_stream_late_rows(spark, sf_dir):
+    root = _late_run(spark, sf_dir, "events_per_minute")
+    return comparable(spark.read.parquet(f"{root}/late").select(
+        "event_id", "event_timestamp", "event_type", "watermark", "reason"))
+
+
+# Gold from the rows in time: nothing of them is dropped, so every window that
+# its watermark has passed is whole.
+@register("stream_gold_ontime", O.with_(LATE_SQL, """
+SELECT window_start, window_start + INTERVAL '1 minute' AS window_end, event_type, count(*) AS event_count
+FROM (SELECT *, time_bucket(INTERVAL '1 minute', event_timestamp) AS window_start FROM divided WHERE reason IS NULL)
+WHERE window_start + INTERVAL '1 minute' <= (
+  SELECT max(event_timestamp) - INTERVAL '2 minutes' FROM divided WHERE reason IS NULL)
+GROUP BY ALL"""))
+def q_stream_gold_ontime(spark, sf_dir):
+    root = _late_run(spark, sf_dir, "events_per_minute")
+    return comparable(spark.read.parquet(f"{root}/gold").select(
+        "window_start", "window_end", "event_type", "event_count"))
+
+
+def _refreshed(spark, sf_dir, table: str):
+    """Gold of what came before a cut, refreshed with what came after."""
+    root = scratch_path(spark, "refresh")
+    rows = silver(spark, sf_dir)
+    later = F.col("kafka_timestamp") >= F.lit(LANDED_CUT).cast("timestamp")
+    RF.append_silver(rows.where(~later), f"{root}/silver")
+    RF.store_gold(spark.read.parquet(f"{root}/silver"), table, f"{root}/gold", "exact")
+    batch = rows.where(later)
+    RF.append_silver(batch, f"{root}/silver")
+    RF.refresh_gold(spark, table, f"{root}/silver", batch, f"{root}/gold", "exact")
+    return RF.read_gold(spark, f"{root}/gold")
+
+
+@register("gold_refresh", POP_SQL)
+def q_gold_refresh(spark, sf_dir):
+    return comparable(_refreshed(spark, sf_dir, "popular_products"), {"total_revenue": 2})
+
+
+@register("gold_refresh_minutes", EPM_SQL)
+def q_gold_refresh_minutes(spark, sf_dir):
+    return comparable(_refreshed(spark, sf_dir, "events_per_minute"))
+
+
+def _held_against(exact, rolled):
+    """The exact hours, and whether the rolled-up estimates lie within five
+    standard errors (or 1) of them."""
+    out = exact.join(rolled.select(F.col("window_start").alias("hour_start"), "users", "sessions", "events"),
+                     "hour_start", "left")
+
+    def near(estimate: str, count: str):
+        off = F.abs(F.col(estimate) - F.col(count))
+        return F.coalesce(off <= F.greatest(F.lit(1.0), 5 * RU.RELATIVE_ERROR * F.col(count)), F.lit(False))
+
+    return out.select("hour_start", "hour_end", F.col("events").alias("total_events"),
+                      near("users", "active_users").alias("users_near"),
+                      near("sessions", "total_sessions").alias("sessions_near"))
+
+
+HOURS_SQL = f"""
+SELECT hour_start, hour_end, total_events, true AS users_near, true AS sessions_near FROM ({AUH_SQL})"""
+
+
+@register("rollup_users_hourly", f"SELECT *, true AS as_one_pass FROM ({HOURS_SQL})")
+def q_rollup_users_hourly(spark, sf_dir):
+    rows = silver(spark, sf_dir)
+    path = scratch_path(spark, "minutes")
+    RU.minute_sketches(rows).write.parquet(path)
+    rolled = RU.rollup(spark.read.parquet(path), "1 hour")
+    whole = RU.one_pass(rows, "1 hour").select(
+        F.col("window_start").alias("hour_start"), F.col("users").alias("u1"), F.col("sessions").alias("s1"))
+    out = _held_against(active_users_hourly(rows, distinct="exact"), rolled)
+    same = rolled.select(F.col("window_start").alias("hour_start"), "users", "sessions").join(whole, "hour_start")
+    return comparable(out.join(same.select(
+        "hour_start", ((F.col("users") == F.col("u1")) & (F.col("sessions") == F.col("s1"))).alias("as_one_pass")),
+        "hour_start"))
+
+
+@register("stream_rollup_hourly", HOURS_SQL)
+def q_stream_rollup_hourly(spark, sf_dir):
+    """Minutes stored batch by batch, late rows included, rolled up at the end."""
+    root = scratch_path(spark, "stream-minutes")
+    for part in _silver_in_parts(spark, sf_dir):
+        part.write.mode("append").parquet(f"{root}/silver")
+        like = spark.read.parquet(f"{root}/silver")
+        (J.table_stream(spark, f"{root}/silver", like).writeStream
+         .foreachBatch(RU.minute_batch_writer(f"{root}/minutes")).option("checkpointLocation", f"{root}/_chk")
+         .trigger(**AVAILABLE_NOW).start().awaitTermination())
+    rolled = RU.rollup(spark.read.parquet(f"{root}/minutes"), "1 hour")
+    return comparable(_held_against(active_users_hourly(silver(spark, sf_dir), distinct="exact"), rolled))
