@@ -13,10 +13,13 @@ can hold under *every* order:
    its l - 1 most frequent ones (the rarest common token is never among them),
    so that common phrases make no candidates.
 
-Equal sets are one class from the start.  What is left is gathered into blocks
-of at most about BLOCK documents by the most frequent token kept; blocks that
-share a kept token are compared, exactly, set against set, and each comparison
-returns a spanning forest of its links instead of all pairs.
+Equal sets are one class from the start.  Each set that is left goes to the
+leader that most of its kept tokens name, in blocks of about BLOCK sets; a block
+and its leader are compared, exactly, set against set, so that a large group of
+near copies is one component after linear work.  Only blocks that share a kept
+token between different components, and whose sizes allow a link, are compared
+further.  Each comparison returns a spanning forest of its links instead of all
+pairs.
 """
 
 from __future__ import annotations
@@ -37,7 +40,7 @@ BLOCK = 128
 TASK_ROWS = 1000
 _SEEDS = {2: np.uint64(0xA0761D6478BD642F), 3: np.uint64(0xE7037ED1A0B428DB)}
 # extra prefix tokens (percent of the set) that must be shared, per order
-EXTRA = {1: 5, 2: 5, 3: 15}
+EXTRA = {1: 5, 2: 5, 3: 40}
 
 
 def _prefix_size(n: int, percent: int, extra: int) -> int:
@@ -135,26 +138,39 @@ def _survivors(sets: DataFrame, prefix: str, order: int, percent: int) -> DataFr
         .select("node"), f"jaccard-left{order}")
 
 
-def _blocks(sets: DataFrame, percent: int) -> DataFrame:
-    """(node, block, tokens): the candidates of order 3 with the prefix tokens
-    they keep, dealt into blocks of alike documents."""
+def _kept(sets: DataFrame, percent: int) -> DataFrame:
+    """(node, n, tokens): the candidates of order 3 with the prefix tokens they
+    keep."""
     tokens = sets.select("node", "n", F.explode("prefix3").alias("token"))
     common = written(tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"),
                      "jaccard-common3")
-    kept = written(
+    return written(
         tokens.join(common, "token").groupBy("node")
         .agg(F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "token")), False).alias("all"))
         .withColumn("need", _needed(F.col("n"), percent, EXTRA[3]))
         .where(F.size("all") >= F.col("need"))
         .withColumn("rest", F.expr("slice(all, cast(need as int), size(all))"))
-        .select("node", F.expr("rest[0].token").alias("key"),
-                F.transform("rest", lambda t: t["token"]).alias("tokens")), "jaccard-kept")
-    parts = written(kept.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("parts")),
-                    "jaccard-parts")
-    return written(
-        kept.join(parts, "key")
-        .select("node", "tokens", F.xxhash64("key", F.expr("pmod(xxhash64(node, 7), parts)")).alias("block")),
-        "jaccard-blocks")
+        .select("node", "n", F.transform("rest", lambda t: t["token"]).alias("tokens")), "jaccard-kept")
+
+
+def _blocks(kept: DataFrame) -> DataFrame:
+    """(node, n, tokens, leader, block): the leader of a token is the smallest
+    node that keeps it; a node goes to the leader that most of its tokens name,
+    which among near copies is the same for all.  The nodes of a leader are
+    dealt into blocks of about BLOCK."""
+    tokens = kept.select("node", F.explode("tokens").alias("token"))
+    leaders = tokens.groupBy("token").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where(
+        "leader < last").select("token", "leader")
+    chosen = written(tokens.join(leaders, "token").groupBy("node").agg(F.mode("leader", True).alias("leader")),
+                     "jaccard-chosen")
+    # where a leader follows another one, its nodes do too
+    above = chosen.select(F.col("node").alias("leader"), F.col("leader").alias("above"))
+    chosen = written(chosen.join(above, "leader", "left").select("node", F.coalesce("above", "leader").alias("leader")),
+                     "jaccard-leaders")
+    parts = written(chosen.groupBy("leader").agg(F.ceil(F.count("*") / BLOCK).alias("parts")), "jaccard-parts")
+    placed = chosen.join(parts, "leader").select(
+        "node", "leader", F.xxhash64("leader", F.expr("pmod(xxhash64(node, 7), parts)")).alias("block"))
+    return written(kept.join(placed, "node"), "jaccard-blocks")
 
 
 def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -224,23 +240,56 @@ def _compare(table: pa.Table, percent: int) -> pa.Table:
     return pa.table({"a": pa.array(left, pa.binary()), "b": pa.array(right, pa.binary())})
 
 
-def _links(sets: DataFrame, blocks: DataFrame, percent: int) -> DataFrame:
-    have = written(blocks.select("block", F.explode("tokens").alias("token")).distinct(),
-                   "jaccard-block-tokens")
-    one, two = (have.select(F.col("block").alias(b), "token") for b in ("b1", "b2"))
-    pairs = one.join(two, "token").where("b1 < b2").select("b1", "b2").distinct()
-    own = blocks.groupBy("block").count().where("count > 1").select(
-        F.col("block").alias("b1"), F.col("block").alias("b2"))
-    pairs = written(pairs.unionAll(own), "jaccard-block-pairs")
+def _compared(rows: DataFrame, sets: DataFrame, percent: int, name: str) -> DataFrame:
+    """Links (a, b: prints) among the rows (b1, b2, block, node) of each pair of
+    blocks, or of one block where b1 = b2."""
+    rows = written(rows, f"jaccard-{name}-rows")
+    tasks = 1 + rows.count() // TASK_ROWS
+    dealt = rows.join(sets.select("node", "print", "tokens"), "node").drop("node").withColumn(
+        "task", F.expr(f"pmod(xxhash64(b1, b2), {tasks})"))
+    return written(dealt.groupBy("task").applyInArrow(lambda t: _compare(t, percent), "a binary, b binary"),
+                   f"jaccard-{name}-links")
+
+
+def _inside(blocks: DataFrame) -> DataFrame:
+    """Every block with its leader."""
+    rows = blocks.select("block", "node").unionAll(blocks.select("block", F.col("leader").alias("node"))).distinct()
+    return rows.select(F.col("block").alias("b1"), F.col("block").alias("b2"), "block", "node")
+
+
+def _between(sets: DataFrame, blocks: DataFrame, links: DataFrame, percent: int) -> DataFrame:
+    """What the links inside blocks leave open: pairs of blocks that share a
+    token some of whose nodes lie in different components, with nodes in
+    different components and of sizes that can be linked.  Only nodes that hold
+    such a token take part."""
+    roots = written(components(links, "a", "b"), "jaccard-inside")
+    named = sets.select("node", "print").join(roots.withColumnRenamed("node", "print"), "print", "left").select(
+        "node", F.coalesce("root", "print").alias("part"))
+    tokens = written(blocks.select("node", "n", "block", F.explode("tokens").alias("token"))
+                     .join(written(named, "jaccard-part-of"), "node"), "jaccard-tokens")
+    per = tokens.groupBy("token", "block").agg(
+        F.min("part").alias("p"), F.max("part").alias("q"), F.min("n").alias("least"), F.max("n").alias("most"))
+    open_ = written(per.groupBy("token").agg(F.min("p").alias("p"), F.max("q").alias("q"))
+                    .where("p != q").select("token"), "jaccard-open")
+    per = written(per.join(open_, "token"), "jaccard-block-tokens")
+    one, two = (per.select("token", *[F.col(c).alias(f"{c}{i}") for c in ("block", "p", "q", "least", "most")])
+                for i in (1, 2))
+    pairs = written(
+        one.join(two, "token")
+        .where("block1 < block2 and not (p1 = q1 and p2 = q2 and p1 = p2)")
+        .where(f"100 * most1 >= {percent} * least2 and 100 * most2 >= {percent} * least1")
+        .select(F.col("block1").alias("b1"), F.col("block2").alias("b2")).distinct(), "jaccard-block-pairs")
     sides = pairs.select("b1", "b2", F.col("b1").alias("block")).unionAll(
-        pairs.where("b1 != b2").select("b1", "b2", F.col("b2").alias("block")))
-    members = written(blocks.select("block", "node").join(
-        sets.select("node", "print", "tokens"), "node").drop("node"), "jaccard-members")
-    work = members.groupBy("block").count().join(sides, "block").agg(F.sum("count")).first()[0] or 0
-    tasks = 1 + int(work) // TASK_ROWS
-    rows = sides.join(members, "block").withColumn("task", F.expr(f"pmod(xxhash64(b1, b2), {tasks})"))
-    return rows.groupBy("task").applyInArrow(
-        lambda t: _compare(t, percent), "a binary, b binary")
+        pairs.select("b1", "b2", F.col("b2").alias("block")))
+    members = tokens.join(open_, "token", "left_semi").select("block", "node").distinct()
+    return sides.join(members, "block").select("b1", "b2", "block", "node")
+
+
+def _links(sets: DataFrame, percent: int) -> DataFrame:
+    blocks = _blocks(_kept(sets, percent))
+    inside = _compared(_inside(blocks), sets, percent, "inside")
+    between = _compared(_between(sets, blocks, inside, percent), sets, percent, "between")
+    return inside.unionAll(between)
 
 
 def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -263,9 +312,7 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     sets = _second_pass(texts.select("print", "text"), k, percent)
     sets = written(sets.dropDuplicates(["print"]), "jaccard-sets")
     left = _survivors(sets, "prefix2", 2, percent)
-    sets = sets.join(left, "node")
-    blocks = _blocks(sets, percent)
-    links = written(_links(sets, blocks, percent), "jaccard-links")
+    links = _links(sets.join(left, "node"), percent)
     roots = written(components(links, "a", "b"), "jaccard-roots")
     classes = (some.groupBy("print").agg(F.min("doc_id").alias("id"))
                .join(roots.withColumnRenamed("node", "print"), "print", "left")
