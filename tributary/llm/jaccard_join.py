@@ -40,7 +40,7 @@ BLOCK = 128
 TASK_ROWS = 1000
 _SEEDS = {2: np.uint64(0xA0761D6478BD642F), 3: np.uint64(0xE7037ED1A0B428DB)}
 # extra prefix tokens (percent of the set) that must be shared, per order
-EXTRA = {1: 5, 2: 5, 3: 40}
+EXTRA = {1: 5, 2: 5, 3: 30}
 
 
 def _prefix_size(n: int, percent: int, extra: int) -> int:
@@ -245,7 +245,7 @@ def _compared(rows: DataFrame, sets: DataFrame, percent: int, name: str) -> Data
     blocks, or of one block where b1 = b2."""
     rows = written(rows, f"jaccard-{name}-rows")
     tasks = 1 + rows.count() // TASK_ROWS
-    dealt = rows.join(sets.select("node", "print", "tokens"), "node").drop("node").withColumn(
+    dealt = rows.hint("merge").join(sets.select("node", "print", "tokens"), "node").drop("node").withColumn(
         "task", F.expr(f"pmod(xxhash64(b1, b2), {tasks})"))
     return written(dealt.groupBy("task").applyInArrow(lambda t: _compare(t, percent), "a binary, b binary"),
                    f"jaccard-{name}-links")
@@ -285,8 +285,9 @@ def _between(sets: DataFrame, blocks: DataFrame, links: DataFrame, percent: int)
     return sides.join(members, "block").select("b1", "b2", "block", "node")
 
 
-def _links(sets: DataFrame, percent: int) -> DataFrame:
-    blocks = _blocks(_kept(sets, percent))
+def _links(sets: DataFrame, left: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b: prints) among the sets whose nodes are in ``left``."""
+    blocks = _blocks(_kept(sets.select("node", "n", "prefix3").join(left.hint("merge"), "node"), percent))
     inside = _compared(_inside(blocks), sets, percent, "inside")
     between = _compared(_between(sets, blocks, inside, percent), sets, percent, "between")
     return inside.unionAll(between)
@@ -308,11 +309,13 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     # one document per set, found again by its id, gives the whole set
     one = (some.select("doc_id", "node", "print").join(left, "node")
            .groupBy("print").agg(F.min("doc_id").alias("doc_id")))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(one, "doc_id")
+    # what is joined to whole texts and sets grows with the corpus: the plan is
+    # the same merge join at every size
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(one.hint("merge"), "doc_id")
     sets = _second_pass(texts.select("print", "text"), k, percent)
     sets = written(sets.dropDuplicates(["print"]), "jaccard-sets")
     left = _survivors(sets, "prefix2", 2, percent)
-    links = _links(sets.join(left, "node"), percent)
+    links = _links(sets, left, percent)
     roots = written(components(links, "a", "b"), "jaccard-roots")
     classes = (some.groupBy("print").agg(F.min("doc_id").alias("id"))
                .join(roots.withColumnRenamed("node", "print"), "print", "left")
