@@ -198,3 +198,54 @@ def q_stream_rollup_hourly(spark, sf_dir):
          .trigger(**AVAILABLE_NOW).start().awaitTermination())
     rolled = RU.rollup(spark.read.parquet(f"{root}/minutes"), "1 hour")
     return comparable(_held_against(active_users_hourly(silver(spark, sf_dir), distinct="exact"), rolled))
+
+
+# ---------------------------------------------------------------------------
+# landed topics with an index
+# ---------------------------------------------------------------------------
+
+from tributary.plans.catalog import (  # noqa: E402
+    BRONZE_COLS,
+    PINNED_NOW,
+    REPLAY_FROM,
+    REPLAY_OFFSET,
+    click_messages,
+)
+from tributary.operators.bronze import process_bronze  # noqa: E402
+from tributary.sources import topiclog as TL  # noqa: E402
+
+LOG_FILES = 24
+
+
+def _landed_log(spark, sf_dir) -> str:
+    """The topic as a log of files in ranges of offsets."""
+    root = scratch_path(spark, "topic")
+    TL.append(click_messages(spark, sf_dir), root, "landed", LOG_FILES)
+    return root
+
+
+def _bronze_of(raw):
+    return comparable(process_bronze(raw, F.lit(PINNED_NOW).cast("timestamp")).select(*BRONZE_COLS))
+
+
+@register("replay_indexed", ORACLE["replay_offsets"])
+def q_replay_indexed(spark, sf_dir):
+    return _bronze_of(TL.replay(spark, _landed_log(spark, sf_dir), start_offset=REPLAY_OFFSET))
+
+
+@register("replay_indexed_time", ORACLE["replay_timestamp"])
+def q_replay_indexed_time(spark, sf_dir):
+    return _bronze_of(TL.replay(spark, _landed_log(spark, sf_dir), start_timestamp=REPLAY_FROM))
+
+
+@register("stream_bronze_offsets", ORACLE["bronze_parse"])
+def q_stream_bronze_offsets(spark, sf_dir):
+    """Bronze by stored offsets: a first run of two limited batches, then a
+    restart that takes the rest."""
+    root = _landed_log(spark, sf_dir)
+    table = scratch_path(spark, "bronze-offsets")
+    waiting = sum(TL.bounds(spark, root).end.values())
+    now = F.lit(PINNED_NOW).cast("timestamp")
+    TL.run_bronze(spark, root, table, max_offsets=max(1, waiting // 4), now=now, max_batches=2)
+    TL.run_bronze(spark, root, table, now=now)
+    return comparable(spark.read.parquet(table).select(*BRONZE_COLS))
