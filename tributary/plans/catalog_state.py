@@ -249,3 +249,98 @@ def q_stream_bronze_offsets(spark, sf_dir):
     TL.run_bronze(spark, root, table, max_offsets=max(1, waiting // 4), now=now, max_batches=2)
     TL.run_bronze(spark, root, table, now=now)
     return comparable(spark.read.parquet(table).select(*BRONZE_COLS))
+
+
+# ---------------------------------------------------------------------------
+# schema drift (P2, S5) and sessions by inactivity (R1, R2 on a stream)
+# ---------------------------------------------------------------------------
+
+from tributary.operators import drift as DR  # noqa: E402
+from tributary.operators import sessions as SE  # noqa: E402
+from tributary.sources.feeds import CLICK_DEFECTS as CD  # noqa: E402
+
+
+def _grown_feed(spark, sf_dir):
+    """The feed, of which some records from a cut on carry a field that no
+    schema names."""
+    raw = click_messages(spark, sf_dir)
+    text = F.col("value").cast("string")
+    gains = (F.col("timestamp") >= F.lit(LANDED_CUT).cast("timestamp")) & (F.expr("(offset div 4) % 4") == 0)
+    return raw.withColumn("value", F.when(gains, F.regexp_replace(text, r"\}$", ',"campaign":"spring"}'))
+                          .otherwise(text).cast("binary"))
+
+
+DRIFT_SQL = O.with_(O.BRONZE + f""",
+rec AS (
+  SELECT c.*, c.malformed AS bad,
+         c.cart_value IS NOT NULL AS has_cart, c.quantity IS NOT NULL AS has_quantity,
+         event_num % {CD['bad_number']} = 0 AS no_number, event_num % {CD['text_cart']} = 0 AS text_number,
+         event_num % {CD['fraction']} = 0 AS fraction
+  FROM copies c)""", f"""
+SELECT 'campaign' AS field, 'string' AS type, 'new' AS kind, count(*) AS rows,
+       min(kts) AS first_seen, max(kts) AS last_seen
+FROM rec WHERE NOT bad AND kts >= TIMESTAMP '{LANDED_CUT}' AND event_num % 4 = 0
+UNION ALL
+SELECT 'metadata.cart_value', 'string', 'changed', count(*), min(kts), max(kts)
+FROM rec WHERE NOT bad AND has_cart AND (no_number OR text_number) HAVING count(*) > 0
+UNION ALL
+SELECT 'metadata.quantity', 'number', 'changed', count(*), min(kts), max(kts)
+FROM rec WHERE NOT bad AND has_quantity AND fraction AND NOT no_number AND NOT text_number HAVING count(*) > 0""")
+
+
+@register("schema_drift", DRIFT_SQL)
+def q_schema_drift(spark, sf_dir):
+    """Two batches of the feed, before and from the cut on: the drift table
+    that their writer keeps."""
+    root = scratch_path(spark, "drift")
+    feed = _grown_feed(spark, sf_dir)
+    later = F.col("timestamp") >= F.lit(LANDED_CUT).cast("timestamp")
+    write = DR.drift_batch_writer(f"{root}/bronze", f"{root}/drift", now=F.lit(PINNED_NOW).cast("timestamp"))
+    write(feed.where(~later), 0)
+    write(feed.where(later), 1)
+    return comparable(DR.drift_so_far(spark, f"{root}/drift"))
+
+
+SESSIONS_SQL = O.with_(O.SILVER, """
+SELECT user_id, session_start, max(event_timestamp) + INTERVAL '30 minutes' AS session_end, count(*) AS events,
+       count(*) FILTER (WHERE event_type = 'page_view') AS views,
+       count(*) FILTER (WHERE event_type = 'add_to_cart') AS cart_adds,
+       count(*) FILTER (WHERE event_type = 'purchase') AS purchases,
+       round(sum(cart_value) FILTER (WHERE event_type = 'purchase'), 2) AS revenue,
+       arg_min(page_url, (event_timestamp, event_id)) AS entry_page,
+       arg_max(page_url, (event_timestamp, event_id)) AS exit_page
+FROM (
+  SELECT *, min(event_timestamp) OVER (PARTITION BY user_id, nth) AS session_start
+  FROM (
+    SELECT *, sum(CASE WHEN begins THEN 1 ELSE 0 END) OVER (
+             PARTITION BY user_id ORDER BY event_timestamp, event_id ROWS UNBOUNDED PRECEDING) AS nth
+    FROM (
+      SELECT *, coalesce(event_timestamp - lag(event_timestamp) OVER (
+               PARTITION BY user_id ORDER BY event_timestamp, event_id) > INTERVAL '30 minutes', true) AS begins
+      FROM silver WHERE event_timestamp IS NOT NULL AND user_id IS NOT NULL)))
+GROUP BY user_id, session_start""")
+
+
+@register("sessions_by_gap", SESSIONS_SQL)
+def q_sessions_by_gap(spark, sf_dir):
+    return comparable(SE.sessions_by_gap(silver(spark, sf_dir)), {"revenue": 2})
+
+
+@register("sessions_of_hot_users", SESSIONS_SQL)
+def q_sessions_of_hot_users(spark, sf_dir):
+    return comparable(SE.sessions_of_hot_users(silver(spark, sf_dir)), {"revenue": 2})
+
+
+_LAST = O.with_(O.SILVER, "SELECT max(event_timestamp) FROM silver")
+
+
+@register("stream_sessions_by_gap", f"""
+SELECT * FROM ({SESSIONS_SQL}) WHERE session_end <= ({_LAST}) - INTERVAL '10 minutes'""")
+def q_stream_sessions_by_gap(spark, sf_dir):
+    root = scratch_path(spark, "sessions")
+    rows = silver(spark, sf_dir)
+    rows.write.parquet(f"{root}/silver")
+    like = spark.read.parquet(f"{root}/silver")
+    SE.start_sessions(J.table_stream(spark, f"{root}/silver", like), f"{root}/out", f"{root}/_chk",
+                      trigger=AVAILABLE_NOW).awaitTermination()
+    return comparable(spark.read.parquet(f"{root}/out"), {"revenue": 2})
