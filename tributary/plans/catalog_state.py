@@ -344,3 +344,42 @@ def q_stream_sessions_by_gap(spark, sf_dir):
     SE.start_sessions(J.table_stream(spark, f"{root}/silver", like), f"{root}/out", f"{root}/_chk",
                       trigger=AVAILABLE_NOW).awaitTermination()
     return comparable(spark.read.parquet(f"{root}/out"), {"revenue": 2})
+
+
+# ---------------------------------------------------------------------------
+# quality from states (Q2-Q5, Q8)
+# ---------------------------------------------------------------------------
+
+from tributary.plans.catalog import QCOLS, QSCORE, QUALITY_SQL  # noqa: E402
+from tributary.streaming import quality_state as QS  # noqa: E402
+
+
+@register("quality_incremental", O.with_(QUALITY_SQL, f"SELECT {QCOLS} FROM quality WHERE layer = 'silver'"))
+def q_quality_incremental(spark, sf_dir):
+    """The scores per day of ``quality_silver``, from the states of four batches."""
+    root = scratch_path(spark, "quality")
+    day = F.to_date("kafka_timestamp").cast("string")
+    bound = F.date_add(F.to_date("part"), 1).cast("timestamp")
+    for n, part in enumerate(_silver_in_parts(spark, sf_dir)):
+        QS.add_batch(spark, root, part, "silver", day, n, bound)
+    out = QS.scores(spark, root, "silver")
+    return comparable(out.withColumn("timestamp", F.date_add(F.to_date("part"), 1).cast("timestamp")).drop("part"),
+                      QSCORE)
+
+
+@register("quality_incremental_layer", O.with_(QUALITY_SQL, """
+SELECT check_name, layer, round(s, 6) AS score, s >= th AS passed, n AS record_count,
+       'Threshold: ' || CASE WHEN th = 1.0 THEN '1.0' ELSE CAST(th AS VARCHAR) END AS details
+FROM (
+  SELECT 'silver_dedup_check' AS check_name, 'silver' AS layer, 1.0 AS th, count(*) AS n,
+         CAST(count(DISTINCT event_id) AS DOUBLE) / count(*) AS s FROM silver
+  UNION ALL
+  SELECT 'silver_timestamp_validity', 'silver', 0.99, sum(n)::BIGINT, CAST(sum(v) AS DOUBLE) / sum(n) FROM qs)"""))
+def q_quality_incremental_layer(spark, sf_dir):
+    """The same states, merged for the layer as a whole."""
+    root = scratch_path(spark, "quality")
+    day = F.to_date("kafka_timestamp").cast("string")
+    bound = F.date_add(F.to_date("part"), 1).cast("timestamp")
+    for n, part in enumerate(_silver_in_parts(spark, sf_dir)):
+        QS.add_batch(spark, root, part, "silver", day, n, bound)
+    return comparable(QS.scores(spark, root, "silver", by_part=False), QSCORE)
