@@ -38,12 +38,20 @@ def _dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def _one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Near-duplicates by five-word shingles at 0.8: of each group the document
-    with the smallest id stays.  Rows without an id are kept."""
+    with the smallest id stays (rows without an id come last).  Rows are told
+    apart by their place in the table, so of repeated rows one stays, and two
+    texts under one id are two documents.  Texts without words all stay.
+    ``docs`` is a stored table: both scans number its rows alike."""
     shared.importable(spark)
-    groups = jaccard_join.jaccard_join(docs, k=5, percent=80)
-    gone = shared.written(
-        groups.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct(), "near-duplicates")
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    rows = docs.withColumn("_row", F.monotonically_increasing_id())
+    groups = jaccard_join.jaccard_join(rows.select(F.col("_row").alias("doc_id"), "text"), k=5, percent=80)
+    places = shared.written(
+        rows.select("_row", F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "_row").alias("place"))
+        .join(groups.select(F.col("doc_id").alias("_row"), "component_id"), "_row"), "near-duplicate-places")
+    first = places.groupBy("component_id").agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1")
+    gone = shared.written(places.join(first, "component_id").where("place != first").select("_row"),
+                          "near-duplicates")
+    return rows.join(gone, "_row", "left_anti").select(*COLUMNS)
 
 
 def _mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
