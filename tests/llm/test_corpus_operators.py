@@ -271,3 +271,18 @@ def test_stages_keep_the_columns_of_documents(spark):
         assert table.columns == corpus_pipeline.COLUMNS, name
         table.count()
     assert corpus_pipeline.STAGES[-1][1](spark, table.limit(0), SF).count() == 0
+
+
+def test_one_of_each_tells_rows_apart(spark, tmp_path):
+    """Two texts under one id, repeated rows, equal texts without an id."""
+    base = " ".join(f"w{i}" for i in range(60))
+    near = base.replace("w30 ", "x ")
+    other = " ".join(f"v{i}" for i in range(60))
+    rows = [(1, base), (2, near), (2, other), (3, "alone " * 9), (3, "alone " * 9), (None, base), (None, "no id " * 9),
+            (None, "no id " * 9), (7, None), (7, None), (8, " ")]
+    spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], DOC_SCHEMA).repartition(3).write.parquet(
+        str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    out = dict(corpus_pipeline.STAGES)["jaccard_join"](spark, docs, SF).collect()
+    want = [(1, base), (2, other), (3, "alone " * 9), (None, "no id " * 9), (7, None), (7, None), (8, " ")]
+    assert sorted(((r.doc_id, r.text) for r in out), key=key) == sorted(want, key=key)
