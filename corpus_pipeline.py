@@ -21,7 +21,7 @@ TOKENIZER = "word_bpe_49k.json"
 
 def _remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
-    shared.importable(spark)
+    shared.lean_workers(spark)
     docs = docs.select(*COLUMNS)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.keep_clean(docs, toxicity.train(docs, labels))
@@ -42,7 +42,7 @@ def _one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     apart by their place in the table, so of repeated rows one stays, and two
     texts under one id are two documents.  Texts without words all stay.
     ``docs`` is a stored table: both scans number its rows alike."""
-    shared.importable(spark)
+    shared.lean_workers(spark)
     rows = docs.withColumn("_row", F.monotonically_increasing_id())
     groups = jaccard_join.jaccard_join(rows.select(F.col("_row").alias("doc_id"), "text"), k=5, percent=80)
     places = shared.written(
@@ -62,7 +62,7 @@ def _mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def _tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their token ids."""
-    shared.importable(spark)
+    shared.lean_workers(spark)
     return bpe.encode(docs, public_tokenizers.path(TOKENIZER))
 
 
