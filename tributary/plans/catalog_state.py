@@ -383,3 +383,30 @@ def q_quality_incremental_layer(spark, sf_dir):
     for n, part in enumerate(_silver_in_parts(spark, sf_dir)):
         QS.add_batch(spark, root, part, "silver", day, n, bound)
     return comparable(QS.scores(spark, root, "silver", by_part=False), QSCORE)
+
+
+# ---------------------------------------------------------------------------
+# SCD-2 by keyed state (C3-C5 on a stream)
+# ---------------------------------------------------------------------------
+
+from tributary.streaming import keyed as KY  # noqa: E402
+
+
+@register("stream_scd2_state", O.with_(SCD_HISTORY, "SELECT * FROM dim"))
+def q_stream_scd2_state(spark, sf_dir):
+    """The feed in four parts in order of event time, the initial dimension
+    with the first: state per key, no snapshot."""
+    root = scratch_path(spark, "keyed")
+    feed = changes(spark, sf_dir)
+    t = F.timestamp_millis("ts_ms")
+    for lo, hi in zip([None, *BATCH_CUTS], [*BATCH_CUTS, None], strict=True):
+        part = feed if lo is None else feed.where(t >= F.lit(lo))
+        if hi is not None:
+            part = part.where((t < F.lit(hi)) | t.isNull() if lo is None else t < F.lit(hi))
+        if lo is None:
+            part = part.unionByName(KY.as_creates(initial_dim(spark, sf_dir)))
+        part.write.mode("append").parquet(f"{root}/changes")
+        like = spark.read.parquet(f"{root}/changes")
+        KY.start_versions(J.table_stream(spark, f"{root}/changes", like), f"{root}/log", f"{root}/_chk",
+                          trigger=AVAILABLE_NOW).awaitTermination()
+    return comparable(KY.versions(spark, f"{root}/log"))
