@@ -1,6 +1,7 @@
 """Rules, extraction, classifiers, counts and BPE against brute force, the
 tokenizers library, or held-out labels."""
 
+import hashlib
 import random
 import zlib
 
@@ -236,6 +237,18 @@ def test_bpe_equals_the_library_both_ways(spark, docs):
     assert bpe.digests(docs(odd_rows()), WORD_BPE).count() == len(odd_rows())
 
 
+def test_digests_equal_hashes_of_the_library(spark, docs):
+    rows = list(enumerate(corpus(spark))) + odd_rows()
+    out = bpe.digests(docs(rows), WORD_BPE)
+    lib = Tokenizer.from_file(WORD_BPE)
+    want = []
+    for i, t in rows:
+        ids = lib.encode(t or "", add_special_tokens=False).ids
+        want.append((i, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(),
+                     hashlib.sha256(lib.decode(ids, skip_special_tokens=False).encode()).hexdigest()))
+    assert sorted(map(tuple, out.collect()), key=key) == sorted(want, key=key)
+
+
 def test_every_token_encodes_to_itself_or_what_the_library_says():
     rng, lib = random.Random(1), Tokenizer.from_file(WORD_BPE)
     enc = bpe.encoder(WORD_BPE)

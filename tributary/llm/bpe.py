@@ -32,6 +32,9 @@ WORD_PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]"
 # new entries after which a Python worker forgets (about 200 bytes each)
 CACHE_WORDS = 60_000
 CACHE_RUNS = 150_000
+# where a job does nothing else in its workers
+ALONE_WORDS = 200_000
+ALONE_RUNS = 500_000
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
@@ -77,11 +80,11 @@ def encode_units(table: MergeTable, units: str) -> list[int]:
 class Encoder:
     """Text to ids and back, for a vocabulary with word ends."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, words: int = CACHE_WORDS, runs: int = CACHE_RUNS):
         self.table = merge_table(path)
         self.find = regex.compile(WORD_PATTERN).findall
-        self.words = Remembered(self._word, CACHE_WORDS)
-        self.runs = Remembered(self._run, CACHE_RUNS)
+        self.words = Remembered(self._word, words)
+        self.runs = Remembered(self._run, runs)
         added = sorted(self.table.added, key=len, reverse=True)
         self.added = regex.compile("(" + "|".join(map(regex.escape, added)) + ")") if added else None
         texts = self.table.token_text
@@ -131,8 +134,8 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
+def encoder(path: str, words: int = CACHE_WORDS, runs: int = CACHE_RUNS) -> Encoder:
+    return Encoder(path, words, runs)
 
 
 def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
@@ -177,14 +180,16 @@ def decode(encoded: DataFrame, path: str, ids: str = "token_ids") -> DataFrame:
     return src.mapInArrow(run, extended(src, decoded="string"))
 
 
-def digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+def digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
+            words: int = ALONE_WORDS, runs: int = ALONE_RUNS) -> DataFrame:
     """Encode and decode in one pass over the texts; only lengths and SHA-256
-    digests leave the task."""
+    digests leave the task.  ``words`` and ``runs``: entries that a worker
+    remembers."""
     src = docs.select(F.col(key), F.col(text).cast("string").alias("text"))
     kind = src.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
+        enc = encoder(path, words, runs)
         for b in batches:
             n, ids, back = [], [], []
             for t in b.column(1):
