@@ -3,10 +3,13 @@ tokenizers library, or held-out labels."""
 
 import hashlib
 import random
+import re
+import tracemalloc
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -100,6 +103,47 @@ def test_odd_pages_do_not_fail(page):
     assert isinstance(html_extraction.extract(page), str)
 
 
+LONG = "Some sentence, with words. And another one, longer than that, follows here."
+
+
+@pytest.mark.parametrize("page,want", [
+    (f"<form><article><h1>T</h1><p>{LONG}</p></article></form>", ["T", LONG]),
+    (f"<nav><a href=x>Home</a><article><h1>T</h1><p>{LONG}</p></article>", ["T", LONG]),
+    (f"<form><div><h1>T</h1><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div><input></form>", ["T"] + [LONG] * 3),
+    (f"<main><h1>T</h1><p>{LONG}</p><div itemprop=articleBody><p>{LONG * 3}</p><p>{LONG * 5}</p></div></main>",
+     ["T", LONG, LONG * 3, LONG * 5]),
+    (f"<article><p>{LONG}</p></article><div>x</div><article><p>{LONG}</p></article>", [LONG, LONG]),
+    ("<nav><a>x</a></nav><form><p>Name<p>Street</form><footer>all</footer>", [""])])
+def test_wrapped_and_split_articles(page, want):
+    assert html_extraction.extract(page).split("\n") == want
+
+
+def test_paths_choose_the_article_without_marks():
+    """Given pages, with their marks renamed: the paths alone find the article."""
+    path = "/root/testdata/sf0.01/pages.parquet"
+    pages = pq.read_table(path, columns=["html"]).column(0).to_pylist()
+    renamed = [re.sub(r"(</?)(article|main)\b", r"\1div", p or "") for p in pages]
+    assert pages != renamed
+    assert [html_extraction.extract(p) for p in pages] == [html_extraction.extract(p) for p in renamed]
+
+
+def test_ratios_separate_text_from_nameless_blocks():
+    junk = "<div><div>Home</div><div>News</div><div>Buy now</div></div>"
+    page = f"<body>{junk}<div><h1>T</h1>" + f"<p>{LONG * 4}</p>" * 6 + f"<p>Ti.</p></div>{junk}</body>"
+    assert html_extraction.extract(page).split("\n") == ["T"] + [LONG * 4] * 6 + ["Ti."]
+
+
+@pytest.mark.parametrize("part,n", [("<div>x", 20000), ("<b>x", 20000), ("<h1>x", 20000), ("<ul><li>x", 10000),
+                                    ("<p>x<b>", 20000), ("<i><div>x</b>", 10000)])
+def test_deep_pages_take_linear_memory(part, n):
+    tracemalloc.start()
+    got = html_extraction.extract(part * n)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got.count("x") == n
+    assert peak < 4000 * n
+
+
 def test_extraction_keeps_rows(spark):
     rows = [(1, "u", PAGE), (1, "u", PAGE), (None, None, None), (3, "v", "")]
     out = html_extraction.html_extraction(
