@@ -70,7 +70,8 @@ _SCOPE = {"ul", "ol", "dl", "table", "article", "section", "div", "body", "block
 class _Element:
     """One open tag.  ``outer`` is the nearest element at or above it that is
     not inline, ``path`` the number of its tag path, ``inlines`` how many inline
-    elements of each tag are open right inside it."""
+    elements of each tag are open right inside it, ``marked`` the nearest marked
+    element at or above it."""
     __slots__ = ("tag", "parent", "outer", "path", "apart", "named", "main", "holds_main", "inlines",
                  "gone", "heading", "marked", "header", "chars", "content", "paragraphs", "closed", "inside")
 
@@ -262,7 +263,7 @@ def _kept_apart(blocks: list[_Block], elements: list[_Element]) -> list[_Block]:
                                  and e.paragraphs >= 3)
         e.gone = (up is not None and up.gone) or (e.apart or e.named) and not wraps
         e.heading = e.tag in HEADINGS or up is not None and up.heading
-        e.marked = e.main or up is not None and up.marked
+        e.marked = e if e.main else up and up.marked
         e.header = (e.tag == "header" and not e.holds_main) or up is not None and up.header
     return [b for b in blocks if not b.where.gone
             and not (b.where.header and not (b.where.heading and b.where.marked))]
@@ -325,11 +326,13 @@ def extract(page: str | None) -> str:
     _sum_up(elements, "content")
     region = _region(elements)
     chosen = set()
-    at: _Element | None = region
-    while at is not None and not chosen:        # the marked element around it
-        if at.main:
-            chosen.add(at)
-        at = at.parent
+    around = set()          # marked elements that hold it; the nearest one is the text
+    at = region.marked
+    while at is not None:
+        around.add(at)
+        at = at.parent.marked
+    if around:
+        chosen = {region.marked}
     if not chosen and region.holds_main:        # or the marked ones in it
         _enter(elements, {region})
         outermost = [e for e in elements if e.main and e.inside and not e.parent.marked]
@@ -348,7 +351,7 @@ def extract(page: str | None) -> str:
         if b.linked * 2 > b.chars:
             continue
         if marked:
-            kept[i] = b.where.marked and (b.where.heading or bool(good[i]))
+            kept[i] = kept[i] or b.where.marked in around
         else:
             kept[i] = kept[i] or not titled and b.where.heading
     return "\n".join(b.text for b, k in zip(blocks, kept, strict=True) if k)
