@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -183,7 +184,9 @@ def test_no_labels_and_empty_table(spark, docs):
 
 
 def test_swaps_close_the_gap_between_groups():
-    assert toxicity.swaps("Women and men") == "men and women" and toxicity.swaps("nobody") is None
+    assert toxicity.swaps("Women and men") == ["men and women"] and toxicity.swaps("nobody") == []
+    assert toxicity.swaps("Été of the Gay man, ÉTÉ") == [
+        "Été of the straight woman, ÉTÉ", "Été of the lesbian man, ÉTÉ", "Été of the bisexual woman, ÉTÉ"]
     x = np.zeros((400, 3))
     y = np.zeros(400)
     x[:200, 0] = 1                       # column 0: group A, which the labels treat unfairly
@@ -194,11 +197,58 @@ def test_swaps_close_the_gap_between_groups():
     changed = np.zeros((400, 3))
     changed[:200] = [1, -1, 0]
     changed[200:] = [-1, 1, 0]
-    plain, _ = toxicity.fit(x, y, changed[:0])
-    fair, _ = toxicity.fit(x, y, changed)
+    plain, _ = toxicity.fit(x, y, np.zeros((3, 3)))
+    fair, _ = toxicity.fit(x, y, changed.T @ changed)
     assert plain[0] - plain[1] > 1 > 0.3 > abs(fair[0] - fair[1])
 
 
+def test_changes_are_the_sum_over_rows():
+    terms = ["women", "men", "blackness", "idiot"]
+    selected = np.unique(np.concatenate(toxicity._features_of(pa.array(terms))))
+    rows = [{"own": toxicity._known(selected, toxicity._features_of(pa.array([t]))[0]).tolist(),
+             "swapped": [toxicity._known(selected, toxicity._features_of(pa.array([c]))[0]).tolist()
+                         for c in toxicity.swaps(t)]} for t in ("the women", "an idiot", "")]
+    got, n = toxicity.changes(rows, selected)
+
+    def vector(at):
+        v = np.zeros(len(selected))
+        v[np.asarray(at, dtype=int)] = 1
+        return v
+
+    want = [vector(rows[0]["own"]) - vector(c) for c in rows[0]["swapped"]]
+    for r in rows[1:]:
+        for a, b in toxicity.mentions(selected):
+            named, other = np.maximum(vector(r["own"]), vector(a)), np.maximum(vector(r["own"]), vector(b))
+            want += [vector(r["own"]) - named, named - other]
+    want = [w for w in want if w.any()]
+    assert n == len(want) > 5
+    assert np.allclose(got, sum(np.outer(w, w) for w in want))
+
+
+def test_neutral_mentions_do_not_raise_scores(spark, docs):
+    """Labels give 'blackguard' to the toxic: 'black' shares its beginning."""
+    rng = random.Random(2)
+
+    def text(i):
+        words = [rng.choice(WORDS) for _ in range(30)]
+        return " ".join([*words, "blackguard"] if i % 4 == 0 else words)
+
+    table = docs([(i, text(i)) for i in range(800)])
+    model = toxicity.train(table, spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(800)],
+                                                        "doc_id long, toxic int"))
+    probe = docs([(0, "one black two"), (1, "one white two"), (2, "one blackguard two")])
+    got = {r.doc_id: r.score for r in toxicity.score(probe, model).collect()}
+    assert got[2] > 0.5 > got[0] and abs(got[0] - got[1]) < 0.1
+
+
+def test_repeated_ids_train_once(spark, docs):
+    rows = [(i, f"word{i % 7} idiot" if i % 2 else f"word{i % 7} fine") for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    once, often = (toxicity.train(docs(t), labels) for t in (rows, rows * 5))
+    assert np.array_equal(once["selected"], often["selected"])
+    assert np.allclose(once["w"], often["w"], atol=1e-3)
+
+
 # --- 5 quality classifier
 
 def test_positive_unlabelled_held_out(spark, docs):

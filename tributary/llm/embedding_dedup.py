@@ -22,6 +22,7 @@ from __future__ import annotations
 import logging
 import math
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,6 @@ HUB = 64                # a larger list of neighbours too
 BLOCK = 512             # vectors of a block of a component
 TASK_ROWS = 2000
 ROUNDS = 3              # refinements at most
-MERGES = 4              # searches between components at most
 TURNS = 3
 AUDIT = 200             # vectors of each sample compared with all others by the audit
 RECALL = 0.995
@@ -205,19 +205,19 @@ def _rooted(vectors: DataFrame, roots: DataFrame) -> DataFrame:
         "id", "label", "emb", F.coalesce("root", "id").alias("root"))
 
 
-def _merged(vectors: DataFrame, links: DataFrame, n: int, threshold: float, seed: int) -> DataFrame:
+def _merged(vectors: DataFrame, links: DataFrame, n: int, threshold: float, seeds: Iterator[int]) -> DataFrame:
     """``links`` and those between their components that are found in other
-    buckets; every search takes new ones, until one finds nothing."""
-    for step in range(MERGES):
+    buckets; every search takes new ones, until one finds nothing (each before
+    it joined components, so there is an end)."""
+    while True:
         roots = written(components(links, "id", "other"), "nn-roots")
-        first = (seed + step) * TABLES
+        first = next(seeds) * TABLES
         grouped = _buckets(_rooted(vectors, roots), n, range(first, first + TABLES))
         more = written(grouped.applyInArrow(
             lambda t: _across(t, [*_BUCKET, "sub"], threshold), _LINK).distinct(), "nn-across")
         if more.isEmpty():
-            break
+            return links
         links = links.unionAll(more)
-    return links
 
 
 def _exact(vectors: DataFrame, links: DataFrame, labels: list[str], threshold: float) -> DataFrame:
@@ -357,9 +357,10 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.98) -> DataFrame:
         roots = written(components(links, "id", "other"), "nn-roots")
         return roots, written(_count_links(vectors, roots, threshold), "nn-links")
 
+    seeds = count()      # of the tables of buckets; none is dealt twice
     for turn in range(TURNS):
-        tables = turn * (1 + MERGES)
-        fresh = _start(vectors, n, range(tables * TABLES, (tables + 1) * TABLES), k)
+        first = next(seeds) * TABLES
+        fresh = _start(vectors, n, range(first, first + TABLES), k)
         graph = written(fresh if graph is None else _lists(fresh.unionAll(graph), k), "nn-graph")
         before = -1.0
         for step in range(ROUNDS):
@@ -369,7 +370,7 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.98) -> DataFrame:
                 break
             before = now
         near = graph.where(F.col("cos") >= threshold).select("id", "other")
-        more = _merged(vectors, near if more is None else near.unionAll(more), n, threshold, tables + 1)
+        more = _merged(vectors, near if more is None else near.unionAll(more), n, threshold, seeds)
         roots, links = counted(more)
         recall = audit(vectors, links, roots, n, threshold)
         _log.info("recall by label and sample after turn %d: %s", turn + 1, recall)

@@ -124,12 +124,14 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, seed: int = 5) -> tuple[Ne
 
 
 def train(measured: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality") -> Network | None:
-    """Positives: rows labelled 1 outside fold 2 of 4 (crc32 of the id).
+    """Positives: rows labelled 1 outside fold 2 of 4 (crc32 of the id), one per
+    id (the smallest measures), so that at most MAX_POSITIVE reach the driver.
     Unlabelled: any rows, without their labels.  None without both."""
     good = (labels.where((F.col(label) == 1) & F.col(key).isNotNull() & (fold(F.col(key), 4) != 2))
             .select(F.col(key).alias("_key")).distinct()
             .orderBy(F.xxhash64("_key"), "_key").limit(MAX_POSITIVE))
-    p = measured.join(F.broadcast(good), F.col(key) == F.col("_key")).select(*_COLUMNS).toArrow()
+    p = (measured.join(F.broadcast(good), F.col(key) == F.col("_key")).groupBy("_key")
+         .agg(F.min(F.struct(*_COLUMNS)).alias("row")).select("row.*").toArrow())
     u = measured.orderBy(F.xxhash64(F.col(key), F.lit(3)), key).limit(MAX_UNLABELLED).select(*_COLUMNS).toArrow()
     if p.num_rows == 0 or u.num_rows == 0:
         return None

@@ -1,16 +1,21 @@
 """Toxicity by a counterfactually regularised classifier.
 
 A logistic model over hashed words and word beginnings.  For each labelled text
-that names an identity group, copies with the group swapped for another are
-made, and the training loss penalises any difference between the scores of a
-text and of its copies, so that naming a group neutrally raises no score.
-
-Labels are learned from a bounded sample (MAX_TRAIN rows, by a hash of the id);
-scoring covers every row and every word of each text.
+that names an identity group, copies with the group swapped for each other one
+are made, and the training loss penalises any difference between the scores of
+a text and of its copies.  A text that names none gets a neutral mention put to
+it, which is then swapped: the text, the text with one group named and the text
+with another are to score alike.  So naming a group neutrally raises no score,
+also by word beginnings that a group's name shares with other words.
+
+Labels are learned from a bounded sample (MAX_TRAIN ids, by a hash of the id, of
+several texts under one id the one with the smallest hash); scoring covers every
+row and every word of each text.
 """
 
 from __future__ import annotations
 
+import logging
 import re
 from collections.abc import Iterator
 
@@ -21,6 +26,8 @@ from pyspark.sql import functions as F
 
 from tributary.llm import shared
 
+_log = logging.getLogger(__name__)
+
 MAX_TRAIN = 8000        # labelled rows used for fitting
 MAX_FEATURES = 1024     # features kept, by how well they tell the labels apart
 MIN_DOCS = 4            # training documents that a feature needs
@@ -40,21 +47,25 @@ IDENTITY_GROUPS = (
     ("femmes", "hommes"), ("musulmans", "chrétiens", "juifs"), ("étrangers", "français"),
     ("mujeres", "hombres"), ("musulmanes", "cristianos", "judíos"), ("extranjeros", "españoles"),
 )
-_NEXT = {t: g[(i + 1) % len(g)] for g in IDENTITY_GROUPS for i, t in enumerate(g)}
-_TERM = re.compile(r"\b(" + "|".join(sorted(map(re.escape, _NEXT), key=len, reverse=True)) + r")\b")
+_GROUP_OF = {t: (g, i) for g in IDENTITY_GROUPS for i, t in enumerate(g)}
+_TERM = re.compile(r"\b(" + "|".join(sorted(map(re.escape, _GROUP_OF), key=len, reverse=True)) + r")\b", re.I)
 
 
 def fold(key: Column, folds: int) -> Column:
     return F.crc32(key.cast("string").cast("binary")) % folds
 
 
-def swaps(text: str) -> str | None:
-    """The text with each identity term replaced by the next of its group; None
-    if it names none."""
-    low = text.lower()
-    if _TERM.search(low) is None:
-        return None
-    return _TERM.sub(lambda m: _NEXT[m[1]], low)
+def _other(term: str, shift: int) -> str:
+    group, at = _GROUP_OF[term.lower()]
+    return group[(at + shift) % len(group)]
+
+
+def swaps(text: str) -> list[str]:
+    """Copies of the text with each identity term replaced by another of its
+    group, as many as the largest group named has others; all else is as in the
+    text.  None at all if it names no group."""
+    sizes = [len(_GROUP_OF[m[1].lower()][0]) for m in _TERM.finditer(text)]
+    return [_TERM.sub(lambda m, by=shift: _other(m[1], by), text) for shift in range(1, max(sizes, default=1))]
 
 
 def features(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
@@ -122,23 +133,60 @@ def _select(sample: DataFrame) -> np.ndarray:
 
 
 def _training_rows(sample: DataFrame, selected: np.ndarray) -> list:
-    """Per training row: label, its features, and those of its swapped copy."""
+    """Per training row: label, its features, and those of its swapped copies."""
     def run(batches):
         for b in shared.small_batches(batches, 0):
             found = [_known(selected, f) for f in _features_of(b.column(0))]
-            other = [swaps(t.as_py() or "") for t in b.column(0)]
-            copies = [_known(selected, f) for f in _features_of(pa.array(other, pa.string()))]
+            copies = []
+            for t in b.column(0):
+                made = swaps(t.as_py() or "")
+                copies.append([_known(selected, f).tolist() for c in made
+                               for f in _features_of(pa.array([c], pa.string()))])
             yield pa.RecordBatch.from_arrays(
                 [b.column(1), pa.array([f.tolist() for f in found], pa.list_(pa.int64())),
-                 pa.array([None if o is None else c.tolist() for o, c in zip(other, copies, strict=True)],
-                          pa.list_(pa.int64()))], names=["label", "own", "swapped"])
+                 pa.array(copies, pa.list_(pa.list_(pa.int64())))], names=["label", "own", "swapped"])
+
+    return sample.mapInArrow(run, "label long, own array<long>, swapped array<array<long>>").collect()
+
+
+def mentions(selected: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Selected features of each term and of the next one of its group, where
+    there are any."""
+    terms = list(_GROUP_OF)
+    both = _features_of(pa.array(terms + [_other(t, 1) for t in terms], pa.string()))
+    known = [_known(selected, f) for f in both]
+    return [(a, b) for a, b in zip(known[:len(terms)], known[len(terms):], strict=True) if len(a) or len(b)]
+
+
+def changes(rows: list, selected: np.ndarray) -> tuple[np.ndarray, int]:
+    """Sum of the outer products of all feature changes under swaps (so its size
+    is that of the features, not of the rows), and the number of changes."""
+    width, n = len(selected), 0
+    total = np.zeros((width, width), dtype=np.float32)
+    put = mentions(selected)
+
+    def add(one: np.ndarray, other: np.ndarray) -> int:
+        plus, minus = np.setdiff1d(one, other), np.setdiff1d(other, one)
+        at = np.concatenate([plus, minus]).astype(np.int64)
+        sign = np.repeat([1.0, -1.0], [len(plus), len(minus)]).astype(np.float32)
+        total[np.ix_(at, at)] += np.outer(sign, sign)
+        return int(len(at) > 0)
 
-    return sample.mapInArrow(run, "label long, own array<long>, swapped array<long>").collect()
+    for r in rows:
+        own = np.array(r["own"], dtype=np.int64)
+        for copy in r["swapped"]:
+            n += add(own, np.array(copy, dtype=np.int64))
+        if not r["swapped"]:
+            for a, b in put:
+                named = np.union1d(own, a)
+                n += add(own, named) + add(named, np.union1d(own, b))
+    return total, n
 
 
 def fit(x: np.ndarray, y: np.ndarray, changed: np.ndarray, rounds: int = 300) -> tuple[np.ndarray, float]:
-    """Logistic regression; ``changed``: feature differences between texts and
-    their swapped copies, whose effect on the score is penalised."""
+    """Logistic regression; ``changed``: summed outer products of the feature
+    changes between texts and their copies, whose effect on the score is
+    penalised."""
     n, k = x.shape
     x, changed, y = x.astype(np.float32), changed.astype(np.float32), y.astype(np.float32)
     w = np.zeros(k, dtype=np.float32)
@@ -147,9 +195,7 @@ def fit(x: np.ndarray, y: np.ndarray, changed: np.ndarray, rounds: int = 300) ->
     for step in range(1, rounds + 1):
         p = 1 / (1 + np.exp(-np.clip(x @ w + bias, -30, 30)))
         err = (p - y) / n
-        grad = x.T @ err + L2 / n * w
-        if len(changed):
-            grad = grad + PENALTY * changed.T @ (changed @ w) / n
+        grad = x.T @ err + L2 / n * w + PENALTY / n * (changed @ w)
         g = np.append(grad, err.sum())
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         d = 0.1 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
@@ -165,21 +211,20 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str =
               .orderBy(F.xxhash64("_key"), "_key").limit(MAX_TRAIN))
     sample = shared.written(
         docs.select(F.col(key).alias("_key"), F.col("text").cast("string").alias("text"))
-        .join(F.broadcast(chosen), "_key").select("text", "label"), "toxicity-sample")
+        .join(F.broadcast(chosen), "_key")
+        .groupBy("_key").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text", "label")).alias("row"))
+        .select("row.text", "row.label"), "toxicity-sample")
     selected = _select(sample)
     rows = _training_rows(sample, selected)
     y = np.array([r["label"] for r in rows], dtype=float)
     if len(selected) == 0:
         return {"selected": selected, "w": np.empty(0), "bias": _base_logit(y)}
     x = np.zeros((len(rows), len(selected)), dtype=np.float32)
-    changed = []
     for i, r in enumerate(rows):
         x[i, r["own"]] = 1
-        if r["swapped"] is not None:
-            other = np.zeros(len(selected), dtype=np.float32)
-            other[r["swapped"]] = 1
-            changed.append(x[i] - other)
-    w, bias = fit(x, y, np.array(changed, dtype=np.float32).reshape(-1, len(selected)))
+    changed, n = changes(rows, selected)
+    _log.info("%d training rows, %d features, %d changes under swaps", len(rows), len(selected), n)
+    w, bias = fit(x, y, changed)
     return {"selected": selected, "w": w, "bias": bias}
 
 
