@@ -146,3 +146,22 @@ def test_per_table_gold_checks(spark):
             scores[r.check_name] = (r.score, r.passed)
     assert set(scores) == {f"gold_{t}_completeness" for t in Q.GOLD_MEASURES}
     assert all(v == (1.0, True) for v in scores.values())
+
+
+def test_loaders_are_ordered(spark):
+    """The queries are compared as sets, so the order is checked here."""
+    from tributary.operators import metrics
+
+    t = [f"2024-01-0{d} 00:00:00" for d in (1, 2, 3)]
+    epm = spark.createDataFrame([(t[1], "view"), (t[0], "view"), (t[1], "click"), (t[2], "add")],
+                                "window_start string, event_type string").repartition(3)
+    assert [tuple(r) for r in metrics.events_by_window(epm).collect()] == [
+        (t[0], "view"), (t[1], "click"), (t[1], "view"), (t[2], "add")]
+    conv = epm.select("window_start").distinct()
+    assert [r[0] for r in metrics.conversions_by_window(conv).collect()] == t
+    pop = spark.createDataFrame([("b", 1.0, t[0]), ("a", None, t[0]), ("c", 9.0, t[1]), ("a", 1.0, t[2])],
+                                "product_id string, total_revenue double, window_start string").repartition(3)
+    assert [r[0] for r in metrics.products_by_revenue(pop).collect()] == ["c", "a", "b", "a"]
+    runs = spark.createDataFrame([("x", t[0]), ("y", t[2]), ("x", t[2]), ("x", t[1])],
+                                 "check_name string, timestamp string").repartition(3)
+    assert [tuple(r) for r in metrics.latest_quality(runs, 3).collect()] == [("x", t[2]), ("y", t[2]), ("x", t[1])]

@@ -410,3 +410,43 @@ def q_stream_scd2_state(spark, sf_dir):
         KY.start_versions(J.table_stream(spark, f"{root}/changes", like), f"{root}/log", f"{root}/_chk",
                           trigger=AVAILABLE_NOW).awaitTermination()
     return comparable(KY.versions(spark, f"{root}/log"))
+
+
+# ---------------------------------------------------------------------------
+# the metric sink (S15) and registered schemas (V5)
+# ---------------------------------------------------------------------------
+
+from tributary.functions.jsonrules import SchemaRegistry  # noqa: E402
+from tributary.operators import quality as Q  # noqa: E402
+from tributary.plans.catalog import QCOLS, QSCORE, QUALITY_SQL, quality_runs, stored_silver  # noqa: E402
+from tributary.sources import feeds  # noqa: E402
+
+
+@register("quality_sink", O.with_(QUALITY_SQL, f"SELECT {QCOLS} FROM quality"))
+def q_quality_sink(spark, sf_dir):
+    """Three runs of checks, one per layer, appended to the metrics table and read back."""
+    path = scratch_path(spark, "metrics")
+    stored = stored_silver(spark, sf_dir)
+    for layer in ("bronze", "silver", "gold"):
+        Q.log_results(quality_runs(spark, sf_dir, layer, None if layer == "bronze" else stored), path)
+    return comparable(spark.read.parquet(path), QSCORE)
+
+
+@register("registry_validate", O.with_(O.PROFILES.replace("c_acctbal\n", "c_acctbal, c_custkey\n"), """
+SELECT c_custkey AS profile_num,
+       CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END AS n_errors,
+       CASE WHEN c_acctbal < 0 THEN 2 ELSE 1 END AS n_member_errors,
+       '''loyalty'' is a required property' AS last_member_error
+FROM profiles"""))
+def q_registry_validate(spark, sf_dir):
+    """Profiles under the built-in schema and under one that a user registers."""
+    registry = SchemaRegistry()
+    builtin = registry.get_schema("user_profile")
+    registry.register_schema("member", builtin | {"required": [*builtin["required"], "loyalty"]})
+    profiles = feeds.profile_messages(feeds.read_table(spark, sf_dir, "customer"))
+    text = F.col("value").cast("string")
+    checked = registry.with_violations("user_profile", profiles, text)
+    checked = registry.with_violations("member", checked, text, "member_errors")
+    return checked.select("profile_num", F.size("errors").alias("n_errors"),
+                          F.size("member_errors").alias("n_member_errors"),
+                          F.element_at("member_errors", -1).alias("last_member_error"))
