@@ -299,7 +299,8 @@ def start_gold(silver: DataFrame, table: str, out_path: str, checkpoint: str,
 
 
 def rows_dropped_by_watermark(query: StreamingQuery) -> int:
-    """Late rows dropped so far (from the query's recent progress)."""
+    """Late rows dropped in the batches whose progress the query still holds
+    (Spark keeps the last 100); the listener in ``late`` adds up all of them."""
     total = 0
     for p in query.recentProgress:
         prog = json.loads(p.json) if hasattr(p, "json") else p
