@@ -54,3 +54,46 @@ def test_late_and_repeated_changes_change_nothing(spark, tmp_path):
     late = K.late_changes(spark, f"{root}/log").collect()
     assert sorted((r.name, r.t) for r in late) == [("n2", T0 + dt.timedelta(minutes=9)),
                                                   ("n3", T0 + dt.timedelta(minutes=5))]
+
+
+def test_one_call_per_bucket_not_per_key(spark, tmp_path):
+    """The processor alone: two batches of a bucket's changes, one call each."""
+    class Value:
+        kept, calls = None, 0
+
+        def get(self):
+            return self.kept
+
+        def update(self, value):
+            self.kept, self.calls = value, self.calls + 1
+
+    class Handle:
+        def getValueState(self, name, schema):
+            return Value()
+
+    import pandas as pd
+    names = ["user_id", "micros", "seq", "opens", "name", "email"]
+    one = K._Versions()
+    one.init(Handle())
+    batches = [[(f"u{i}", 5, i, True, "n", "e") for i in range(500)],
+               [("u3", 5, 3, True, "again", "e"), ("u3", 5, K.NO_SEQ, False, None, None), ("u499", 6, 0, True, "m", "e")]]
+    logs = [pd.concat(one.handleInputRows((0,), iter([pd.DataFrame(b, columns=names)]), None)) for b in batches]
+    assert one.newest.calls == 2 and len(one.newest.kept[0]) == 500
+    assert len(logs[0]) == 500 and set(logs[0].kind) == {K.OPENED}
+    assert sorted(zip(logs[1].kind, logs[1].user_id, strict=True)) == [
+        (K.CLOSED, "u3"), (K.CLOSED, "u499"), (K.OPENED, "u3"), (K.OPENED, "u499")]
+
+
+def test_buckets_stay_as_the_stream_began(spark, tmp_path):
+    root = str(tmp_path)
+    batch = changes(spark, [("c", 1, f"u{i}", i) for i in range(20)])
+    batch.coalesce(1).write.parquet(f"{root}/src")
+    src = spark.readStream.schema(batch.schema).parquet(f"{root}/src")
+    for buckets in (3, 50):
+        K.start_versions(src, f"{root}/log", f"{root}/chk", trigger={"availableNow": True},
+                         buckets=buckets).awaitTermination()
+        changes(spark, [("u", 2, f"u{i}", 20 + i) for i in range(20)]).coalesce(1).write.mode(
+            "append").parquet(f"{root}/src")
+    assert K.buckets_of(spark, f"{root}/chk") == 3
+    got = K.versions(spark, f"{root}/log").collect()
+    assert len(got) == 40 and sum(r.is_current for r in got) == 20
