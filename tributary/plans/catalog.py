@@ -46,7 +46,7 @@ def register(name: str, sql: str | None = None):
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_conf(spark)
-    return feeds.read_table(spark, sf_dir, "events")
+    return feeds.spread(feeds.read_table(spark, sf_dir, "events"))
 
 
 def click_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -935,18 +935,23 @@ AVAILABLE_NOW = {"availableNow": True}
 LANDED_CUT = _dt.datetime(2024, 1, 15, 0, 0, 0)
 
 
-def _land_topic(spark, sf_dir, landed: str, part: int) -> None:
+def _stored_topic(spark, sf_dir) -> DataFrame:
+    """The topic written once, as its parts are taken from it one by one."""
+    return materialize(click_messages(spark, sf_dir), "topic")
+
+
+def _land_topic(topic: DataFrame, landed: str, part: int) -> None:
     later = F.col("timestamp") >= F.lit(LANDED_CUT).cast("timestamp")
-    (click_messages(spark, sf_dir).filter(later if part else ~later)
-     .write.mode("append").parquet(landed))
+    topic.filter(later if part else ~later).write.mode("append").parquet(landed)
 
 
 def _make_stream_layers(spark, sf_dir) -> dict[str, str]:
     root = scratch_path(spark, "stream")
     landed = f"{root}/landed"
     paths = {"bronze": f"{root}/bronze", "silver": f"{root}/silver", "gold": f"{root}/gold"}
+    topic = _stored_topic(spark, sf_dir)
     for part in (0, 1):
-        _land_topic(spark, sf_dir, landed, part)
+        _land_topic(topic, landed, part)
         J.start_bronze(J.landed_stream(spark, landed), paths["bronze"], f"{root}/_chk/bronze",
                        trigger=AVAILABLE_NOW).awaitTermination()
         bronze_like = spark.read.parquet(paths["bronze"])
@@ -1127,7 +1132,7 @@ def q_scd2_batched(spark, sf_dir):
     handler = CDCHandler(spark, scratch_path(spark, "user_dim"))
     users = feeds.user_profiles(feeds.read_table(spark, sf_dir, "customer"))
     handler.initialize_dimension_table(users, now=DIM_LOADED)
-    ch = changes(spark, sf_dir)
+    ch = materialize(changes(spark, sf_dir), "change-feed")
     t = F.timestamp_millis("ts_ms")
     bounds = [None, *BATCH_CUTS, None]
     for lo, hi in zip(bounds[:-1], bounds[1:]):
@@ -1170,7 +1175,7 @@ def q_scd2_late(spark, sf_dir):
     handler = CDCHandler(spark, scratch_path(spark, "user_dim"))
     users = feeds.user_profiles(feeds.read_table(spark, sf_dir, "customer"))
     handler.initialize_dimension_table(users, now=DIM_LOADED)
-    messages = feeds.cdc_messages(events(spark, sf_dir))
+    messages = materialize(feeds.cdc_messages(events(spark, sf_dir)), "change-feed")
     bounds = [None, *BATCH_CUTS, None]
     for lo, hi in zip(bounds[:-1], bounds[1:]):
         part = messages
@@ -1201,8 +1206,9 @@ def q_stream_dead_letters(spark, sf_dir):
     """Raw records routed by a foreachBatch stream (accepted and dead letters
     written from the same persisted micro-batch); the dead letters read back."""
     root = scratch_path(spark, "router")
+    topic = _stored_topic(spark, sf_dir)
     for part in (0, 1):
-        _land_topic(spark, sf_dir, f"{root}/landed", part)
+        _land_topic(topic, f"{root}/landed", part)
         J.start_router(J.landed_stream(spark, f"{root}/landed"),
                        CLICKSTREAM_SCHEMA, TOPIC_CLICKSTREAM, f"{root}/accepted", f"{root}/dlq",
                        f"{root}/_chk", trigger=AVAILABLE_NOW).awaitTermination()

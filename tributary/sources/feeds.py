@@ -13,7 +13,8 @@ these Spark jobs derive them, row for row, from ``events`` and ``customer``:
 * ``profile_messages`` — user-profile JSON documents from ``customer``.
 
 All columns are built with native expressions; the jobs are narrow (no
-shuffle) and scale with their input.
+shuffle) and scale with their input, whose rows are dealt to all cores first
+(``spread``).
 """
 
 from __future__ import annotations
@@ -61,6 +62,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """``rows`` dealt to all cores.  A table of few large row groups is read by
+    as few tasks, and so all that is derived from a row would run in them.  By
+    a hash of the whole row, so a repeated or missing id fills no task; adaptive
+    execution picks the number of tasks by the size."""
+    return rows.repartition(*rows.columns)
+
+
 def _sql_case(col: str, pairs: list[tuple[str, str]], other: str) -> str:
     whens = " ".join(f"WHEN '{src}' THEN '{dst}'" for src, dst in pairs)
     return f"CASE {col} {whens} ELSE '{other}' END"
